@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import oracle as o
@@ -14,7 +14,7 @@ from haplometh.functions import methylation as mfn
 from haplometh.operators import expand, hapmap, intervals, joins, methylation, ordering, phasing, qc
 from haplometh.sinks import text
 from haplometh.sources import bed, blocks, genome, reports, samples, vcf
-from haplometh.storage import shared_folder
+from haplometh.storage import materialize, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,11 +34,34 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def as_variants(sites: DataFrame, fmt: Column, calls: list[Column]) -> DataFrame:
+    """Sites under the column names of a variant file."""
+    dot = F.lit(".")
+    fixed = [F.col("chrom"), F.col("end").cast("string"), dot, F.col("REF"), F.col("ALT"), dot, dot, dot, fmt]
+    return sites.select(*[c.alias(n) for c, n in zip(fixed, vcf.FIXED_COLUMNS)], *calls)
+
+
+def through_lines(variants: DataFrame) -> DataFrame:
+    """The same variants after being spelled out as lines and parsed again."""
+    lines = variants.select(F.concat_ws("\t", *[F.col(f"`{c}`") for c in variants.columns]).alias("value"))
+    return vcf.variants_from_lines(lines, "\t".join(variants.columns))
+
+
 class Inputs:
-    """The library's inputs, built from one data folder."""
+    """The library's inputs, built from one data folder.
+
+    With ``staged``, SNV tables, hap maps and mismatch sites are written once
+    and read back, as the jobs in ``haplometh.plans`` do.
+    """
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+    def __init__(self, spark: SparkSession, folder: str, staged: bool = False):
+        self.spark, self.folder, self.staged = spark, folder, staged
+        self.steps: dict[str, DataFrame] = {}
+
+    def step(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self.steps:
+            self.steps[name] = materialize(build(), name) if self.staged else build()
+        return self.steps[name]
 
     def view(self, name: str) -> DataFrame:
         return spark_view(self.spark, self.folder, name)
@@ -50,15 +73,19 @@ class Inputs:
         return self.view("fx_phase_block").withColumn("phase_block_id", F.col("phase_block_id").cast("string"))
 
     def founder_snvs(self) -> DataFrame:
-        return phasing.founder_phasing(
-            self.view("fx_read"), self.read_blocks(), self.view("fx_iht"), self.view("fx_iht_block"), bin_size=BIN
-        )
+        def build() -> DataFrame:
+            sides = self.view("fx_read"), self.read_blocks(), self.view("fx_iht"), self.view("fx_iht_block")
+            return phasing.founder_phasing(*sides, bin_size=BIN)
+
+        return self.step("founder-snvs", build)
 
     def hap_map(self) -> DataFrame:
-        return hapmap.hap_map(self.founder_snvs(), hapmap.founder_spec())
+        return self.step("founder-map", lambda: hapmap.hap_map(self.founder_snvs(), hapmap.founder_spec()))
 
     def mismatches(self) -> DataFrame:
-        return hapmap.mismatch_sites(self.founder_snvs(), hapmap.founder_spec())
+        return self.step(
+            "founder-mismatches", lambda: hapmap.mismatch_sites(self.founder_snvs(), hapmap.founder_spec())
+        )
 
     def pileup(self, member: str, mode: str, hap: str) -> DataFrame:
         return self.view(f"fx_{member}_{mode}_{hap}")
@@ -70,30 +97,28 @@ class Inputs:
         files = {(m, h): self.pileup("kid", m, h) for m in methylation.MODES for h in ("hap1", "hap2")}
         return methylation.founder_phased_methylation(files, self.hap_map(), bin_size=BIN)
 
-    def trio_lines(self) -> DataFrame:
-        """The trio's variants as VCF lines."""
-        fields = ["chrom", F.col("end"), F.lit("."), "REF", "ALT", F.lit("."), F.lit("PASS"), F.lit("."), F.lit("GT")]
-        calls = [f"gt_{m}" for m in MEMBERS]
-        return self.view("fx_trio_snv").select(F.concat_ws("\t", *fields, *calls).alias("value"))
+    def trio_calls(self) -> DataFrame:
+        """The trio's variants with the columns of a variant file."""
+        calls = [F.col(f"gt_{m}").alias(m) for m in MEMBERS]
+        return as_variants(self.view("fx_trio_snv"), F.lit("GT"), calls)
 
     def trio_pairs(self) -> dict[str, DataFrame]:
-        pairs = vcf.trio_pairs_from_lines(self.trio_lines(), MEMBERS, *MEMBERS)
-        return dict(zip(("dad", "mom"), pairs))
+        return dict(zip(("dad", "mom"), vcf.trio_pairs(self.trio_calls(), *MEMBERS)))
 
     def parent_snvs(self, parent: str) -> DataFrame:
-        return phasing.parent_phasing(
-            self.trio_pairs()[parent],
-            self.view("fx_kid_block"),
-            self.view(f"fx_{parent}_block"),
-            parent,
-            bin_size=BIN,
-        )
+        def build() -> DataFrame:
+            sides = self.trio_pairs()[parent], self.view("fx_kid_block"), self.view(f"fx_{parent}_block")
+            return phasing.parent_phasing(*sides, parent, bin_size=BIN)
+
+        return self.step(f"{parent}-snvs", build)
 
     def parent_map(self, parent: str) -> DataFrame:
-        return hapmap.hap_map(self.parent_snvs(parent), hapmap.parent_spec(parent))
+        spec = hapmap.parent_spec(parent)
+        return self.step(f"{parent}-map", lambda: hapmap.hap_map(self.parent_snvs(parent), spec))
 
     def parent_mismatches(self, parent: str) -> DataFrame:
-        return hapmap.mismatch_sites(self.parent_snvs(parent), hapmap.parent_spec(parent))
+        spec = hapmap.parent_spec(parent)
+        return self.step(f"{parent}-mismatches", lambda: hapmap.mismatch_sites(self.parent_snvs(parent), spec))
 
     def trio_sites(self) -> DataFrame:
         files = {(p, m, h): self.pileup(p, m, h) for p in MEMBERS for m in methylation.MODES for h in ("hap1", "hap2")}
@@ -104,15 +129,14 @@ class Inputs:
             self.trio_sites(), self.parent_map("dad"), self.parent_map("mom"), bin_size=BIN
         )
 
-    def variant_lines(self) -> DataFrame:
-        fields = ["chrom", F.col("end"), F.lit("."), "REF", "ALT", F.lit("."), F.lit("."), F.lit("."), F.lit("GT:AD:DP")]
-        return self.view("fx_variant").select(F.concat_ws("\t", *fields, "gt_raw").alias("value"))
+    def joint_calls(self) -> DataFrame:
+        return as_variants(self.view("fx_variant"), F.lit("GT:AD:DP"), [F.col("gt_raw").alias("kid")])
 
     def variants(self) -> DataFrame:
-        return vcf.joint_variants_from_lines(self.variant_lines(), ["kid"], {"": "kid"})
+        return vcf.joint_variants(self.joint_calls(), {"": "kid"})
 
     def trio_variants(self) -> DataFrame:
-        return vcf.joint_variants_from_lines(self.trio_lines(), MEMBERS, {m: m for m in MEMBERS})
+        return vcf.joint_variants(self.trio_calls(), {m: m for m in MEMBERS})
 
     def combined(self, member: str, mode: str) -> DataFrame:
         return self.pileup(member, mode, "combined")
@@ -149,7 +173,7 @@ def s1(spark, folder):
     fields = ["chrom", "start", "end", "methylation_level", F.lit("Total"), "total_read_count", F.lit(0)]
     lines = Inputs(spark, folder).combined("kid", "count").select(F.concat_ws("\t", *fields).alias("value"))
     comments = ["##pileup-mode=count", "\t".join(PILEUP_NAMES)]
-    return bed.meth_levels_from_lines(lines, bed.check_pileup_header(comments, "count"))
+    return bed.meth_levels(bed.pileup_from_lines(lines, bed.check_pileup_header(comments, "count")))
 
 
 @register("s2_k1_bed_roundtrip", f"SELECT {o.OUT_SNV} FROM o_mismatch")
@@ -178,7 +202,7 @@ _FINAL_TRIO_OUT = o.flagged(
     f'SELECT start_cpg AS start, end_cpg AS "end", * EXCLUDE (start_cpg, end_cpg) FROM ({_FINAL_OUT}) f',
 )
 def s4(spark, folder):
-    i = Inputs(spark, folder)
+    i = Inputs(spark, folder, staged=True)
     final = expand.flag_allele_specific(i.near(), i.variants())
     root = text.write_methylation(final, f"{shared_folder(spark)}/checks/final.bed", "checks")
     return bed.read_expanded(spark, f"{root}.sorted.bed.gz")
@@ -213,10 +237,9 @@ def s6(spark, folder):
     rest = (
         F.when(block % 5 == 0, "").when(block % 7 == 0, ":12:.").otherwise(F.concat(F.lit(":12:"), block.cast("string")))
     )
-    fields = ["chrom", F.col("end"), F.lit("."), "REF", "ALT", F.lit("."), F.lit("PASS"), F.lit(".")]
-    fields += [F.when(block % 5 == 0, "GT").otherwise("GT:DP:PS"), F.concat(call, rest)]
-    lines = Inputs(spark, folder).view("fx_snv").select(F.concat_ws("\t", *fields).alias("value"))
-    return vcf.read_phasing_from_lines(lines, ["kid"])
+    fmt = F.when(block % 5 == 0, "GT").otherwise("GT:DP:PS")
+    calls = as_variants(Inputs(spark, folder).view("fx_snv"), fmt, [F.concat(call, rest).alias("kid")])
+    return vcf.read_phasing(through_lines(calls))
 
 
 @register(
@@ -228,11 +251,9 @@ def s7(spark, folder):
     pat = F.col("allele_pat")
     het = F.concat_ws("|", pat.cast("string"), (1 - pat).cast("string"))
     call = F.when(F.col("gt_raw").startswith("0|1"), het).when(F.col("gt_raw").startswith("1/1"), "1/1").otherwise("./.")
-    fields = ["chrom", F.col("end"), F.lit("."), "REF", "ALT", F.lit("."), F.lit("PASS"), F.lit("."), F.lit("GT:DP")]
-    lines = Inputs(spark, folder).view("fx_snv").select(
-        F.concat_ws("\t", *fields, F.lit("0/1:9"), F.concat(call, F.lit(":30"))).alias("value")
-    )
-    return vcf.inheritance_phasing_from_lines(lines, ["other", "kid"], "kid")
+    calls = [F.lit("0/1:9").alias("other"), F.concat(call, F.lit(":30")).alias("kid")]
+    variants = as_variants(Inputs(spark, folder).view("fx_snv"), F.lit("GT:DP"), calls)
+    return vcf.inheritance_phasing(through_lines(variants), "kid")
 
 
 for _parent, _side in (("dad", "pat"), ("mom", "mat")):
@@ -240,17 +261,18 @@ for _parent, _side in (("dad", "pat"), ("mom", "mat")):
 
     @register(f"s8_trio_pairs_{_parent}", f"SELECT {o.OUT_SNV}, {_names[_parent]} FROM o_pairs_{_parent}")
     def s8(spark, folder, parent=_parent):
-        return Inputs(spark, folder).trio_pairs()[parent]
+        pairs = vcf.trio_pairs(through_lines(Inputs(spark, folder).trio_calls()), *MEMBERS)
+        return dict(zip(("dad", "mom"), pairs))[parent]
 
 
 @register("s9_joint_variants", f"SELECT {o.OUT_SITE}, allele_1, allele_2 FROM o_variants")
 def s9(spark, folder):
-    return Inputs(spark, folder).variants()
+    return vcf.joint_variants(through_lines(Inputs(spark, folder).joint_calls()), {"": "kid"})
 
 
 @register("s10_joint_variants_trio", o.renamed("o_variants_trio"))
 def s10(spark, folder):
-    return Inputs(spark, folder).trio_variants()
+    return vcf.joint_variants(through_lines(Inputs(spark, folder).trio_calls()), {m: m for m in MEMBERS})
 
 
 @register(
@@ -379,12 +401,12 @@ def s16_paths(spark, folder):
     return samples.methylation_paths(_manifest(spark, folder), {m: f"data/{m}" for m in methylation.MODES})
 
 
-REGION = "chr1:1,000,000-2,000,000"
+REGION = "chr1:100,001-400,000"
 
 
 @register(
     "s17_region",
-    o.renamed("fx_cpg") + " WHERE chrom = 'chr1' AND end_ > 999999 AND start_ < 2000000",
+    o.renamed("fx_cpg") + " WHERE chrom = 'chr1' AND end_ > 100000 AND start_ < 400000",
 )
 def s17(spark, folder):
     return intervals.region_filter(Inputs(spark, folder).view("fx_cpg"), REGION)
@@ -425,12 +447,12 @@ _IDS = {m: f"id_{m}" for m in MEMBERS}
 
 @register("k7_founder_tracks", _union_tracks("o_founder", text.founder_track_columns()))
 def k7(spark, folder):
-    return text.tracks(Inputs(spark, folder).founder(), text.founder_track_columns())
+    return text.tracks(Inputs(spark, folder, staged=True).founder(), text.founder_track_columns())
 
 
 @register("k7_trio_tracks", _union_tracks("o_parents", text.trio_track_columns(_IDS)))
 def k7_trio(spark, folder):
-    return text.tracks(Inputs(spark, folder).parents(), text.trio_track_columns(_IDS))
+    return text.tracks(Inputs(spark, folder, staged=True).parents(), text.trio_track_columns(_IDS))
 
 
 @register("k2_k7_combined_tracks", _union_tracks("o_unphased_trio", text.combined_track_columns(_IDS)))
@@ -686,7 +708,7 @@ def j6(spark, folder):
 
 @register("j7_trio_hapmaps_left", o.renamed("o_parents"))
 def j7(spark, folder):
-    i = Inputs(spark, folder)
+    i = Inputs(spark, folder, staged=True)
     members = [
         methylation.name_member_haplotypes(
             methylation.combine_modes_of_member(i.haplotypes(m, "count"), i.haplotypes(m, "model")), m
@@ -699,7 +721,7 @@ def j7(spark, folder):
 
 @register("j8_null_safe_full", o.renamed("o_founder"))
 def j8(spark, folder):
-    i = Inputs(spark, folder)
+    i = Inputs(spark, folder, staged=True)
     hap_map = i.hap_map()
     sides = [methylation.phase_to_founders(i.haplotypes("kid", m), hap_map, bin_size=BIN) for m in methylation.MODES]
     return methylation.combine_modes(*sides)
@@ -731,14 +753,14 @@ def j11_unphased(spark, folder):
 
 @register("j12_j13_expand", o.renamed("o_expanded"))
 def j12(spark, folder):
-    i = Inputs(spark, folder)
+    i = Inputs(spark, folder, staged=True)
     unphased = expand.join_unphased(i.combined("kid", "count"), i.combined("kid", "model"))
     return expand.expand_founder(i.view("fx_reference"), unphased, i.founder())
 
 
 @register("j12_j13_expand_trio", o.renamed("o_expanded_trio"))
 def j12_trio(spark, folder):
-    i = Inputs(spark, folder)
+    i = Inputs(spark, folder, staged=True)
     unphased = expand.unphased_trio({(p, m): i.combined(p, m) for p in MEMBERS for m in methylation.MODES})
     return expand.expand_trio(i.view("fx_reference"), unphased, i.parents())
 
@@ -819,9 +841,13 @@ def j18(spark, folder):
 def u3(spark, folder):
     i = Inputs(spark, folder)
     root = f"{shared_folder(spark)}/checks/by-chrom"
-    chrom = F.split_part("value", F.lit("\t"), F.lit(1))
-    i.variant_lines().withColumn("chrom", chrom).write.mode("overwrite").partitionBy("chrom").text(root)
-    return vcf.joint_variants_from_lines(spark.read.text(root).select("value"), ["kid"], {"": "kid"})
+    calls = i.joint_calls()
+    names = "\t".join(calls.columns)
+    spark.createDataFrame([(names,)], "value string").coalesce(1).write.mode("overwrite").text(f"{root}/0-header")
+    line = F.concat_ws("\t", *[F.col(f"`{c}`") for c in calls.columns]).alias("value")
+    body = calls.select(F.col("`#CHROM`").alias("by_chrom"), line)
+    body.write.mode("overwrite").partitionBy("by_chrom").text(f"{root}/body")
+    return vcf.read_joint_variants(spark, [f"{root}/0-header", f"{root}/body/*"], "kid")
 
 
 # ---------------------------------------------------------------- aggregates
@@ -849,7 +875,7 @@ def a7(spark, folder):
 
 @register("a8_qc_pedigree", o.fractions("o_near", {"within_50bp_of_mismatch": "is_within_50bp_of_mismatch_site"} | o.mode_conditions("pat", "mat", "")))
 def a8(spark, folder):
-    return qc.qc_founder(Inputs(spark, folder).near())
+    return qc.qc_founder(Inputs(spark, folder, staged=True).near())
 
 
 @register(
@@ -861,7 +887,7 @@ def a8(spark, folder):
     ),
 )
 def a9(spark, folder):
-    return qc.qc_trio(Inputs(spark, folder).near_trio())
+    return qc.qc_trio(Inputs(spark, folder, staged=True).near_trio())
 
 
 @register("a10_read_count_invariant", o.renamed("o_unphased_dad"))
@@ -876,7 +902,7 @@ def a10(spark, folder):
        UNION ALL SELECT 'mismatches', count(*) FROM o_mismatch""",
 )
 def a11(spark, folder):
-    i = Inputs(spark, folder)
+    i = Inputs(spark, folder, staged=True)
     stages = {"sites": i.founder_snvs(), "hap_map": i.hap_map(), "mismatches": i.mismatches()}
     out = None
     for stage, df in stages.items():
@@ -931,21 +957,21 @@ def u2(spark, folder):
 
 @register("e1_founder_phasing", o.renamed("o_founder"))
 def e1(spark, folder):
-    return Inputs(spark, folder).founder()
+    return Inputs(spark, folder, staged=True).founder()
 
 
 @register("e2_parent_phasing", o.renamed("o_parents"))
 def e2(spark, folder):
-    return Inputs(spark, folder).parents()
+    return Inputs(spark, folder, staged=True).parents()
 
 
 @register("e3_expand_pedigree", _FINAL_OUT)
 def e3(spark, folder):
-    i = Inputs(spark, folder)
+    i = Inputs(spark, folder, staged=True)
     return expand.flag_allele_specific(i.near(), i.variants())
 
 
 @register("e4_expand_trio", _FINAL_TRIO_OUT)
 def e4(spark, folder):
-    i = Inputs(spark, folder)
+    i = Inputs(spark, folder, staged=True)
     return expand.flag_allele_specific(i.near_trio(), i.trio_variants(), MEMBERS)

@@ -148,8 +148,15 @@ def with_views(select: str, extra: dict[str, str] | None = None) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({known[n]})" for n in needed) + "\n" + select
 
 
+_tables: dict[tuple[str, str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A driver table; its file footer is read once per session."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _tables:
+        _tables[key] = spark.read.parquet(f"{folder}/{name}.parquet")
+    return _tables[key]
 
 
 def spark_view(spark: SparkSession, folder: str, name: str) -> DataFrame:

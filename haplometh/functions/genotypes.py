@@ -14,7 +14,7 @@ HOM, HET = "hom", "het"
 
 def genotype_text(sample_field: Column) -> Column:
     """The genotype part of a sample field such as ``0|1:12:34``."""
-    return F.get(F.split(sample_field, ":"), F.lit(0))
+    return F.substring_index(sample_field, ":", 1)
 
 
 def allele(genotype: Column, index: int) -> Column:
@@ -22,8 +22,8 @@ def allele(genotype: Column, index: int) -> Column:
 
     A null genotype stays null: the record says nothing about this sample.
     """
-    parts = F.split(genotype, "[|/]")
-    return F.when(genotype.isNotNull(), F.coalesce(F.get(parts, F.lit(index)), F.lit(UNKNOWN)))
+    part = F.split_part(F.translate(genotype, "/", "|"), F.lit("|"), F.lit(index + 1))
+    return F.when(part == "", UNKNOWN).otherwise(part)
 
 
 def is_phased(genotype: Column) -> Column:

@@ -17,6 +17,7 @@ def local_session(cores: int | str = "*", app: str = "haplometh", memory: str |
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(width))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .getOrCreate()

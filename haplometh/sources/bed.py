@@ -61,32 +61,36 @@ def check_pileup_header(comments: Sequence[str], mode: str, what: str = "input")
     return names
 
 
-def meth_levels_from_lines(lines: DataFrame, names: Sequence[str]) -> DataFrame:
-    """``chrom, start, end, total_read_count, methylation_level`` from pileup records."""
-    at = {c: list(names).index(c) for c in PILEUP_COLUMNS}
-    # Mode-specific columns after the shared ones stay one unsplit tail.
-    fields = F.split("value", "\t", max(at.values()) + 2)
-    parsed = (
-        records(lines)
-        .select(fields.alias("f"))
-        .select(
-            F.col("f")[at["#chrom"]].alias("chrom"),
-            F.col("f")[at["begin"]].cast("bigint").alias("start"),
-            F.col("f")[at["end"]].cast("bigint").alias("end"),
-            F.col("f")[at["cov"]].cast("bigint").alias("total_read_count"),
-            fraction(F.col("f")[at["mod_score"]].cast("double")).alias("methylation_level"),
+def meth_levels(pileup: DataFrame) -> DataFrame:
+    """``chrom, start, end, total_read_count, methylation_level`` of a pileup, alternative contigs dropped."""
+    return drop_alt_contigs(
+        pileup.select(
+            F.col("`#chrom`").alias("chrom"),
+            F.col("begin").cast("bigint").alias("start"),
+            F.col("end").cast("bigint").alias("end"),
+            F.col("cov").cast("bigint").alias("total_read_count"),
+            fraction(F.col("mod_score").cast("double")).alias("methylation_level"),
         )
     )
-    return drop_alt_contigs(parsed)
+
+
+def pileup_from_lines(lines: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The shared pileup columns from lines in a ``value`` column."""
+    at = {c: list(names).index(c) for c in PILEUP_COLUMNS}
+    # Mode-specific columns after the shared ones stay one unsplit tail.
+    fields = records(lines).select(F.split("value", "\t", max(at.values()) + 2).alias("f"))
+    return fields.select(*[F.col("f")[i].alias(c) for c, i in at.items()])
 
 
 def read_meth_level(
     spark: SparkSession, path: str, mode: str, *, partitions: int | None = None
 ) -> DataFrame:
     """One methylation pileup file of the given mode, alternative contigs dropped."""
-    lines = read_lines(spark, path)
-    names = check_pileup_header(leading_comments(lines), mode, str(path))
-    return spread(meth_levels_from_lines(lines, names), partitions)
+    names = check_pileup_header(leading_comments(read_lines(spark, path)), mode, str(path))
+    types = {"begin": T.LongType(), "end": T.LongType(), "cov": T.LongType(), "mod_score": T.DoubleType()}
+    schema = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names])
+    pileup = spark.read.csv(str(path), sep="\t", comment="#", quote="", schema=schema)
+    return spread(meth_levels(pileup), partitions)
 
 
 def read_bed_and_header(

@@ -39,21 +39,20 @@ def cpg_sites(chunks: DataFrame, *, piece: int = PIECE) -> DataFrame:
     """
     kept = drop_alt_contigs(chunks).select("chrom", "offset", "seq")
     cuts = F.regexp_extract_all("seq", F.lit(f"(?s).{{1,{piece}}}"), F.lit(0))
+    following = F.slice("cuts", F.lit(2), F.size("cuts"))
+    joint = F.zip_with(
+        "cuts", following, lambda text, after: F.concat(text, F.coalesce(F.substring(after, 1, 1), F.lit("")))
+    )
+    # The outer forms keep Spark from computing the arrays a second time in a size filter.
     pieces = (
         kept.select("chrom", "offset", cuts.alias("cuts"))
-        .withColumn(
-            "pieces",
-            F.transform(
-                "cuts",
-                lambda text, i: F.concat(text, F.coalesce(F.substring(F.get("cuts", i + 1), 1, 1), F.lit(""))),
-            ),
-        )
-        .select("chrom", "offset", F.posexplode("pieces").alias("i", "text"))
+        .select("chrom", "offset", F.posexplode_outer(joint).alias("i", "text"))
+        .filter(F.col("text").rlike(CG))
     )
-    found = pieces.filter(F.col("text").rlike(CG)).select(
+    found = pieces.select(
         "chrom",
         (F.col("offset") + F.col("i") * piece).alias("base"),
-        F.explode(_cg_offsets(F.col("text"))).alias("at"),
+        F.explode_outer(_cg_offsets(F.col("text"))).alias("at"),
     )
     start = (F.col("base") + F.col("at")).cast("bigint")
     return found.select("chrom", start.alias("start"), (start + 1).alias("end"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from itertools import takewhile
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,22 +19,25 @@ def spread(df: DataFrame, partitions: int | None) -> DataFrame:
     return df.repartition(partitions) if partitions else df
 
 
+def first_file(lines: DataFrame) -> DataFrame:
+    """The first file by name: of a folder of parts, the one that starts with the header."""
+    files = lines.inputFiles()
+    return lines.sparkSession.read.text(unquote(min(files))) if len(files) > 1 else lines
+
+
 def leading_comments(lines: DataFrame, batch: int = 256) -> list[str]:
     """The ``#`` lines before the first record; reads no further than that."""
+    first = first_file(lines)
     while True:
-        head = [row[0] for row in lines.take(batch)]
-        comments = []
-        for line in head:
-            if not line.startswith("#"):
-                return comments
-            comments.append(line)
-        if len(head) < batch:
+        head = [row[0] for row in first.take(batch)]
+        comments = list(takewhile(lambda line: line.startswith("#"), head))
+        if len(comments) < len(head) or len(head) < batch:
             return comments
         batch *= 8
 
 
 def first_line_starting(lines: DataFrame, prefix: str) -> str | None:
-    row = lines.filter(F.col("value").startswith(prefix)).take(1)
+    row = first_file(lines).filter(F.col("value").startswith(prefix)).take(1)
     return row[0][0] if row else None
 
 

@@ -6,61 +6,73 @@ by passing a list of paths.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from haplometh.functions.genotypes import (
     UNKNOWN,
     allele,
     genotype_text,
     is_biallelic_snv,
-    is_het,
     is_phased,
     is_snv_any_alts,
     phase_block_id,
 )
 from haplometh.sources.lines import first_line_starting, read_lines, records, spread
 
-# Position of the fields of a variant record.
-FIELDS = {"chrom": 0, "pos": 1, "REF": 3, "ALT": 4, "format": 8}
-FIRST_SAMPLE = 9
+# The columns of a variant file before its samples.
+FIXED_COLUMNS = ("#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT")
 
 
 class SampleError(ValueError):
     """The file's samples are not the ones asked for."""
 
 
-def sample_names(header: str) -> list[str]:
-    return header.rstrip("\n").split("\t")[FIRST_SAMPLE:]
+def column_names(header: str) -> list[str]:
+    names = header.rstrip("\n").split("\t")
+    if tuple(names[: len(FIXED_COLUMNS)]) != FIXED_COLUMNS:
+        raise SampleError(f"unexpected header of a variant file: {header[:120]!r}")
+    return names
 
 
-def read_sample_names(lines: DataFrame) -> list[str]:
-    header = first_line_starting(lines, "#CHROM")
+def sample_names(variants: DataFrame) -> list[str]:
+    return variants.columns[len(FIXED_COLUMNS) :]
+
+
+def read_variants(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Variant files as one string column per field; only the columns used later are parsed."""
+    header = first_line_starting(read_lines(spark, path), FIXED_COLUMNS[0])
     if header is None:
-        raise SampleError("no #CHROM header line")
-    return sample_names(header)
+        raise SampleError(f"{path} has no {FIXED_COLUMNS[0]} line")
+    names = column_names(header)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return spark.read.csv(path, sep="\t", comment="#", quote="", schema=schema, maxColumns=len(names) + 1)
 
 
-def variant_records(lines: DataFrame, samples: Sequence[str], wanted: Mapping[str, str]) -> DataFrame:
+def variants_from_lines(lines: DataFrame, header: str) -> DataFrame:
+    """The same columns from lines in a ``value`` column."""
+    fields = records(lines).select(F.split("value", "\t").alias("f"))
+    return fields.select(*[F.get("f", F.lit(i)).alias(n) for i, n in enumerate(column_names(header))])
+
+
+def _sites(variants: DataFrame, wanted: Mapping[str, str]) -> DataFrame:
     """Site columns, ``format`` and, per ``wanted`` name, the raw field of its sample."""
+    samples = sample_names(variants)
     missing = [s for s in wanted.values() if s not in samples]
     if missing:
-        raise SampleError(f"samples {missing} are not among {list(samples)}")
-    fields = records(lines).select(F.split("value", "\t").alias("f"))
-    pos = F.col("f")[FIELDS["pos"]].try_cast("bigint")
-    return fields.select(
-        F.col("f")[FIELDS["chrom"]].alias("chrom"),
+        raise SampleError(f"samples {missing} are not among the file's {len(samples)} samples")
+    pos = F.col("POS").try_cast("bigint")
+    return variants.select(
+        F.col("`#CHROM`").alias("chrom"),
         (pos - 1).alias("start"),
         pos.alias("end"),
-        F.col("f")[FIELDS["REF"]].alias("REF"),
-        F.col("f")[FIELDS["ALT"]].alias("ALT"),
-        F.get("f", F.lit(FIELDS["format"])).alias("format"),
-        *[
-            F.get("f", F.lit(FIRST_SAMPLE + list(samples).index(s))).alias(f"raw_{name}")
-            for name, s in wanted.items()
-        ],
+        "REF",
+        "ALT",
+        F.col("FORMAT").alias("format"),
+        *[F.col(f"`{s}`").alias(f"raw_{name}") for name, s in wanted.items()],
     )
 
 
@@ -71,95 +83,97 @@ def format_field(raw: Column, key: str) -> Column:
     return F.when(place > 0, value)
 
 
-def _genotype(df: DataFrame, name: str) -> DataFrame:
-    """Replace ``raw_<name>`` by its genotype text and two alleles, keeping the raw field."""
-    gt = F.col(f"gt_{name}")
-    return df.withColumn(f"gt_{name}", format_field(F.col(f"raw_{name}"), "GT")).withColumns(
-        {f"a1_{name}": allele(gt, 0), f"a2_{name}": allele(gt, 1)}
-    )
+def _genotype(name: str) -> Column:
+    """A sample's genotype text; it is always the first field when there is one."""
+    called = (F.col("format") == "GT") | F.col("format").startswith("GT:")
+    return F.when(called, genotype_text(F.col(f"raw_{name}")))
 
 
-def _het_snvs(df: DataFrame, name: str) -> DataFrame:
-    return df.filter(
-        is_biallelic_snv(F.col("REF"), F.col("ALT")) & is_het(F.col(f"a1_{name}"), F.col(f"a2_{name}"))
-    )
+def _with_genotypes(variants: DataFrame, wanted: Mapping[str, str]) -> DataFrame:
+    """Biallelic SNVs with the genotype text of each wanted sample.
+
+    With one alternative allele, genotypes are one-digit pairs: tests on them
+    are single comparisons with the text, which stay cheap when Spark pushes
+    them below other steps, and alleles are its first and third character.
+    """
+    snvs = _sites(variants, wanted).filter(is_biallelic_snv(F.col("REF"), F.col("ALT")))
+    return snvs.withColumns({f"gt_{name}": _genotype(name) for name in wanted})
+
+
+def _first(name: str) -> Column:
+    return F.substring(f"gt_{name}", 1, 1)
+
 
+def _second(name: str) -> Column:
+    return F.substring(f"gt_{name}", 3, 1)
 
+
+# Heterozygous genotypes at a site with one alternative allele, and
+# the child's genotypes that tell its first or its second allele.
+PHASED_HET = ("0|1", "1|0")
+UNPHASED_HET = ("0/1", "1/0")
+FIRST_KNOWN = r"^(?:[01]\|.|0/0|1/1)$"
+SECOND_KNOWN = r"^(?:.\|[01]|0/0|1/1)$"
 SITE_AND_ALLELES = ("chrom", "start", "end", "REF", "ALT")
 
 
-def read_phasing_from_lines(lines: DataFrame, samples: Sequence[str]) -> DataFrame:
+def read_phasing(variants: DataFrame) -> DataFrame:
     """Phased heterozygous SNVs of a single-sample file, with their phase-block id."""
+    samples = sample_names(variants)
     if len(samples) != 1:
-        raise SampleError(f"expected one sample, found {list(samples)}")
-    parsed = _genotype(variant_records(lines, samples, {"s": samples[0]}), "s")
-    return (
-        _het_snvs(parsed, "s")
-        .filter(is_phased(F.col("gt_s")))
-        .select(
-            *SITE_AND_ALLELES,
-            phase_block_id(format_field(F.col("raw_s"), "PS")).alias("phase_block_id"),
-            F.col("a1_s").alias("allele_hap1"),
-            F.col("a2_s").alias("allele_hap2"),
-        )
+        raise SampleError(f"expected one sample, found {len(samples)}")
+    hets = _with_genotypes(variants, {"s": samples[0]}).filter(F.col("gt_s").isin(*PHASED_HET))
+    return hets.select(
+        *SITE_AND_ALLELES,
+        phase_block_id(format_field(F.col("raw_s"), "PS")).alias("phase_block_id"),
+        _first("s").alias("allele_hap1"),
+        _second("s").alias("allele_hap2"),
     )
 
 
-def inheritance_phasing_from_lines(lines: DataFrame, samples: Sequence[str], uid: str) -> DataFrame:
+def inheritance_phasing(variants: DataFrame, uid: str) -> DataFrame:
     """Heterozygous SNVs of one sample with paternal and maternal alleles; an unphased one fails the job."""
-    parsed = _genotype(variant_records(lines, samples, {"s": uid}), "s")
-    message = F.format_string(
-        "expected a phased genotype at %s:%d, found %s", F.col("chrom"), F.col("end"), F.col("gt_s")
+    gt = F.col("gt_s")
+    hets = _with_genotypes(variants, {"s": uid}).filter(gt.isin(*PHASED_HET, *UNPHASED_HET))
+    message = F.format_string("expected a phased genotype at %s:%d, found %s", F.col("chrom"), F.col("end"), gt)
+    checked = F.when(is_phased(gt), gt).otherwise(F.raise_error(message).cast("string"))
+    return hets.withColumn("gt_s", checked).select(
+        *SITE_AND_ALLELES, _first("s").alias("allele_pat"), _second("s").alias("allele_mat")
     )
 
-    def checked(column: str) -> Column:
-        return F.when(is_phased(F.col("gt_s")), F.col(column)).otherwise(F.raise_error(message).cast("string"))
 
-    return _het_snvs(parsed, "s").select(
-        *SITE_AND_ALLELES, checked("a1_s").alias("allele_pat"), checked("a2_s").alias("allele_mat")
-    )
-
-
-def trio_pairs_from_lines(
-    lines: DataFrame, samples: Sequence[str], kid: str, dad: str, mom: str
-) -> tuple[DataFrame, DataFrame]:
+def trio_pairs(variants: DataFrame, kid: str, dad: str, mom: str) -> tuple[DataFrame, DataFrame]:
     """Kid and parent alleles at the phased het SNVs of dad, and of mom.
 
     The kid must be phased or homozygous; SNVs at which the kid's transmitted
     allele is unknown say nothing and are left out.
     """
-    parsed = variant_records(lines, samples, {"kid": kid, "dad": dad, "mom": mom})
-    for member in ("kid", "dad", "mom"):
-        parsed = _genotype(parsed, member)
-    usable = parsed.filter(is_phased(F.col("gt_kid")) | (F.col("a1_kid") == F.col("a2_kid")))
-
-    def side(parent: str, kid_allele: str, kid_name: str, names: tuple[str, str]) -> DataFrame:
-        return (
-            _het_snvs(usable, parent)
-            .filter(is_phased(F.col(f"gt_{parent}")) & (F.col(kid_allele) != UNKNOWN))
-            .select(
-                *SITE_AND_ALLELES,
-                F.col(kid_allele).alias(kid_name),
-                F.col(f"a1_{parent}").alias(names[0]),
-                F.col(f"a2_{parent}").alias(names[1]),
-            )
-        )
-
+    parsed = _with_genotypes(variants, {"kid": kid, "dad": dad, "mom": mom})
+    dad_side = parsed.filter(F.col("gt_dad").isin(*PHASED_HET) & F.col("gt_kid").rlike(FIRST_KNOWN))
+    mom_side = parsed.filter(F.col("gt_mom").isin(*PHASED_HET) & F.col("gt_kid").rlike(SECOND_KNOWN))
     return (
-        side("dad", "a1_kid", "kid_allele_pat", ("dad_allele_A", "dad_allele_B")),
-        side("mom", "a2_kid", "kid_allele_mat", ("mom_allele_C", "mom_allele_D")),
+        dad_side.select(
+            *SITE_AND_ALLELES,
+            _first("kid").alias("kid_allele_pat"),
+            _first("dad").alias("dad_allele_A"),
+            _second("dad").alias("dad_allele_B"),
+        ),
+        mom_side.select(
+            *SITE_AND_ALLELES,
+            _second("kid").alias("kid_allele_mat"),
+            _first("mom").alias("mom_allele_C"),
+            _second("mom").alias("mom_allele_D"),
+        ),
     )
 
 
-def joint_variants_from_lines(
-    lines: DataFrame, samples: Sequence[str], uids: Mapping[str, str]
-) -> DataFrame:
+def joint_variants(variants: DataFrame, uids: Mapping[str, str]) -> DataFrame:
     """SNVs, also multi-allelic ones, with allele indices per role.
 
     ``uids`` maps a role to its sample; the role ``""`` gives ``allele_1`` and
     ``allele_2``, any other ``allele_1_<role>``. A field that is just ``.`` is null.
     """
-    parsed = variant_records(lines, samples, {f"r{i}": uid for i, uid in enumerate(uids.values())})
+    parsed = _sites(variants, {f"r{i}": uid for i, uid in enumerate(uids.values())})
 
     def known(column: str) -> Column:
         return F.when(F.col(column) != UNKNOWN, F.col(column))
@@ -172,29 +186,24 @@ def joint_variants_from_lines(
     return parsed.filter(is_snv_any_alts(known("REF"), known("ALT"))).select("chrom", "start", "end", *alleles)
 
 
-def _lines_and_samples(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, list[str]]:
-    lines = read_lines(spark, path)
-    return lines, read_sample_names(lines)
-
-
 def read_read_phasing(spark: SparkSession, path: str | list[str], *, partitions: int | None = None) -> DataFrame:
-    return spread(read_phasing_from_lines(*_lines_and_samples(spark, path)), partitions)
+    return spread(read_phasing(read_variants(spark, path)), partitions)
 
 
 def read_inheritance_phasing(
     spark: SparkSession, path: str | list[str], uid: str, *, partitions: int | None = None
 ) -> DataFrame:
-    return spread(inheritance_phasing_from_lines(*_lines_and_samples(spark, path), uid), partitions)
+    return spread(inheritance_phasing(read_variants(spark, path), uid), partitions)
 
 
 def read_trio_pairs(
     spark: SparkSession, path: str | list[str], kid: str, dad: str, mom: str
 ) -> tuple[DataFrame, DataFrame]:
-    return trio_pairs_from_lines(*_lines_and_samples(spark, path), kid, dad, mom)
+    return trio_pairs(read_variants(spark, path), kid, dad, mom)
 
 
 def read_joint_variants(
     spark: SparkSession, path: str | list[str], uids: str | Mapping[str, str], *, partitions: int | None = None
 ) -> DataFrame:
     roles = {"": uids} if isinstance(uids, str) else uids
-    return spread(joint_variants_from_lines(*_lines_and_samples(spark, path), roles), partitions)
+    return spread(joint_variants(read_variants(spark, path), roles), partitions)
