@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 class HapMapSpec:
     """One comparison: the block keys, the two allele columns and the labels to give.
 
-    ``labels`` maps an output column to its values for a matching and for an
-    opposite block.
+    ``labels`` names an output column with the SQL expressions of its value in a
+    matching and in an opposite block.
     """
 
     keys: tuple[str, ...]
@@ -27,12 +27,12 @@ class HapMapSpec:
     ends: tuple[str, str]
     observed: str
     expected: str
-    labels: tuple[tuple[str, Column, Column], ...]
+    labels: tuple[tuple[str, str, str], ...]
     count_name: str
 
 
 def founder_spec() -> HapMapSpec:
-    pat, mat = F.col("founder_label_pat_iht_block"), F.col("founder_label_mat_iht_block")
+    pat, mat = "founder_label_pat_iht_block", "founder_label_mat_iht_block"
     return HapMapSpec(
         keys=(
             "chrom",
@@ -48,8 +48,8 @@ def founder_spec() -> HapMapSpec:
         observed="allele_hap1",
         expected="allele_pat",
         labels=(
-            ("paternal_haplotype", F.concat(pat, F.lit("_hap1")), F.concat(pat, F.lit("_hap2"))),
-            ("maternal_haplotype", F.concat(mat, F.lit("_hap2")), F.concat(mat, F.lit("_hap1"))),
+            ("paternal_haplotype", f"{pat} || '_hap1'", f"{pat} || '_hap2'"),
+            ("maternal_haplotype", f"{mat} || '_hap2'", f"{mat} || '_hap1'"),
         ),
         count_name="num_het_SNVs",
     )
@@ -69,7 +69,7 @@ def parent_spec(parent: str) -> HapMapSpec:
         ends=ends,
         observed=f"kid_allele_{side}",
         expected=f"{parent}_allele_{hap1}",
-        labels=((column, F.lit(hap1), F.lit(hap2)),),
+        labels=((column, f"'{hap1}'", f"'{hap2}'"),),
         count_name="num_het_SNVs_in_parent",
     )
 
@@ -105,7 +105,7 @@ def hap_map(snvs: DataFrame, spec: HapMapSpec, *, by: Sequence[str] = ()) -> Dat
         "chrom",
         F.greatest(*spec.starts).alias("start"),
         F.least(*spec.ends).alias("end"),
-        *[F.when(F.col("__matches"), same).otherwise(other).alias(name) for name, same, other in spec.labels],
+        *[F.when(F.col("__matches"), F.expr(a)).otherwise(F.expr(b)).alias(name) for name, a, b in spec.labels],
         "haplotype_concordance",
         spec.count_name,
     )
