@@ -183,6 +183,18 @@ SELECT o_expanded_trio.*, p.distance < 50 AS is_within_50bp_of_mismatch_site_pat
        m.distance < 50 AS is_within_50bp_of_mismatch_site_mat
 FROM o_expanded_trio LEFT JOIN o_distance_pat p USING ({SITE}) LEFT JOIN o_distance_mat m USING ({SITE})"""
 
+# Every chromosome has het sites at any scale, so these flags are never null.
+CTES["o_distance_het"] = _distances("o_expanded", "o_snvs")
+CTES["o_distance_het_pat"] = _distances("o_expanded_trio", "o_snvs_dad")
+CTES["o_distance_het_mat"] = _distances("o_expanded_trio", "o_snvs_mom")
+CTES["o_near_het"] = f"""
+SELECT o_expanded.*, distance < 50 AS is_within_50bp_of_mismatch_site
+FROM o_expanded LEFT JOIN o_distance_het USING ({SITE})"""
+CTES["o_near_het_trio"] = f"""
+SELECT o_expanded_trio.*, p.distance < 50 AS is_within_50bp_of_mismatch_site_pat,
+       m.distance < 50 AS is_within_50bp_of_mismatch_site_mat
+FROM o_expanded_trio LEFT JOIN o_distance_het_pat p USING ({SITE}) LEFT JOIN o_distance_het_mat m USING ({SITE})"""
+
 CTES["o_variants"] = """
 SELECT chrom, start_, end_, substr(split_part(gt_raw, ':', 1), 1, 1) AS allele_1, substr(split_part(gt_raw, ':', 1), 3, 1) AS allele_2
 FROM fx_variant WHERE length(ref) = 1 AND len(list_filter(string_split(alt, ','), lambda a: length(a) <> 1)) = 0"""

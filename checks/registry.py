@@ -873,21 +873,25 @@ def a7(spark, folder):
     return expand.label_allele_specific(expand.label_with_variants(i.view("fx_cpg"), i.trio_variants()), MEMBERS)
 
 
-@register("a8_qc_pedigree", o.fractions("o_near", {"within_50bp_of_mismatch": "is_within_50bp_of_mismatch_site"} | o.mode_conditions("pat", "mat", "")))
+@register("a8_qc_pedigree", o.fractions("o_near_het", {"within_50bp_of_mismatch": "is_within_50bp_of_mismatch_site"} | o.mode_conditions("pat", "mat", "")))
 def a8(spark, folder):
-    return qc.qc_founder(Inputs(spark, folder, staged=True).near())
+    # All het sites stand in for the mismatches: unlike those, every chromosome has some at any scale.
+    i = Inputs(spark, folder, staged=True)
+    return qc.qc_founder(expand.flag_proximity(i.expanded(), hapmap.het_sites(i.founder_snvs())))
 
 
 @register(
     "a9_qc_trio",
     o.fractions(
-        "o_near_trio",
+        "o_near_het_trio",
         {f"within_50bp_of_mismatch_{s}": f"is_within_50bp_of_mismatch_site_{s}" for s in ("pat", "mat")}
         | o.mode_conditions("kid_pat", "kid_mat", "_kid"),
     ),
 )
 def a9(spark, folder):
-    return qc.qc_trio(Inputs(spark, folder, staged=True).near_trio())
+    i = Inputs(spark, folder, staged=True)
+    df = expand.flag_proximity(i.expanded_trio(), hapmap.het_sites(i.parent_snvs("dad")), "_pat")
+    return qc.qc_trio(expand.flag_proximity(df, hapmap.het_sites(i.parent_snvs("mom")), "_mat"))
 
 
 @register("a10_read_count_invariant", o.renamed("o_unphased_dad"))
