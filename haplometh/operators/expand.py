@@ -167,9 +167,13 @@ def _as_dinucleotides(df: DataFrame, cpg_columns: Sequence[str]) -> DataFrame:
     return df.withColumn("end", F.col("end") + 1).withColumnsRenamed(renames)
 
 
-def _with_copies(cpgs: DataFrame) -> DataFrame:
-    """Distinct CpG rows and how often each occurs; needs no shuffle when rows are already placed by site."""
-    return cpgs.groupBy(*cpgs.columns).agg(F.count(F.lit(1)).alias("__copies"))
+def _with_copies(cpgs: DataFrame, site: Sequence[str]) -> DataFrame:
+    """Distinct CpG rows and how often each occurs.
+
+    Placing rows by site first lets the grouping on all columns, and the join
+    by site that follows, share that one shuffle.
+    """
+    return cpgs.repartition(*site).groupBy(*cpgs.columns).agg(F.count(F.lit(1)).alias("__copies"))
 
 
 def label_with_variants(cpgs: DataFrame, variants: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
@@ -195,7 +199,7 @@ def label_with_variants(cpgs: DataFrame, variants: DataFrame, *, by: Sequence[st
     counts = hits.groupBy(*site).agg(F.count("start_variant").alias("__hits"))
     number = (F.coalesce("__hits", F.lit(0)) * F.col("__copies")).cast("bigint")
     labelled = (
-        _with_copies(cpgs)
+        _with_copies(cpgs, site)
         .join(counts, site, "left")
         .join(hits, site, "left")
         .withColumn("num_SNVs_overlapping_CG", number)
@@ -290,8 +294,9 @@ def flag_allele_specific(
     ``merge_identical`` folds fully identical CpG rows into one, each copy
     listing its SNVs; leave it out for tables known to have no such rows.
     """
-    rows = _with_copies(cpgs) if merge_identical else cpgs.withColumn("__copies", F.lit(1))
-    joined = rows.join(variant_profiles(variants, roles, by=by), with_by(by), "left")
+    site = with_by(by)
+    rows = _with_copies(cpgs, site) if merge_identical else cpgs.withColumn("__copies", F.lit(1))
+    joined = rows.join(variant_profiles(variants, roles, by=by), site, "left")
     wide = _as_dinucleotides(joined, cpgs.columns)
     columns = [c for c in wide.columns if c not in ("__copies", "__profile")]
     names = [f"__g{i}" for i in range(len(roles))]

@@ -68,7 +68,6 @@ def align_sites(
     *,
     by: Sequence[str] = (),
     presence: Sequence[str] = (),
-    check_unique: bool = True,
 ) -> DataFrame:
     """Full outer join of many tables that hold each site at most once.
 
@@ -85,13 +84,14 @@ def align_sites(
 
     stacked = None
     outputs: list[Column] = []
+    flags: list[Column] = []
     for tag, (name, table) in enumerate(tables.items()):
         here = F.col("__tag") == tag
         source_of = {slot: source for source, (slot, _) in slots[name].items()}
         for source, output in values.get(name, {}).items():
             outputs.append(F.max(F.when(here, F.col(slots[name][source][0]))).alias(output))
         if name in presence:
-            outputs.append(F.coalesce(F.bool_or(here), F.lit(False)).alias(f"has_{name}"))
+            flags.append(F.getbit("__tags", F.lit(tag)).cast("boolean").alias(f"has_{name}"))
         cells = [
             (F.col(source_of[slot]) if slot in source_of else F.lit(None).cast(kind)).alias(slot)
             for slot, kind in kinds.items()
@@ -101,17 +101,21 @@ def align_sites(
 
     # Shuffling before the aggregate keeps the exchanged rows narrow; the fold
     # then needs no second exchange.
-    folded = stacked.repartition(*keys).groupBy(*keys)
-    if not check_unique:
-        return folded.agg(*outputs)
-    # One distinct tag per row when every table holds the site once.
-    rows_per_site = F.count(F.lit(1)).alias("__rows")
-    tag_bits = F.bit_or(F.expr("shiftleft(1L, cast(__tag as int))")).alias("__tags")
+    folded = (
+        stacked.repartition(*keys)
+        .groupBy(*keys)
+        .agg(
+            *outputs,
+            F.count(F.lit(1)).alias("__rows"),
+            F.bit_or(F.expr("shiftleft(1L, cast(__tag as int))")).alias("__tags"),
+        )
+    )
+    # As many tags as rows: every table holds the site once at most.
     once = F.col("__rows") == F.bit_count("__tags")
     message = F.format_string("site %s:%d occurs more than once in one table", "chrom", "start")
-    checked = F.when(once, F.col("chrom")).otherwise(F.raise_error(message).cast("string"))
-    aligned = folded.agg(*outputs, rows_per_site, tag_bits)
-    return aligned.withColumn("chrom", checked).drop("__rows", "__tags")
+    checked = F.when(once, F.col("chrom")).otherwise(F.raise_error(message).cast("string")).alias("chrom")
+    kept = [checked if c == "chrom" else F.col(c) for c in folded.columns if not c.startswith("__")]
+    return folded.select(*kept, *flags)
 
 
 def _typed_slots(table: DataFrame, columns: Mapping[str, str]) -> dict[str, tuple[str, str]]:
