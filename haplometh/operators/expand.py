@@ -26,7 +26,9 @@ def _infix(member: str) -> str:
     return f"_{member}" if member else ""
 
 
-def join_unphased(count: DataFrame, model: DataFrame, member: str = "", *, by: Sequence[str] = ()) -> DataFrame:
+def join_unphased(
+    count: DataFrame, model: DataFrame, member: str = "", *, by: Sequence[str] = (), hot_keys: bool = False
+) -> DataFrame:
     """Unphased count and model levels by site, both read counts kept."""
     who = _infix(member)
 
@@ -38,7 +40,7 @@ def join_unphased(count: DataFrame, model: DataFrame, member: str = "", *, by: S
             }
         )
 
-    return full_outer(named(count, "count"), named(model, "model"), with_by(by))
+    return full_outer(named(count, "count"), named(model, "model"), with_by(by), hot_keys=hot_keys)
 
 
 def collapse_read_counts(df: DataFrame, member: str = "") -> DataFrame:
@@ -61,19 +63,27 @@ def collapse_read_counts(df: DataFrame, member: str = "") -> DataFrame:
     return df.select(*columns)
 
 
-def unphased_member(count: DataFrame, model: DataFrame, member: str, *, by: Sequence[str] = ()) -> DataFrame:
-    return collapse_read_counts(join_unphased(count, model, member, by=by), member)
+def unphased_member(
+    count: DataFrame, model: DataFrame, member: str, *, by: Sequence[str] = (), hot_keys: bool = False
+) -> DataFrame:
+    return collapse_read_counts(join_unphased(count, model, member, by=by, hot_keys=hot_keys), member)
 
 
-def unphased_trio(files: dict[tuple[str, str], DataFrame], *, by: Sequence[str] = ()) -> DataFrame:
+def unphased_trio(
+    files: dict[tuple[str, str], DataFrame], *, by: Sequence[str] = (), hot_keys: bool = False
+) -> DataFrame:
     """Unphased levels of all members by site, pairwise joins."""
-    members = [unphased_member(files[m, "count"], files[m, "model"], m, by=by) for m in MEMBERS]
-    return join_members(members, by=by)
+    members = [
+        unphased_member(files[m, "count"], files[m, "model"], m, by=by, hot_keys=hot_keys) for m in MEMBERS
+    ]
+    return join_members(members, by=by, hot_keys=hot_keys)
 
 
-def add_reference_sites(reference: DataFrame, unphased: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
+def add_reference_sites(
+    reference: DataFrame, unphased: DataFrame, *, by: Sequence[str] = (), hot_keys: bool = False
+) -> DataFrame:
     """Every site of the reference genome or of the sample."""
-    return full_outer(reference, unphased, with_by(by))
+    return full_outer(reference, unphased, with_by(by), hot_keys=hot_keys)
 
 
 def attach_phased(sites: DataFrame, phased: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
@@ -95,9 +105,20 @@ def expand_trio(
 
 
 def all_sites_founder(
-    reference: DataFrame, count: DataFrame, model: DataFrame, *, by: Sequence[str] = ()
+    reference: DataFrame,
+    count: DataFrame,
+    model: DataFrame,
+    *,
+    by: Sequence[str] = (),
+    repeated_sites: bool = False,
 ) -> DataFrame:
-    """Reference sites and unphased levels of one sample, lined up by one shuffle."""
+    """Reference sites and unphased levels of one sample, lined up by one shuffle.
+
+    With ``repeated_sites`` they are joined pairwise, multiplying copies.
+    """
+    if repeated_sites:
+        unphased = join_unphased(count, model, by=by, hot_keys=True)
+        return collapse_read_counts(add_reference_sites(reference, unphased, by=by, hot_keys=True))
     names = {
         mode: {"total_read_count": f"total_read_count_{mode}", "methylation_level": f"methylation_level_{mode}"}
         for mode in MODES
@@ -115,9 +136,18 @@ def all_sites_founder(
 
 
 def all_sites_trio(
-    reference: DataFrame, files: dict[tuple[str, str], DataFrame], *, by: Sequence[str] = ()
+    reference: DataFrame,
+    files: dict[tuple[str, str], DataFrame],
+    *,
+    by: Sequence[str] = (),
+    repeated_sites: bool = False,
 ) -> DataFrame:
-    """Reference sites and unphased levels of three members, lined up by one shuffle."""
+    """Reference sites and unphased levels of three members, lined up by one shuffle.
+
+    With ``repeated_sites`` they are joined pairwise, multiplying copies.
+    """
+    if repeated_sites:
+        return add_reference_sites(reference, unphased_trio(files, by=by, hot_keys=True), by=by, hot_keys=True)
     tables = {"reference": reference}
     values: dict[str, dict[str, str]] = {}
     for (member, mode), df in files.items():
@@ -167,13 +197,14 @@ def _as_dinucleotides(df: DataFrame, cpg_columns: Sequence[str]) -> DataFrame:
     return df.withColumn("end", F.col("end") + 1).withColumnsRenamed(renames)
 
 
-def _with_copies(cpgs: DataFrame, site: Sequence[str]) -> DataFrame:
-    """Distinct CpG rows and how often each occurs.
+def _with_copies(cpgs: DataFrame) -> DataFrame:
+    """Distinct CpG rows and how often each occurs; copies collapse before they are shuffled."""
+    return cpgs.groupBy(*cpgs.columns).agg(F.count(F.lit(1)).alias("__copies"))
 
-    Placing rows by site first lets the grouping on all columns, and the join
-    by site that follows, share that one shuffle.
-    """
-    return cpgs.repartition(*site).groupBy(*cpgs.columns).agg(F.count(F.lit(1)).alias("__copies"))
+
+def repeats_sites(cpgs: DataFrame, *, by: Sequence[str] = ()) -> bool:
+    """Whether any site has more than one row (runs a job on the key columns alone)."""
+    return not cpgs.groupBy(*with_by(by)).count().filter("count > 1").isEmpty()
 
 
 def label_with_variants(cpgs: DataFrame, variants: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
@@ -199,7 +230,7 @@ def label_with_variants(cpgs: DataFrame, variants: DataFrame, *, by: Sequence[st
     counts = hits.groupBy(*site).agg(F.count("start_variant").alias("__hits"))
     number = (F.coalesce("__hits", F.lit(0)) * F.col("__copies")).cast("bigint")
     labelled = (
-        _with_copies(cpgs, site)
+        _with_copies(cpgs)
         .join(counts, site, "left")
         .join(hits, site, "left")
         .withColumn("num_SNVs_overlapping_CG", number)
@@ -292,11 +323,11 @@ def flag_allele_specific(
     """Same table as labelling with variants and then grouping by CpG, with one join.
 
     ``merge_identical`` folds fully identical CpG rows into one, each copy
-    listing its SNVs; leave it out for tables known to have no such rows.
+    listing its SNVs. It groups by all columns; a table without repeated sites
+    (see :func:`repeats_sites`) gives the same result faster without it.
     """
-    site = with_by(by)
-    rows = _with_copies(cpgs, site) if merge_identical else cpgs.withColumn("__copies", F.lit(1))
-    joined = rows.join(variant_profiles(variants, roles, by=by), site, "left")
+    rows = _with_copies(cpgs) if merge_identical else cpgs.withColumn("__copies", F.lit(1))
+    joined = rows.join(variant_profiles(variants, roles, by=by), with_by(by), "left")
     wide = _as_dinucleotides(joined, cpgs.columns)
     columns = [c for c in wide.columns if c not in ("__copies", "__profile")]
     names = [f"__g{i}" for i in range(len(roles))]

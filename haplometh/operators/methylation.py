@@ -47,10 +47,13 @@ def suffixed(df: DataFrame, suffix: str, columns: Sequence[str]) -> DataFrame:
     return df.withColumnsRenamed({c: f"{c}{suffix}" for c in columns})
 
 
-def join_haplotypes(hap1: DataFrame, hap2: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
+def join_haplotypes(
+    hap1: DataFrame, hap2: DataFrame, *, by: Sequence[str] = (), hot_keys: bool = False
+) -> DataFrame:
     """Levels of both read haplotypes side by side; a site may be on one of them only."""
     values = ["total_read_count", "methylation_level"]
-    return full_outer(suffixed(hap1, "_hap1", values), suffixed(hap2, "_hap2", values), with_by(by))
+    sides = suffixed(hap1, "_hap1", values), suffixed(hap2, "_hap2", values)
+    return full_outer(*sides, with_by(by), hot_keys=hot_keys)
 
 
 def _hap_map_columns(hap_map: DataFrame) -> DataFrame:
@@ -81,14 +84,14 @@ def phase_to_founders(
     return placed.select(*with_by(by), *FOUNDER_COMMON[:4], *swapped, *founders)
 
 
-def combine_modes(count: DataFrame, model: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
+def combine_modes(
+    count: DataFrame, model: DataFrame, *, by: Sequence[str] = (), hot_keys: bool = False
+) -> DataFrame:
     """Founder-phased count and model levels in one row, joined on all they have in common (null equals null)."""
     levels = ("methylation_level_pat", "methylation_level_mat")
     on = with_by(by, (*SITE, *FOUNDER_COMMON))
-    joined = full_outer(
-        suffixed(count, "_count", levels), suffixed(model, "_model", levels), on, null_safe=True
-    )
-    return joined.select(*on, *FOUNDER_LEVELS)
+    sides = suffixed(count, "_count", levels), suffixed(model, "_model", levels)
+    return full_outer(*sides, on, null_safe=True, hot_keys=hot_keys).select(*on, *FOUNDER_LEVELS)
 
 
 def founder_phased_methylation(
@@ -97,6 +100,7 @@ def founder_phased_methylation(
     *,
     by: Sequence[str] = (),
     bin_size: int = BLOCK_BIN,
+    repeated_sites: bool = False,
 ) -> DataFrame:
     """Same table as joining haplotypes, phasing each mode and combining the modes, in one pass.
 
@@ -104,8 +108,21 @@ def founder_phased_methylation(
     lined up by one shuffle, and the interval join runs once instead of once
     per mode. Modes meet in one row when they agree on the read counts; where
     they do not, a phased site keeps one row per mode, as it would after a join
-    that includes the counts.
+    that includes the counts. Files that repeat sites need ``repeated_sites``:
+    the steps then run one by one, with joins that multiply the copies and
+    split hot ones.
     """
+    if repeated_sites:
+        modes = [
+            phase_to_founders(
+                join_haplotypes(files[mode, "hap1"], files[mode, "hap2"], by=by, hot_keys=True),
+                hap_map,
+                by=by,
+                bin_size=bin_size,
+            )
+            for mode in MODES
+        ]
+        return combine_modes(*modes, by=by, hot_keys=True)
     tables = {f"{mode}_{hap}": df for (mode, hap), df in files.items()}
     values = {
         name: {"total_read_count": f"reads_{name}", "methylation_level": f"level_{name}"} for name in tables
@@ -157,11 +174,14 @@ def founder_phased_methylation(
     )
 
 
-def combine_modes_of_member(count: DataFrame, model: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
+def combine_modes_of_member(
+    count: DataFrame, model: DataFrame, *, by: Sequence[str] = (), hot_keys: bool = False
+) -> DataFrame:
     """Count and model levels of one person; read counts are those of the count table."""
     levels = ("methylation_level_hap1", "methylation_level_hap2")
     lean = model.select(*with_by(by), *levels)
-    return full_outer(suffixed(count, "_count", levels), suffixed(lean, "_model", levels), with_by(by))
+    sides = suffixed(count, "_count", levels), suffixed(lean, "_model", levels)
+    return full_outer(*sides, with_by(by), hot_keys=hot_keys)
 
 
 def name_member_haplotypes(df: DataFrame, member: str) -> DataFrame:
@@ -175,11 +195,11 @@ def name_member_haplotypes(df: DataFrame, member: str) -> DataFrame:
     return df.withColumnsRenamed(renames)
 
 
-def join_members(tables: Sequence[DataFrame], *, by: Sequence[str] = ()) -> DataFrame:
+def join_members(tables: Sequence[DataFrame], *, by: Sequence[str] = (), hot_keys: bool = False) -> DataFrame:
     """Full outer join of the members' tables by site."""
     joined = tables[0]
     for table in tables[1:]:
-        joined = full_outer(joined, table, with_by(by))
+        joined = full_outer(joined, table, with_by(by), hot_keys=hot_keys)
     return joined
 
 
@@ -235,9 +255,22 @@ def phase_to_parents(
 
 
 def trio_methylation(
-    files: Mapping[tuple[str, str, str], DataFrame], *, by: Sequence[str] = ()
+    files: Mapping[tuple[str, str, str], DataFrame], *, by: Sequence[str] = (), repeated_sites: bool = False
 ) -> DataFrame:
-    """The trio's twelve site tables, keyed ``(member, mode, haplotype)``, lined up by one shuffle."""
+    """The trio's twelve site tables, keyed ``(member, mode, haplotype)``, lined up by one shuffle.
+
+    With ``repeated_sites`` they are joined pairwise, multiplying copies.
+    """
+    ordered = [*with_by(by), *[c for member in MEMBERS for c in trio_columns(member)]]
+    if repeated_sites:
+        members = []
+        for member in MEMBERS:
+            modes = [
+                join_haplotypes(files[member, mode, "hap1"], files[member, mode, "hap2"], by=by, hot_keys=True)
+                for mode in MODES
+            ]
+            members.append(name_member_haplotypes(combine_modes_of_member(*modes, by=by, hot_keys=True), member))
+        return join_members(members, by=by, hot_keys=True).select(*ordered)
     tables, values = {}, {}
     for (member, mode, hap), df in files.items():
         name = next(n for n, (person, h, _) in TRIO_HAPLOTYPES.items() if (person, h) == (member, hap))
@@ -245,5 +278,4 @@ def trio_methylation(
         values[f"{name}_{mode}"] = {"methylation_level": f"methylation_level_{name}_{mode}"}
         if mode == "count":
             values[f"{name}_{mode}"]["total_read_count"] = f"total_read_count_{name}"
-    aligned = align_sites(tables, values, by=by)
-    return aligned.select(*with_by(by), *[c for member in MEMBERS for c in trio_columns(member)])
+    return align_sites(tables, values, by=by).select(*ordered)

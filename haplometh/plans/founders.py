@@ -36,6 +36,7 @@ def phase_meth_to_founder_haps(
     beds: Mapping[tuple[str, str], str],
     output_dir: str,
     partitions: int | None = None,
+    repeated_sites: bool = False,
 ) -> FounderPhasing:
     """``beds`` holds the four pileup files by ``(mode, haplotype)``: count/model, hap1/hap2.
 
@@ -66,7 +67,9 @@ def phase_meth_to_founder_haps(
         (mode, hap): bed.read_meth_level(spark, path, mode, partitions=partitions)
         for (mode, hap), path in beds.items()
     }
-    phased = methylation.founder_phased_methylation(files, hap_map, bin_size=mean_width_bin(hap_map))
+    phased = methylation.founder_phased_methylation(
+        files, hap_map, bin_size=mean_width_bin(hap_map), repeated_sites=repeated_sites
+    )
     table = f"{out}/{uid}.dna-methylation.parquet"
     phased.write.mode("overwrite").parquet(table)
     phased = spark.read.schema(phased.schema).parquet(table)

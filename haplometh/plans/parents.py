@@ -35,6 +35,7 @@ def phase_meth_to_parent_haps(
     beds: Mapping[tuple[str, str, str], str],
     output_dir: str,
     partitions: int | None = None,
+    repeated_sites: bool = False,
 ) -> ParentPhasing:
     """``block_files`` by member, ``beds`` the twelve pileup files by ``(member, mode, haplotype)``."""
     out = output_dir.rstrip("/")
@@ -59,7 +60,10 @@ def phase_meth_to_parent_haps(
         key: bed.read_meth_level(spark, path, key[1], partitions=partitions) for key, path in beds.items()
     }
     phased = methylation.phase_to_parents(
-        methylation.trio_methylation(files), maps["pat"], maps["mat"], bin_size=mean_width_bin(maps["pat"])
+        methylation.trio_methylation(files, repeated_sites=repeated_sites),
+        maps["pat"],
+        maps["mat"],
+        bin_size=mean_width_bin(maps["pat"]),
     )
     table = f"{out}/trio.dna-methylation.parquet"
     phased.write.mode("overwrite").parquet(table)

@@ -103,6 +103,7 @@ def test_trio_alignment_equals_pairwise_joins(spark, rows):
         members.append(methylation.name_member_haplotypes(combined, member))
     pairwise = methylation.join_members(members)
     aligned = methylation.trio_methylation(files)
+    assert rows(methylation.trio_methylation(files, repeated_sites=True)) == rows(aligned)
     assert rows(aligned, *pairwise.columns) == rows(pairwise)
 
 
@@ -118,3 +119,15 @@ def test_unphased_trio_columns_become_null(spark, rows):
     assert out["methylation_level_kid_pat_count"] == out["methylation_level_dad_B_model"] == 0.5
     assert out["methylation_level_kid_mat_count"] is None and out["total_read_count_mom_D"] is None
     assert (out["paternal_haplotype"], out["num_het_SNVs_in_dad"], out["maternal_haplotype"]) == ("B", 3, None)
+
+
+def test_files_that_repeat_sites(spark, rows, files, hap_map):
+    """Copies multiply, as in a join, when the caller says sites may repeat."""
+    unique = methylation.founder_phased_methylation(files, hap_map)
+    assert rows(methylation.founder_phased_methylation(files, hap_map, repeated_sites=True)) == rows(unique)
+    doubled = files | {("count", "hap1"): files["count", "hap1"].union(files["count", "hap1"])}
+    out = methylation.founder_phased_methylation(doubled, hap_map, repeated_sites=True)
+    starts = [r[0] for r in rows(out, "start")]
+    assert starts.count(10) == 4 and starts.count(40) == 1
+    with pytest.raises(Exception, match="more than once"):
+        methylation.founder_phased_methylation(doubled, hap_map).collect()
