@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,6 +48,11 @@ def through_lines(variants: DataFrame) -> DataFrame:
     return vcf.variants_from_lines(lines, "\t".join(variants.columns))
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder for what a query writes and reads back."""
+    return f"{shared_folder(spark).rstrip('/')}/checks-{uuid.uuid4().hex}/{name}"
+
+
 class Inputs:
     """The library's inputs, built from one data folder.
 
@@ -178,13 +184,13 @@ def s1(spark, folder):
 
 @register("s2_k1_bed_roundtrip", f"SELECT {o.OUT_SNV} FROM o_mismatch")
 def s2(spark, folder):
-    path = text.write_bed(Inputs(spark, folder).mismatches(), f"{shared_folder(spark)}/checks", "mismatches")
+    path = text.write_bed_and_header(Inputs(spark, folder).mismatches(), scratch(spark, "mismatches.bed"))
     return bed.read_bed_and_header(spark, path)
 
 
 @register("s3_k3_described_bed_roundtrip", o.renamed("o_hap_map"))
 def s3(spark, folder):
-    path = f"{shared_folder(spark)}/checks/hap-map-described.bed"
+    path = scratch(spark, "hap-map-described.bed")
     text.write_dataframe_to_bed(Inputs(spark, folder).hap_map(), path, "checks")
     return bed.read_dataframe_from_bed(spark, path)
 
@@ -204,13 +210,13 @@ _FINAL_TRIO_OUT = o.flagged(
 def s4(spark, folder):
     i = Inputs(spark, folder, staged=True)
     final = expand.flag_allele_specific(i.near(), i.variants())
-    root = text.write_methylation(final, f"{shared_folder(spark)}/checks/final.bed", "checks")
+    root = text.write_methylation(final, scratch(spark, "final.bed"), "checks")
     return bed.read_expanded(spark, f"{root}.sorted.bed.gz")
 
 
 @register("s5_reference_cpgs_roundtrip", f"SELECT {o.OUT_SITE} FROM fx_reference")
 def s5(spark, folder):
-    path = f"{shared_folder(spark)}/checks/reference.bed"
+    path = scratch(spark, "reference.bed")
     text.write_table(Inputs(spark, folder).view("fx_reference"), path)
     return bed.read_all_cpgs_in_reference(spark, path)
 
@@ -421,7 +427,7 @@ def s17(spark, folder):
        FROM o_mismatch""",
 )
 def k5(spark, folder):
-    path = f"{shared_folder(spark)}/checks/mismatches.vcf"
+    path = scratch(spark, "mismatches.vcf")
     text.write_vcf(Inputs(spark, folder).mismatches(), path, "kid")
     return spark.read.text(path).filter(~F.col("value").startswith("#")).withColumnRenamed("value", "line")
 
@@ -431,7 +437,7 @@ def k5(spark, folder):
     f"SELECT {o.OUT_SITE}, paternal_haplotype FROM o_hap_map",
 )
 def k6(spark, folder):
-    path = text.write_hap_map_blocks(Inputs(spark, folder).hap_map(), f"{shared_folder(spark)}/checks", "kid", "paternal")
+    path = text.write_hap_map_blocks(Inputs(spark, folder).hap_map(), scratch(spark, "blocks"), "kid", "paternal")
     return bed.read_bed_and_header(spark, path)
 
 
@@ -459,7 +465,7 @@ def k7_trio(spark, folder):
 def k7_combined(spark, folder):
     i = Inputs(spark, folder)
     unphased = expand.unphased_trio({(p, m): i.combined(p, m) for p in MEMBERS for m in methylation.MODES})
-    path = f"{shared_folder(spark)}/checks/combined.tracks"
+    path = scratch(spark, "combined.tracks")
     text.write_tracks(text.tracks(unphased, text.combined_track_columns(_IDS)), path)
     schema = "chrom string, start bigint, end bigint, value double, track string"
     return spark.read.csv(path, sep="\t", schema=schema)
@@ -493,7 +499,7 @@ _PRIMARY = "chrom NOT LIKE '%\\_random%' ESCAPE '\\' AND chrom NOT LIKE '%chrEBV
 
 @register("k9_p1_clean_contigs", f"SELECT {o.OUT_SITE} FROM o_contigs WHERE {_PRIMARY}")
 def k9(spark, folder):
-    path = f"{shared_folder(spark)}/checks/clean.bed"
+    path = scratch(spark, "clean.bed")
     text.clean_bed(_contigs(spark, folder), path)
     return bed.read_all_cpgs_in_reference(spark, path)
 
@@ -840,7 +846,7 @@ def j18(spark, folder):
 @register("u3_concatenated_files", f"SELECT {o.OUT_SITE}, allele_1, allele_2 FROM o_variants")
 def u3(spark, folder):
     i = Inputs(spark, folder)
-    root = f"{shared_folder(spark)}/checks/by-chrom"
+    root = scratch(spark, "by-chrom")
     calls = i.joint_calls()
     names = "\t".join(calls.columns)
     spark.createDataFrame([(names,)], "value string").coalesce(1).write.mode("overwrite").text(f"{root}/0-header")
