@@ -9,12 +9,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """The folder named by ``spark.checkpoint.dir``.
+
+    Where the session names none (tests, a single machine), the context's own
+    checkpoint folder, set to a temporary one the first time.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
+    return context.getCheckpointDir()
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that no other call returns."""
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -25,6 +36,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     size-checked choice between broadcast and shuffle is an informed one.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -6,9 +6,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from checks.registry import ORACLES, QUERIES
 
 FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
-ORACLES = contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +25,7 @@ def comparable(rows):
     return sorted(tuple(repr(v) for v in row) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, tables, name):
     df = contract.queries()[name](spark, FOLDER)
     columns = sorted(df.columns)
@@ -42,7 +42,11 @@ def test_query(spark, tables, name):
 
 
 def test_only_samples_lack_an_oracle():
-    assert set(contract.queries()) - set(ORACLES) == {"o4_seeded_sample", "o4_sample_at_double_variants"}
+    assert set(QUERIES) - set(ORACLES) == {"o4_seeded_sample", "o4_sample_at_double_variants"}
+
+
+def test_contract_holds_the_registry():
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):
