@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haplometh.llm import bpe, pii
+from haplometh.llm import blockjoin, bpe, langid, pii, vafile
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,3 +40,44 @@ def op1_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 def op7_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
     encoded = bpe.encode(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return encoded.select("doc_id", F.col("n_tokens").cast("long").alias("n_tokens"), "ids_sha256", "decoded_sha256")
+
+
+@query
+def op2_languages(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return langid.identify(docs, langid.fit(docs)).select("doc_id", F.coalesce(langid.remainder() == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op3_vector_files(spark: SparkSession, folder: str) -> DataFrame:
+    return vafile.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+ORACLES["op3_vector_files"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
+@query
+def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return blockjoin.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+ORACLES["op10_neighbours"] = """
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_reduce(list_prepend(CAST(0 AS DOUBLE), list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])), lambda a, b: a + b) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
