@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haplometh.llm import blockjoin, bpe, langid, mixing, pii, vafile
+from haplometh.llm import blockjoin, bpe, langid, mixing, pii, vafile, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -87,3 +87,19 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 def op6_mixture(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@query
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    back = warc.read(warc.archive(table(spark, folder, "pages")), with_data=False)
+    return back.select("page_id", "payload_bytes", F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), "refers_to")
+
+
+ORACLES["op5_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+q AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest, max(page_id) OVER (PARTITION BY html) AS keeper FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 1000 AND page_id < keeper THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 1000 AND page_id < keeper THEN keeper END AS refers_to
+FROM q
+"""
