@@ -95,7 +95,7 @@ def search(rows: DataFrame, is_query, k: int, encode: Encode, columns: list[str]
     listed = packed.agg(F.sort_array(F.collect_list(F.xxhash64("ids"))).alias("b")).collect()[0]["b"]  # one number a query block
     right = candidates.select(*[F.col(c).alias(f"c_{c}") for c in ("ids", *columns)], F.pmod(F.xxhash64("ids"), F.lit(slots)).cast("int").alias("slot"))
     right = right.withColumn("block", F.explode(F.lit(listed).cast("array<bigint>")))
-    cells = left.join(right, ["block", "slot"])
+    cells = left.hint("merge").join(right, ["block", "slot"])  # either side grows with the input: never broadcast
     order = [f"{side}_{c}" for side in "qc" for c in ("ids", *columns)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

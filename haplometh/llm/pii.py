@@ -333,7 +333,8 @@ def redact(docs: DataFrame, finder: Finder) -> DataFrame:
     A span inside or across another is merged with it and takes the first kind.
     Null texts stay null; all columns are kept, in their order.
     """
-    at = docs.columns.index("text")
+    names = docs.columns
+    at = names.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -343,7 +344,7 @@ def redact(docs: DataFrame, finder: Finder) -> DataFrame:
                 base, added = _found(plain, finder)
                 new = [None if t is None else _masked(t, b + a) for t, b, a in zip(texts, base, added, strict=True)]
                 columns = [pa.array(new, pa.string()) if i == at else batch.column(i) for i in range(batch.num_columns)]
-                yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return docs.mapInArrow(run, docs.schema)
 

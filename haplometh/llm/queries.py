@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haplometh.llm import blockjoin, bpe, langid, mixing, pii, vafile, warc
+from haplometh.llm import blockjoin, bpe, langid, mixing, pii, quality, vafile, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -103,3 +103,8 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 1000 AND page_id < keeper THEN keeper END AS refers_to
 FROM q
 """
+
+
+@query
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.resample(table(spark, folder, "documents"), table(spark, folder, "labels"))

@@ -30,6 +30,9 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_KIND = np.ones(256, np.int8)
+_KIND[_SPACE] = 0
+_KIND[[b for b in range(33, 127) if not chr(b).isalnum()]] = 2
 _VALUE = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_ODD))
 _POWER = np.full(PIECE + 1, 0xD6E8FEB86659FD93, np.uint64)
 _POWER[0] = 1
@@ -69,17 +72,20 @@ def hashes(buffer: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray
     return out
 
 
-def words(texts, fold: bool = False, hashed: bool = True) -> Words:
-    """Words of ``texts`` (None: empty). ``fold`` lower-cases A to Z."""
+def words(texts, fold: bool = False, hashed: bool = True, marks: bool = False) -> Words:
+    """Words of ``texts`` (None: empty).
+
+    ``fold`` lower-cases A to Z; ``marks`` makes runs of ASCII punctuation words of their own.
+    """
     raw = [b"" if t is None else (t.encode("utf-8", "surrogatepass") if isinstance(t, str) else t) for t in texts]
     joined = b"\n".join(raw)
     if fold:
         joined = joined.lower()
     buffer = np.frombuffer(joined, np.uint8)
-    inside = np.zeros(len(buffer) + 2, np.int8)
-    inside[1:-1] = ~_SPACE[buffer]
-    edges = np.flatnonzero(np.diff(inside))
-    start, end = edges[0::2], edges[1::2]
+    kind = np.zeros(len(buffer) + 2, np.int8)
+    kind[1:-1] = _KIND[buffer] if marks else ~_SPACE[buffer]
+    edge = kind[1:] != kind[:-1]
+    start, end = np.flatnonzero(edge & (kind[1:] > 0)), np.flatnonzero(edge & (kind[:-1] > 0))
     lengths = np.fromiter(map(len, raw), np.int64, len(raw)) + 1
     text_start = np.concatenate(([0], np.cumsum(lengths)))
     first = np.searchsorted(start, text_start)
