@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haplometh.llm import blockjoin, bpe, langid, mixing, pii, quality, vafile, warc
+from haplometh.llm import blockjoin, bpe, langid, mixing, pii, quality, substrings, vafile, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -108,3 +108,23 @@ FROM q
 @query
 def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.resample(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op8_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substrings.deduplicate(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
+
+
+ORACLES["op8_repeated_passages"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+s AS (SELECT r, unnest(range(1, len(w) - 33)) AS i FROM d WHERE len(w) >= 35),
+h AS (SELECT s.r, s.i, list_slice(d.w, s.i, s.i + 34) AS x FROM s JOIN d USING (r)),
+again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY x) AS c FROM h) WHERE c > 1),
+gone AS (SELECT DISTINCT r, unnest(range(i, i + 35)) AS i FROM again),
+g AS (SELECT r, list(i) AS gone FROM gone GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+  sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE list_filter(w, lambda v, k: NOT list_contains(gone, k)) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN g USING (r)
+"""
