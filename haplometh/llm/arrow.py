@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute
 
 #: Characters of text that one step of a batched numpy computation holds at once.
 STEP_CHARS = 1 << 21
