@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haplometh.llm import blockjoin, bpe, langid, mixing, pii, quality, substrings, vafile, warc
+from haplometh.llm import blockjoin, bpe, jaccard, langid, mixing, pii, quality, substrings, vafile, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -128,3 +128,26 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS
   sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE list_filter(w, lambda v, k: NOT list_contains(gone, k)) END, ' ')) AS kept_sha256
 FROM d LEFT JOIN g USING (r)
 """
+
+
+@query
+def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.components(table(spark, folder, "documents"))
+
+
+ORACLES["op4_near_duplicates"] = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT r, array_to_string(list_slice(w, i, i + 3), ' ') AS x
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+p AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM s a JOIN s b USING (x) WHERE a.r < b.r GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n na ON na.r = a JOIN n nb ON nb.r = b WHERE 100 * c >= 85 * (na.n + nb.n - c)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+t AS (SELECT r AS a, r AS b FROM d UNION SELECT t.a, e.b FROM t JOIN e ON e.a = t.b),
+m AS (SELECT t.a, min(d.doc_id) AS component_id FROM t JOIN d ON d.r = t.b GROUP BY t.a)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.component_id FROM d LEFT JOIN n USING (r) JOIN m ON m.a = d.r
+"""
