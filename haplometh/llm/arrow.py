@@ -11,7 +11,7 @@ import pyarrow.compute
 STEP_CHARS = 1 << 21
 
 
-def steps(batch: pa.RecordBatch, text: str = "text", most: int = STEP_CHARS) -> Iterator[pa.RecordBatch]:
+def steps(batch: pa.RecordBatch, text: str | int = "text", most: int = STEP_CHARS) -> Iterator[pa.RecordBatch]:
     """Consecutive slices of ``batch`` of about ``most`` bytes of ``text``, one row at least.
 
     Temporary arrays are bounded by the step or by the longest single text,

@@ -9,53 +9,79 @@ hold is one hash a block.
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.ipc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from haplometh.llm.arrow import steps
 from haplometh.storage import materialize
 
 #: Bytes of text in a block, and hashes of a range that are compared in one task.
 BLOCK_BYTES, RANGE_HASHES = 4 << 20, 1 << 21
 
 
-def blocks(docs: DataFrame) -> DataFrame:
-    """Packed blocks: ``block``, ``words``, ``size`` (bytes), ``ids`` and compressed ``texts``; written to the shared folder.
+def blocks(docs: DataFrame, rows: bool = False) -> DataFrame:
+    """Packed blocks: ``block``, ``size`` (bytes of text), ``ids`` and compressed ``texts``; written to the shared folder.
 
-    A text longer than a block has a block to itself.
+    A text longer than a block has a block to itself. With ``rows``, a block
+    also holds its whole rows (``rows``), for ``chosen_rows``.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
+    id_at, text_at = (docs.columns.index(c) for c in ("doc_id", "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3)
 
-        def packed(ids: list, texts: list[bytes]) -> pa.RecordBatch:
+        def packed(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            ids = [i for p in parts for i in p.column(id_at).to_pylist()]
+            texts = [(t or "").encode() for p in parts for t in p.column(text_at).to_pylist()]
             sizes = np.array([len(t) for t in texts], np.int64)
-            body = press.compress(sizes.tobytes() + b"".join(texts))
-            return pa.RecordBatch.from_arrays(
-                [pa.array([int(sizes.sum())], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([body], pa.binary())], names=["size", "ids", "texts"]
-            )
+            columns = [pa.array([int(sizes.sum())], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([press.compress(sizes.tobytes() + b"".join(texts))], pa.binary())]
+            if rows:
+                sink = io.BytesIO()
+                with pa.ipc.new_stream(sink, parts[0].schema) as out:
+                    for p in parts:
+                        out.write_batch(p)
+                columns.append(pa.array([press.compress(sink.getvalue())], pa.binary()))
+            return pa.RecordBatch.from_arrays(columns, names=["size", "ids", "texts", *["rows"] * rows])
+
+        parts, held = [], 0
+        for batch in batches:
+            for step in steps(batch, text_at, BLOCK_BYTES):
+                size = step.column(text_at).nbytes
+                if parts and held + size > BLOCK_BYTES:
+                    yield packed(parts)
+                    parts, held = [], 0
+                parts.append(step)
+                held += size
+        if parts:
+            yield packed(parts)
+
+    source = docs.select(*[F.col(f"`{c}`").cast("long").alias(c) if c == "doc_id" else F.col(f"`{c}`") for c in docs.columns]) if rows else docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    if not rows:
+        id_at, text_at = 0, 1
+    packed_rows = source.mapInArrow(run, "size long, ids array<long>, texts binary" + ", rows binary" * rows)
+    return materialize(packed_rows.select(F.monotonically_increasing_id().alias("block"), "*"), "text-blocks")
+
+
+def chosen_rows(packed: DataFrame, places: DataFrame, like: DataFrame) -> DataFrame:
+    """The rows of ``packed`` named in ``places`` (``block``, ``place``), with the columns of ``like``."""
+    listed = places.groupBy("block").agg(F.collect_list("place").alias("places"))  # at most a block's rows
 
-        ids, texts, held = [], [], 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                raw = text.as_py()
-                if held and held + len(raw) > BLOCK_BYTES:
-                    yield packed(ids, texts)
-                    ids, texts, held = [], [], 0
-                ids.append(doc)
-                texts.append(raw)
-                held += len(raw) + 1
-        if ids:
-            yield packed(ids, texts)
-
-    packed = rows.mapInArrow(run, "size long, ids array<long>, texts binary")
-    return materialize(packed.select(F.monotonically_increasing_id().alias("block"), "*"), "text-blocks")
+            for rows, chosen in zip(batch.column("rows"), batch.column("places"), strict=True):
+                raw = zstandard.ZstdDecompressor().decompress(rows.as_py())
+                table = pa.ipc.open_stream(raw).read_all().take(pa.array(sorted(chosen.as_py())))
+                yield from table.to_batches(max_chunksize=1024)
+
+    return packed.join(listed, "block").select("rows", "places").mapInArrow(run, like.schema)
 
 
 def unpacked(ids, texts: bytes) -> list[bytes]:

@@ -189,7 +189,26 @@ def components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     Rows are linked when a hundred times their common ``size``-word shingles
     are at least ``percent`` times all shingles of both.
     """
-    packed = blocks.blocks(docs)
+    _, members, names = classified(blocks.blocks(docs), size, percent)
+    rows = members.join(names, "class", "left")
+    return rows.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("named")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def representatives(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
+    """One row of each component of ``docs``, with all columns: one with the smallest doc_id.
+
+    Rows with an empty set are alone in theirs and stay. Of repeated rows one stays.
+    """
+    packed, members, names = classified(blocks.blocks(docs, rows=True), size, percent)
+    rows = members.filter("n_shingles > 0").join(names, "class")
+    # the row of a component that carries its name; a component is known by its label
+    first = rows.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "block", "place")).alias("at"))
+    kept = first.select("at.block", "at.place").unionByName(members.filter("n_shingles = 0").select("block", "place"))
+    return blocks.chosen_rows(packed, kept, docs)
+
+
+def classified(packed: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The blocks, a row for each document (``members``), and each class's ``label`` and ``named`` doc_id."""
     ranges = blocks.ranges_for(packed, 0.08)
 
     def member_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,7 +252,7 @@ def components(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFrame:
     pivots = cells.groupBy("cell").agg(F.min("class").alias("pivot"), F.count("*").alias("held")).filter("held > 1").drop("held")
     meets = materialize(cells.join(pivots, "cell").select("pivot", "class", "n").distinct(), "jaccard-regions")
     links = materialize(link(meets, sets_by_class(packed, members, meets, size), percent), "jaccard-links")
-    return named(members, connected(links))
+    return packed, members, named(members, connected(links))
 
 
 def sets_by_class(packed: DataFrame, members: DataFrame, meets: DataFrame, size: int) -> DataFrame:
@@ -285,11 +304,9 @@ def link(meets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def named(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Each row with the smallest doc_id of its component."""
+    """``class``, the ``label`` of its component, and the smallest doc_id there (``named``)."""
     classes = members.filter("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("first"))
     labelled = labels.select(F.col("node").alias("class"), "label").join(classes, "class")
     smallest = labelled.groupBy("label").agg(F.min("first").alias("least"))
-    linked = labelled.join(smallest, "label").select("class", "least")
-    ids = materialize(classes.join(linked, "class", "left").select("class", F.coalesce("least", "first").alias("named")), "jaccard-names")
-    rows = members.join(ids, "class", "left")
-    return rows.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("named")).otherwise(F.col("doc_id")).alias("component_id"))
+    linked = labelled.join(smallest, "label").select("class", "label", "least")
+    return materialize(classes.join(linked, "class", "left").select("class", F.coalesce("label", "class").alias("label"), F.coalesce("least", "first").alias("named")), "jaccard-names")
