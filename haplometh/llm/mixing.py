@@ -46,39 +46,39 @@ def quality(text: Column, size: Column) -> Column:
 
 def sizes(docs: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """One narrow row a document: its size, source, and place among the keys of its source."""
-    rows = docs.select(*keep, docs["source"].alias("mix_source"), docs["doc_id"].alias("mix_id"), docs["text"].alias("mix_text"), word_count(docs["text"]).alias("size"), F.monotonically_increasing_id().alias("mix_row"))
+    rows = docs.select(*keep, docs["source"].alias("mix_source"), docs["doc_id"].alias("mix_id"), docs["text"].alias("mix_text"), word_count(docs["text"]).alias("mix_size"), F.monotonically_increasing_id().alias("mix_row"))
     draw = (F.pmod(F.shiftright(F.xxhash64("mix_id", "mix_source"), 11), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
-    key = -F.log(draw) / quality(F.col("mix_text"), F.col("size"))
+    key = -F.log(draw) / quality(F.col("mix_text"), F.col("mix_size"))
     rows = rows.withColumn("mix_key", key).drop("mix_text")
     return rows.withColumn("mix_bin", F.least(F.floor(KEY_BINS * (1 - F.exp(-F.col("mix_key")))), F.lit(KEY_BINS - 1)).cast("int"))
 
 
 def targets(sized: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST_EPOCHS) -> DataFrame:
-    """``mix_source``, ``source_size`` and ``target`` of each source.
+    """``mix_source``, ``mix_total`` and ``mix_target`` of each source.
 
     Sources by code point, null last, weigh ``weights`` in turn and share the
     total; no target passes ``most`` times its source's size. With sources in
     the order of cap to weight, the ones that reach their cap come first, and
     the others share what is left: the level at which resharing ends.
     """
-    per_source = sized.groupBy("mix_source").agg(F.sum("size").alias("source_size"))
+    per_source = sized.groupBy("mix_source").agg(F.sum("mix_size").alias("mix_total"))
     turn = F.row_number().over(Window.orderBy(F.col("mix_source").asc_nulls_last())) - 1
     listed = per_source.withColumn("w", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (turn % len(weights)).cast("int") + 1))
-    cap = F.col("source_size") * most
+    cap = F.col("mix_total") * most
     order = Window.orderBy(cap / F.col("w"), F.col("mix_source").asc_nulls_last())
     before, from_here = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing)
     everything = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    level = (F.sum("source_size").over(everything) - F.coalesce(F.sum(cap).over(before), F.lit(0))) / F.sum("w").over(from_here)
-    place = F.struct((cap / F.col("w")).alias("ratio"), F.col("mix_source").isNull().alias("last"), F.col("mix_source").alias("name"))
+    level = (F.sum("mix_total").over(everything) - F.coalesce(F.sum(cap).over(before), F.lit(0))) / F.sum("w").over(from_here)
+    place = F.struct((cap / F.col("w")).alias("ratio"), F.col("mix_source").isNull().alias("mix_last"), F.col("mix_source").alias("name"))
     shared = listed.withColumn("place", place).withColumn("level", level)
     settled = F.min(F.when(F.col("level") <= F.col("place.ratio"), F.struct("place", "level"))).over(everything)
     shared = shared.withColumn("settled", settled)
     target = F.when(F.col("place") >= F.col("settled.place"), F.col("settled.level") * F.col("w")).otherwise(cap.cast("double"))
-    return shared.select("mix_source", "source_size", target.alias("target"))
+    return shared.select("mix_source", "mix_total", target.alias("mix_target"))
 
 
 def mix(docs: DataFrame, keep: Sequence[str] = ("doc_id",), weights: Sequence[float] = WEIGHTS, most: int = MOST_EPOCHS) -> DataFrame:
-    """``keep``, ``size``, ``source_size``, ``target`` and ``copies`` (how often the mix takes the document).
+    """``keep``, ``mix_size``, ``mix_total``, ``mix_target`` and ``mix_copies`` (how often the mix takes the document).
 
     After the complete epochs the documents with the smallest keys are taken
     once more while they fit the rest of the budget. Of those that follow, the
@@ -87,37 +87,37 @@ def mix(docs: DataFrame, keep: Sequence[str] = ("doc_id",), weights: Sequence[fl
     """
     sized = materialize(sizes(docs, keep), "mix-sizes")
     budget = targets(sized, weights, most)
-    whole = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(most))).otherwise(F.lit(0)).cast("long")
-    budget = budget.withColumn("epochs", whole).withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
-    bins = sized.groupBy("mix_source", "mix_bin").agg(F.sum("size").alias("bin_size"))
+    whole = F.when(F.col("mix_total") > 0, F.least(F.floor(F.col("mix_target") / F.col("mix_total")), F.lit(most))).otherwise(F.lit(0)).cast("long")
+    budget = budget.withColumn("mix_epochs", whole).withColumn("mix_rest", F.col("mix_target") - F.col("mix_epochs") * F.col("mix_total"))
+    bins = sized.groupBy("mix_source", "mix_bin").agg(F.sum("mix_size").alias("bin_size"))
     upto = Window.partitionBy("mix_source").orderBy("mix_bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = bins.withColumn("before", F.coalesce(F.sum("bin_size").over(upto), F.lit(0)))
     same = lambda a, b: a["mix_source"].eqNullSafe(b["mix_source"])
     # the bin in which each budget runs out: the last one that begins below it
-    edges = bins.join(budget, same(bins, budget)).filter(F.col("before") < F.col("rest"))
+    edges = bins.join(budget, same(bins, budget)).filter(F.col("before") < F.col("mix_rest"))
     edges = edges.groupBy(bins["mix_source"]).agg(F.max_by(F.struct("mix_bin", "before"), "mix_bin").alias("edge"))
-    edge = F.coalesce(F.col("edge.mix_bin"), F.lit(-1)).alias("edge_bin"), F.coalesce(F.col("edge.before"), F.lit(0)).alias("edge_before")
+    edge = F.coalesce(F.col("edge.mix_bin"), F.lit(-1)).alias("mix_edge"), F.coalesce(F.col("edge.before"), F.lit(0)).alias("mix_before")
     plan = materialize(budget.join(edges, same(budget, edges), "left").select(budget["*"], *edge), "mix-plan")
     turn = Window.partitionBy("mix_source").orderBy("mix_key", "mix_row").rowsBetween(Window.unboundedPreceding, 0)
-    inner = planned(sized, plan).filter(F.col("mix_bin") == F.col("edge_bin")).withColumn("upto", F.col("edge_before") + F.sum("size").over(turn))
-    inner = inner.filter(F.col("upto") <= F.col("rest")).groupBy("mix_source").agg(F.max(F.struct("mix_key", "mix_row")).alias("last"), F.max("upto").alias("upto"))
-    gap = (F.col("rest") - F.coalesce(F.col("upto"), F.col("edge_before"))).alias("gap")
-    plan = materialize(plan.join(inner, same(plan, inner), "left").select(plan["*"], "last", gap), "mix-plan")
-    taken = (F.col("mix_bin") < F.col("edge_bin")) | F.coalesce((F.col("mix_bin") == F.col("edge_bin")) & (F.struct("mix_key", "mix_row") <= F.col("last")), F.lit(False))
-    miss = F.abs(F.col("gap") - F.col("size"))
-    closing = planned(sized, plan).filter(~taken & (miss < F.col("gap"))).groupBy("mix_source").agg(F.min(F.struct(miss, "mix_key", "mix_row"))["mix_row"].alias("closing"))
-    plan = materialize(plan.join(closing, same(plan, closing), "left").select(plan["*"], "closing"), "mix-plan")
-    more = (taken | F.coalesce(F.col("mix_row") == F.col("closing"), F.lit(False))).cast("long")
-    return planned(sized, plan).select(*keep, "size", "source_size", "target", (F.col("epochs") + more).alias("copies"))
+    inner = planned(sized, plan).filter(F.col("mix_bin") == F.col("mix_edge")).withColumn("mix_upto", F.col("mix_before") + F.sum("mix_size").over(turn))
+    inner = inner.filter(F.col("mix_upto") <= F.col("mix_rest")).groupBy("mix_source").agg(F.max(F.struct("mix_key", "mix_row")).alias("mix_last"), F.max("mix_upto").alias("mix_upto"))
+    gap = (F.col("mix_rest") - F.coalesce(F.col("mix_upto"), F.col("mix_before"))).alias("mix_gap")
+    plan = materialize(plan.join(inner, same(plan, inner), "left").select(plan["*"], "mix_last", gap), "mix-plan")
+    taken = (F.col("mix_bin") < F.col("mix_edge")) | F.coalesce((F.col("mix_bin") == F.col("mix_edge")) & (F.struct("mix_key", "mix_row") <= F.col("mix_last")), F.lit(False))
+    miss = F.abs(F.col("mix_gap") - F.col("mix_size"))
+    closing = planned(sized, plan).filter(~taken & (miss < F.col("mix_gap"))).groupBy("mix_source").agg(F.min(F.struct(miss, "mix_key", "mix_row"))["mix_row"].alias("mix_closing"))
+    plan = materialize(plan.join(closing, same(plan, closing), "left").select(plan["*"], "mix_closing"), "mix-plan")
+    more = (taken | F.coalesce(F.col("mix_row") == F.col("mix_closing"), F.lit(False))).cast("long")
+    return planned(sized, plan).select(*keep, "mix_size", "mix_total", "mix_target", (F.col("mix_epochs") + more).alias("mix_copies"))
 
 
 def planned(sized: DataFrame, plan: DataFrame) -> DataFrame:
     """Every document's row beside the plan of its source."""
-    plan = plan.withColumnRenamed("mix_source", "plan_source")
-    return sized.join(plan, F.col("mix_source").eqNullSafe(F.col("plan_source"))).drop("plan_source")
+    plan = plan.withColumnRenamed("mix_source", "mix_plan")
+    return sized.join(plan, F.col("mix_source").eqNullSafe(F.col("mix_plan"))).drop("mix_plan")
 
 
 def repeated(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST_EPOCHS) -> DataFrame:
     """The mixed corpus itself: every document of ``docs`` as often as the mix takes it."""
     mixed = mix(docs, docs.columns, weights, most)
-    return mixed.filter(F.col("copies") > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    return mixed.filter(F.col("mix_copies") > 0).withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies")))).select(*docs.columns)

@@ -165,5 +165,5 @@ def select(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     ratio = fit(docs, labels)
     keys = materialize(keyed(docs.select("doc_id", "text"), ratio).select("key"), "quality-keys")
-    kept = keyed(docs.withColumnsRenamed({c: f"_{c}" for c in docs.columns if c in ("log_weight", "key")}), ratio).filter(F.col("key") >= threshold(keys, labels))
-    return kept.select(*[F.col(f"`_{c}`" if c in ("log_weight", "key") else f"`{c}`").alias(c) for c in docs.columns])
+    kept = keyed(docs.withColumnsRenamed({c: f"__own_{c}" for c in docs.columns if c in ("log_weight", "key")}), ratio).filter(F.col("key") >= threshold(keys, labels))
+    return kept.select(*[F.col(f"`__own_{c}`" if c in ("log_weight", "key") else f"`{c}`").alias(c) for c in docs.columns])

@@ -86,7 +86,8 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 @query
 def op6_mixture(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+    taken = (F.col("mix_size") * F.col("mix_copies")).alias("taken")
+    return mixed.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_total").alias("source_size"), F.col("mix_target").alias("target"), taken)
 
 
 @query
