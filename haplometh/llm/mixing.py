@@ -46,7 +46,7 @@ def quality(text: Column, size: Column) -> Column:
 
 def sizes(docs: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """One narrow row a document: its size, source, and place among the keys of its source."""
-    rows = docs.select(*keep, docs["source"].alias("mix_source"), docs["doc_id"].alias("mix_id"), docs["text"].alias("mix_text"), word_count(docs["text"]).alias("mix_size"), F.monotonically_increasing_id().alias("mix_row"))
+    rows = docs.select(*[docs[c].alias(f"mix_keep{i}") for i, c in enumerate(keep)], docs["source"].alias("mix_source"), docs["doc_id"].alias("mix_id"), docs["text"].alias("mix_text"), word_count(docs["text"]).alias("mix_size"), F.monotonically_increasing_id().alias("mix_row"))
     draw = (F.pmod(F.shiftright(F.xxhash64("mix_id", "mix_source"), 11), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
     key = -F.log(draw) / quality(F.col("mix_text"), F.col("mix_size"))
     rows = rows.withColumn("mix_key", key).drop("mix_text")
@@ -78,7 +78,16 @@ def targets(sized: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MO
 
 
 def mix(docs: DataFrame, keep: Sequence[str] = ("doc_id",), weights: Sequence[float] = WEIGHTS, most: int = MOST_EPOCHS) -> DataFrame:
-    """``keep``, ``mix_size``, ``mix_total``, ``mix_target`` and ``mix_copies`` (how often the mix takes the document).
+    """``keep``, ``mix_size``, ``mix_total``, ``mix_target`` and ``mix_copies`` (how often the mix takes the document)."""
+    return _mixed(docs, keep, weights, most).select(*_kept(keep), "mix_size", "mix_total", "mix_target", "mix_copies")
+
+
+def _kept(keep: Sequence[str]) -> list[Column]:
+    return [F.col(f"mix_keep{i}").alias(c) for i, c in enumerate(keep)]
+
+
+def _mixed(docs: DataFrame, keep: Sequence[str], weights: Sequence[float], most: int) -> DataFrame:
+    """The mix, with the columns ``keep`` by number, so that their names cannot clash.
 
     After the complete epochs the documents with the smallest keys are taken
     once more while they fit the rest of the budget. Of those that follow, the
@@ -108,7 +117,7 @@ def mix(docs: DataFrame, keep: Sequence[str] = ("doc_id",), weights: Sequence[fl
     closing = planned(sized, plan).filter(~taken & (miss < F.col("mix_gap"))).groupBy("mix_source").agg(F.min(F.struct(miss, "mix_key", "mix_row"))["mix_row"].alias("mix_closing"))
     plan = materialize(plan.join(closing, same(plan, closing), "left").select(plan["*"], "mix_closing"), "mix-plan")
     more = (taken | F.coalesce(F.col("mix_row") == F.col("mix_closing"), F.lit(False))).cast("long")
-    return planned(sized, plan).select(*keep, "mix_size", "mix_total", "mix_target", (F.col("mix_epochs") + more).alias("mix_copies"))
+    return planned(sized, plan).withColumn("mix_copies", F.col("mix_epochs") + more)
 
 
 def planned(sized: DataFrame, plan: DataFrame) -> DataFrame:
@@ -119,5 +128,5 @@ def planned(sized: DataFrame, plan: DataFrame) -> DataFrame:
 
 def repeated(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST_EPOCHS) -> DataFrame:
     """The mixed corpus itself: every document of ``docs`` as often as the mix takes it."""
-    mixed = mix(docs, docs.columns, weights, most)
-    return mixed.filter(F.col("mix_copies") > 0).withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies")))).select(*docs.columns)
+    mixed = _mixed(docs, docs.columns, weights, most).filter(F.col("mix_copies") > 0)
+    return mixed.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies")))).select(*_kept(docs.columns))

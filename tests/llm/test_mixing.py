@@ -1,0 +1,72 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from haplometh.llm import mixing
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+def water(sizes, weights, most=3):
+    """Targets by resharing the excess until no source is above its cap."""
+    target, free, left = [0.0] * len(sizes), set(range(len(sizes))), float(sum(sizes))
+    while free:
+        share = left / sum(weights[i] for i in free)
+        over = [i for i in free if share * weights[i] > most * sizes[i]]
+        for i in over or free:
+            target[i] = most * sizes[i] if over else share * weights[i]
+        left -= sum(most * sizes[i] for i in over)
+        free = free - set(over) if over else set()
+    return target
+
+
+def check(mixed):
+    by_source = {}
+    for r in mixed.collect():
+        by_source.setdefault(r["source"], []).append(r)
+    names = sorted((s for s in by_source if s is not None), key=lambda s: s.encode("utf-32-be")) + [None] * (None in by_source)
+    sizes = [sum(r["mix_size"] for r in by_source[s]) for s in names]
+    wanted = water(sizes, [1 + k % 3 for k in range(len(names))])
+    for name, size, target in zip(names, sizes, wanted, strict=True):
+        docs = by_source[name]
+        assert all(r["mix_total"] == size and abs(r["mix_target"] - target) < 1e-6 * max(1, target) for r in docs)
+        assert all(0 <= r["mix_copies"] <= 3 for r in docs)
+        taken = sum(r["mix_copies"] * r["mix_size"] for r in docs)
+        assert abs(taken - target) <= max((r["mix_size"] for r in docs), default=0) / 2 + 1
+        whole = min(r["mix_copies"] for r in docs)
+        assert all(r["mix_copies"] - whole <= 1 for r in docs), "complete epochs come first"
+
+
+def test_whole_table(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    check(mixing.mix(docs, ("doc_id", "source")))
+
+
+@pytest.mark.parametrize("shape", [(5, 5, 5), (1, 300, 2), (0, 10, 3), (1000, 1, 1), (1,), (0,)])
+def test_small_sources(documents, shape):
+    docs = [(100 * k + i, "w " * (1 + i % 7) if n else "", None, f"s{k}") for k, n in enumerate(shape) for i in range(max(1, n // 4))]
+    check(mixing.mix(documents(*docs, (9999, "a b", None, None)), ("doc_id", "source")))
+
+
+def test_word_count(spark, documents):
+    texts = [None, "", "  ", "a", " a\tb\n\nc\x0b\x0cd\r ", "a\xa0b é", "\x1cx y"]
+    got = documents(*enumerate(texts)).select("doc_id", mixing.word_count(F.col("text"))).collect()
+    assert {r[0]: r[1] for r in got} == {i: len(re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t in enumerate(texts)}
+
+
+def test_reruns_agree_and_repeats(spark, documents, clashing, rows):
+    docs = clashing(documents(*[(i % 40, "word " * (i % 9), None, f"s{i % 3}") for i in range(120)]))
+    first, second = (rows(mixing.mix(docs.repartition(n)), "doc_id", "mix_size", "mix_copies") for n in (1, 5))
+    assert first == second
+    copies = mixing.mix(docs).agg(F.sum("mix_copies")).collect()[0][0]
+    out = mixing.repeated(docs)
+    assert out.columns == docs.columns and out.count() == copies
+    assert mixing.repeated(docs.limit(0)).count() == 0
+
+
+def test_only_the_edge_bin_is_sorted(spark, documents):
+    docs = documents(*[(i, "a b c", None, "s0") for i in range(3000)], *[(i, "a b c", None, "s1") for i in range(3000, 3300)])
+    sized = mixing.sizes(docs)
+    assert sized.groupBy("mix_source", "mix_bin").count().agg(F.max("count")).collect()[0][0] < 20
+    check(mixing.mix(docs, ("doc_id", "source")))
