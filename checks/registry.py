@@ -339,7 +339,7 @@ def s14(spark, folder):
     return genome.cpg_sites(Inputs(spark, folder).view("fx_sequence"))
 
 
-QC_LABEL = "count-based methylation is phased to at least one parental haplotype"
+QC_LABEL = "share of sites (count, one haplotype or both)"
 
 
 @register(
@@ -914,11 +914,12 @@ def a10(spark, folder):
 def a11(spark, folder):
     i = Inputs(spark, folder, staged=True)
     stages = {"sites": i.founder_snvs(), "hap_map": i.hap_map(), "mismatches": i.mismatches()}
-    out = None
+    counts = []
     for stage, df in stages.items():
-        row = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(stage).alias("stage"), "n")
-        out = row if out is None else out.union(row)
-    return out
+        seen, observation = qc.counted(df, stage)
+        seen.write.format("noop").mode("overwrite").save()
+        counts.append((stage, observation.get["rows"]))
+    return spark.createDataFrame(counts, "stage string, n bigint")
 
 
 @register(
@@ -946,12 +947,32 @@ def o2(spark, folder):
     return ordering.position_sort(_contigs(spark, folder))
 
 
-@register("o4_seeded_sample")
+@register(
+    "o4_seeded_sample",
+    """SELECT chrom, start_ AS start, end_ AS "end", * EXCLUDE (chrom, start_, end_) FROM fx_cpg
+       ORDER BY md5(concat_ws('|', chrom, start_, end_, '42')), chrom, start_, end_ LIMIT 10""",
+)
 def o4(spark, folder):
     return ordering.seeded_sample(Inputs(spark, folder).view("fx_cpg"), 10, 42, ["chrom", "start", "end"])
 
 
-@register("o4_sample_at_double_variants")
+@register(
+    "o5_preview",
+    """SELECT chrom, start_ AS start, end_ AS "end", * EXCLUDE (chrom, start_, end_) FROM fx_cpg ORDER BY chrom, start_, end_ LIMIT 25""",
+)
+def o5(spark, folder):
+    return ordering.preview(Inputs(spark, folder).view("fx_cpg"), 25, ["chrom", "start", "end"])
+
+
+@register(
+    "o4_sample_at_double_variants",
+    """SELECT t.* EXCLUDE (methylation_level_hap1, methylation_level_hap2), methylation_level_hap1 AS methylation_level_pat_count,
+         methylation_level_hap2 AS methylation_level_mat_count, t.chrom || ':' || t.start_cpg || '-' || t.end_cpg AS locus_cpg
+       FROM o_counted_fx t SEMI JOIN (
+         SELECT DISTINCT chrom, start_cpg, end_cpg, md5(concat_ws('|', chrom, start_cpg, end_cpg, '39')) AS digest FROM o_counted_fx
+         WHERE num_SNVs_overlapping_CG = 2 AND methylation_level_hap1 IS NOT NULL AND methylation_level_hap2 IS NOT NULL
+         ORDER BY digest, chrom, start_cpg, end_cpg LIMIT 10) s USING (chrom, start_cpg, end_cpg)""",
+)
 def o4_double(spark, folder):
     levels = {f"methylation_level_hap{i}": f"methylation_level_{s}_count" for i, s in ((1, "pat"), (2, "mat"))}
     return ordering.sample_at_double_variants(_labelled(spark, folder).withColumnsRenamed(levels), 10, 39)

@@ -23,12 +23,18 @@ def position_sort(df: DataFrame, columns: Sequence[str] = ("chrom", "start", "en
 
 
 def seeded_sample(df: DataFrame, n: int, seed: int, keys: Sequence[str] | None = None) -> DataFrame:
-    """``n`` rows picked by a seeded hash of ``keys``: the same rows whatever the partitioning.
+    """``n`` rows picked by a seeded digest of ``keys``: the same rows whatever the partitioning.
 
     Runs as a top-k, so each task keeps ``n`` rows and nothing else is sorted.
     """
     keys = list(keys or df.columns)
-    return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
+    digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
+    return df.orderBy(digest, *keys).limit(n)
+
+
+def preview(df: DataFrame, n: int, keys: Sequence[str]) -> DataFrame:
+    """The first ``n`` rows by ``keys``; each task keeps ``n`` rows."""
+    return df.orderBy(*keys).limit(n)
 
 
 def sample_at_double_variants(labelled: DataFrame, n: int, seed: int) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from haplometh.functions.chroms import drop_alt_contigs
 from haplometh.functions.methylation import fraction
-from haplometh.sources.lines import leading_comments, read_lines, records, spread
+from haplometh.sources.lines import distinct_lines, leading_comments, read_lines, records, required, spread
 
 # Header keys and column names of methylation pileup files.
 PILEUP_MODE = "##pileup-mode="
@@ -62,18 +62,26 @@ def check_pileup_header(comments: Sequence[str], mode: str, what: str = "input")
 
 
 def meth_levels(pileup: DataFrame) -> DataFrame:
-    """``chrom, start, end, total_read_count, methylation_level`` of a pileup, alternative contigs dropped."""
+    """``chrom, start, end, total_read_count, methylation_level`` of a pileup, alternative contigs dropped.
+
+    A row that lacks one of them, or has text for a number, fails the job.
+    """
     return drop_alt_contigs(
         pileup.select(
-            F.col("`#chrom`").alias("chrom"),
-            F.col("begin").cast("bigint").alias("start"),
-            F.col("end").cast("bigint").alias("end"),
-            F.col("cov").cast("bigint").alias("total_read_count"),
-            fraction(F.col("mod_score").cast("double")).alias("methylation_level"),
+            required(F.col("`#chrom`"), "#chrom").alias("chrom"),
+            required(F.col("begin").cast("bigint"), "begin").alias("start"),
+            required(F.col("end").cast("bigint"), "end").alias("end"),
+            required(F.col("cov").cast("bigint"), "cov").alias("total_read_count"),
+            fraction(required(F.col("mod_score").cast("double"), "mod_score")).alias("methylation_level"),
         )
     )
 
 
+def strict(df: DataFrame) -> DataFrame:
+    """A BED-like table whose first three columns, the site, are never null."""
+    return df.withColumns({c: required(F.col(f"`{c}`"), c) for c in df.columns[:3]})
+
+
 def pileup_from_lines(lines: DataFrame, names: Sequence[str]) -> DataFrame:
     """The shared pileup columns from lines in a ``value`` column."""
     at = {c: list(names).index(c) for c in PILEUP_COLUMNS}
@@ -86,10 +94,14 @@ def read_meth_level(
     spark: SparkSession, path: str, mode: str, *, partitions: int | None = None
 ) -> DataFrame:
     """One methylation pileup file of the given mode, alternative contigs dropped."""
-    names = check_pileup_header(leading_comments(read_lines(spark, path)), mode, str(path))
+    lines = read_lines(spark, path)
+    names = check_pileup_header(leading_comments(lines), mode, str(path))
+    others = {line[len(PILEUP_MODE) :].strip() for line in distinct_lines(lines, PILEUP_MODE)} - {mode}
+    if others:
+        raise HeaderError(f"{path} holds files in pileup mode {sorted(others)}, expected {mode!r}")
     types = {"begin": T.LongType(), "end": T.LongType(), "cov": T.LongType(), "mod_score": T.DoubleType()}
     schema = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names])
-    pileup = spark.read.csv(str(path), sep="\t", comment="#", quote="", schema=schema)
+    pileup = spark.read.csv(str(path), sep="\t", comment="#", quote="", schema=schema, mode="FAILFAST")
     return spread(meth_levels(pileup), partitions)
 
 
@@ -100,7 +112,7 @@ def read_bed_and_header(
     if not str(path).endswith(".bed"):
         raise HeaderError(f"{path} does not end in .bed")
     names = [row[0].strip() for row in read_lines(spark, f"{path}.header").collect()]
-    return spark.read.csv(str(path), sep="\t", schema=schema_for(names, types), quote="")
+    return strict(spark.read.csv(str(path), sep="\t", schema=schema_for(names, types), quote="", mode="FAILFAST"))
 
 
 def read_dataframe_from_bed(
@@ -109,7 +121,8 @@ def read_dataframe_from_bed(
     """A BED that names its columns in a ``#`` line after ``##`` lines."""
     names = self_describing_header(leading_comments(read_lines(spark, path)), str(path))
     names[0] = names[0].lstrip("#")
-    return spark.read.csv(str(path), sep="\t", comment="#", schema=schema_for(names, types), quote="")
+    table = spark.read.csv(str(path), sep="\t", comment="#", schema=schema_for(names, types), quote="", mode="FAILFAST")
+    return strict(table)
 
 
 def read_expanded(spark: SparkSession, path: str) -> DataFrame:
@@ -118,4 +131,4 @@ def read_expanded(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_all_cpgs_in_reference(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(str(path), sep="\t", schema="chrom string, start bigint, end bigint")
+    return strict(spark.read.csv(str(path), sep="\t", schema="chrom string, start bigint, end bigint", mode="FAILFAST"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from itertools import takewhile
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -36,11 +36,28 @@ def leading_comments(lines: DataFrame, batch: int = 256) -> list[str]:
         batch *= 8
 
 
+def distinct_lines(lines: DataFrame, prefix: str, most: int = 64) -> list[str]:
+    """The different lines that start with ``prefix``, over all files; of one file, the first.
+
+    A single file is read no further than its head. Several are scanned once,
+    since each of them has a header of its own.
+    """
+    if len(lines.inputFiles()) <= 1:
+        line = first_line_starting(lines, prefix)
+        return [] if line is None else [line]
+    return sorted(row[0] for row in lines.filter(F.col("value").startswith(prefix)).distinct().limit(most).collect())
+
+
 def first_line_starting(lines: DataFrame, prefix: str) -> str | None:
     row = first_file(lines).filter(F.col("value").startswith(prefix)).take(1)
     return row[0][0] if row else None
 
 
+def required(column: Column, what: str) -> Column:
+    """``column``, failing the job where it is null: such a row is damaged and would vanish from joins."""
+    return F.when(column.isNotNull(), column).otherwise(F.raise_error(F.lit(f"damaged row: {what} is missing or not a number")))
+
+
 def records(lines: DataFrame) -> DataFrame:
     """Lines that are neither comments nor blank."""
     return lines.filter(~F.col("value").startswith("#") & (F.col("value") != ""))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # How a log names its sample and writes a percentage.
@@ -12,26 +12,31 @@ SAMPLE_PATTERN = r"/(\w+)\.dna-methylation.founder-phased.all_cpgs.bed"
 PERCENT_PATTERN = r": (\d+\.\d+)%"
 
 
-def percentages_from_texts(texts: DataFrame, label: str) -> DataFrame:
-    """``sample_id, percentage_of_cpg_sites`` from whole logs in ``value``; the last match counts.
+def percentages_from_lines(lines: DataFrame, label: str) -> DataFrame:
+    """``sample_id, percentage_of_cpg_sites`` from lines (``file``, ``place``, ``value``).
 
-    Logs that lack either one are left out.
+    Of each, the first match in the last line that has one counts. Logs that
+    lack either are left out.
     """
     literal = re.sub(r"([^\w\s])", r"\\\1", label)
 
-    def last_match(pattern: str):
-        return F.try_element_at(F.regexp_extract_all("value", F.lit(pattern), F.lit(1)), F.lit(-1))
+    def last_line(pattern: str) -> Column:
+        found = F.when(F.col("value").rlike(pattern), F.col("place"))
+        return F.max_by(F.regexp_extract("value", pattern, 1), found)
+
+    matched = lines.filter(F.col("value").rlike(SAMPLE_PATTERN) | F.col("value").rlike(literal + PERCENT_PATTERN))
+    found = matched.groupBy("file").agg(last_line(SAMPLE_PATTERN).alias("sample_id"), last_line(literal + PERCENT_PATTERN).alias("percentage"))
+    return found.dropna().select("sample_id", F.col("percentage").cast("double").alias("percentage_of_cpg_sites")).orderBy("sample_id")
 
-    return (
-        texts.select(
-            last_match(SAMPLE_PATTERN).alias("sample_id"),
-            last_match(literal + PERCENT_PATTERN).cast("double").alias("percentage_of_cpg_sites"),
-        )
-        .dropna()
-        .orderBy("sample_id")
-    )
+
+def percentages_from_texts(texts: DataFrame, label: str) -> DataFrame:
+    """The same from whole logs in ``value``."""
+    numbered = texts.select(F.monotonically_increasing_id().alias("file"), F.split("value", "\n").alias("lines"))
+    return percentages_from_lines(numbered.select("file", F.posexplode("lines").alias("place", "value")), label)
 
 
 def read_percentages(spark: SparkSession, pattern: str, label: str) -> DataFrame:
-    """The percentage after ``label`` in every log matching the glob ``pattern``."""
-    return percentages_from_texts(spark.read.text(pattern, wholetext=True), label)
+    """The percentage after ``label`` in every log matching the glob ``pattern``, read by lines."""
+    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    lines = spark.read.text(pattern).select(F.col("_metadata.file_path").alias("file"), place.alias("place"), "value")
+    return percentages_from_lines(lines, label)

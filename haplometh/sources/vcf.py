@@ -21,7 +21,7 @@ from haplometh.functions.genotypes import (
     is_snv_any_alts,
     phase_block_id,
 )
-from haplometh.sources.lines import first_line_starting, read_lines, records, spread
+from haplometh.sources.lines import distinct_lines, read_lines, records, required, spread
 
 # The columns of a variant file before its samples.
 FIXED_COLUMNS = ("#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT")
@@ -44,10 +44,12 @@ def sample_names(variants: DataFrame) -> list[str]:
 
 def read_variants(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Variant files as one string column per field; only the columns used later are parsed."""
-    header = first_line_starting(read_lines(spark, path), FIXED_COLUMNS[0])
-    if header is None:
+    headers = distinct_lines(read_lines(spark, path), FIXED_COLUMNS[0])
+    if not headers:
         raise SampleError(f"{path} has no {FIXED_COLUMNS[0]} line")
-    names = column_names(header)
+    if len(headers) > 1:
+        raise SampleError(f"the files of {path} have different samples or orders of samples; read them apart")
+    names = column_names(headers[0])
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     return spark.read.csv(path, sep="\t", comment="#", quote="", schema=schema, maxColumns=len(names) + 1)
 
@@ -58,13 +60,23 @@ def variants_from_lines(lines: DataFrame, header: str) -> DataFrame:
     return fields.select(*[F.get("f", F.lit(i)).alias(n) for i, n in enumerate(column_names(header))])
 
 
-def _sites(variants: DataFrame, wanted: Mapping[str, str]) -> DataFrame:
-    """Site columns, ``format`` and, per ``wanted`` name, the raw field of its sample."""
+def _sites(variants: DataFrame, wanted: Mapping[str, str], lenient: bool = False) -> DataFrame:
+    """Site columns, ``format`` and, per ``wanted`` name, the raw field of its sample.
+
+    A row without a whole-number position or without a sample's field fails the
+    job; ``lenient`` leaves such a row out.
+    """
     samples = sample_names(variants)
     missing = [s for s in wanted.values() if s not in samples]
     if missing:
         raise SampleError(f"samples {missing} are not among the file's {len(samples)} samples")
     pos = F.col("POS").try_cast("bigint")
+    raw = {name: F.col(f"`{s}`") for name, s in wanted.items()}
+    if lenient:
+        variants = variants.filter(pos.isNotNull())
+    else:
+        pos = required(pos, "POS")
+        raw = {name: required(c, f"the field of {wanted[name]}") for name, c in raw.items()}
     return variants.select(
         F.col("`#CHROM`").alias("chrom"),
         (pos - 1).alias("start"),
@@ -72,7 +84,7 @@ def _sites(variants: DataFrame, wanted: Mapping[str, str]) -> DataFrame:
         "REF",
         "ALT",
         F.col("FORMAT").alias("format"),
-        *[F.col(f"`{s}`").alias(f"raw_{name}") for name, s in wanted.items()],
+        *[c.alias(f"raw_{name}") for name, c in raw.items()],
     )
 
 
@@ -173,7 +185,7 @@ def joint_variants(variants: DataFrame, uids: Mapping[str, str]) -> DataFrame:
     ``uids`` maps a role to its sample; the role ``""`` gives ``allele_1`` and
     ``allele_2``, any other ``allele_1_<role>``. A field that is just ``.`` is null.
     """
-    parsed = _sites(variants, {f"r{i}": uid for i, uid in enumerate(uids.values())})
+    parsed = _sites(variants, {f"r{i}": uid for i, uid in enumerate(uids.values())}, lenient=True)
 
     def known(column: str) -> Column:
         return F.when(F.col(column) != UNKNOWN, F.col(column))

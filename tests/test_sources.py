@@ -19,6 +19,7 @@ PILEUP = [
 def put(tmp_path):
     def write(name, content):
         path = tmp_path / name
+        path.parent.mkdir(parents=True, exist_ok=True)
         body = "\n".join(content) + "\n"
         if name.endswith(".gz"):
             path.write_bytes(gzip.compress(body.encode()))
@@ -175,7 +176,7 @@ def test_joint_variants(spark, rows, put):
         record("x", "A", "T", "GT", "0|1", "0|1"),
     ]
     path = put("j.vcf", content)
-    assert rows(vcf.read_joint_variants(spark, path, "a").filter("start is not null")) == [
+    assert rows(vcf.read_joint_variants(spark, path, "a")) == [
         ("chr1", 10, 11, "0", "2"),
         ("chr1", 13, 14, "1", "."),
     ]
@@ -184,7 +185,7 @@ def test_joint_variants(spark, rows, put):
     assert ("chr1", 10, 11, None, None, "0", "2") in rows(both)
     # Files that continue each other are one table.
     more = put("k.vcf", header("a", "b") + [record(11, "A", "C", "GT", "0/1", "0/0", chrom="chr2")])
-    assert vcf.read_joint_variants(spark, [path, more], "a").count() == 4
+    assert vcf.read_joint_variants(spark, [path, more], "a").count() == 3
 
 
 def test_block_tables(spark, rows, put):
@@ -275,3 +276,62 @@ def test_manifest(spark, rows, put):
     assert everyone.count() == 9
     ped = put("t.ped", ["# comment", "1463\tNA12878\tNA12891\tNA12892\t2\tnote"])
     assert rows(samples.read_pedigree(spark, ped), "child", "father", "mother") == [("NA12878", "NA12891", "NA12892")]
+
+
+PILEUP_HEAD = ["##pileup-mode=count", "#chrom\tbegin\tend\tmod_score\ttype\tcov"]
+
+
+@pytest.mark.parametrize("row", ["chr1\t2x\t3\t50.0\tTotal\t4", "chr1\t2\t3\t50.0", "chr1\t2\t3\tabc\tTotal\t4", "chr1\t2", "\t2\t3\t50.0\tTotal\t4"])
+def test_damaged_pileup_rows_fail(spark, put, row):
+    good = put("good.bed", [*PILEUP_HEAD, "chr1\t2\t3\t50.0\tTotal\t4"])
+    assert bed.read_meth_level(spark, good, "count").collect()[0]["methylation_level"] == 0.5
+    with pytest.raises(Exception, match="damaged row|MALFORMED|FAILFAST|CAST_INVALID"):
+        bed.read_meth_level(spark, put("bad.bed", [*PILEUP_HEAD, "chr1\t2\t3\t50.0\tTotal\t4", row]), "count").collect()
+
+
+def test_every_part_has_its_mode_checked(spark, put, tmp_path):
+    put("parts/a.bed", [*PILEUP_HEAD, "chr1\t2\t3\t50.0\tTotal\t4"])
+    put("parts/b.bed", ["##pileup-mode=model", PILEUP_HEAD[1], "chr1\t5\t6\t50.0\tTotal\t4"])
+    with pytest.raises(bed.HeaderError, match="model"):
+        bed.read_meth_level(spark, str(tmp_path / "parts"), "count")
+
+
+@pytest.mark.parametrize("row", ["chr1\tx\t3", "chr1\t2", "\t2\t3"])
+def test_damaged_bed_rows_fail(spark, put, row):
+    with pytest.raises(Exception, match="damaged row|MALFORMED|FAILFAST"):
+        bed.read_all_cpgs_in_reference(spark, put("cpgs.bed", ["chr1\t1\t2", row])).collect()
+    put("table.bed.header", ["chrom", "start", "end"])
+    with pytest.raises(Exception, match="damaged row|MALFORMED|FAILFAST"):
+        bed.read_bed_and_header(spark, put("table.bed", ["chr1\t1\t2", row])).collect()
+
+
+def variant_file(samples_, *rows_):
+    head = "\t".join([*vcf.FIXED_COLUMNS, *samples_])
+    return ["##fileformat=VCFv4.2", head, *["\t".join(r) for r in rows_]]
+
+
+def test_damaged_variants(spark, put, rows):
+    good = ("chr1", "5", ".", "A", "C", ".", ".", ".", "GT:PS", "0|1:7")
+    for bad in (("chr1", "x5", *good[2:]), good[:-1]):
+        path = put("bad.vcf", variant_file(["kid"], good, bad))
+        with pytest.raises(Exception, match="damaged row|MALFORMED|FAILFAST"):
+            vcf.read_read_phasing(spark, path).collect()
+        with pytest.raises(Exception, match="damaged row|MALFORMED|FAILFAST"):
+            vcf.read_inheritance_phasing(spark, path, "kid").collect()
+    path = put("lenient.vcf", variant_file(["kid"], good, ("chr1", "x5", *good[2:])))
+    assert rows(vcf.read_joint_variants(spark, path, "kid"), "start", "allele_2") == [(4, "1")]
+
+
+def test_files_with_other_samples_are_not_read_by_position(spark, put):
+    row = ("chr1", "5", ".", "A", "C", ".", ".", ".", "GT", "0|1", "1|1")
+    one, two = put("one.vcf", variant_file(["kid", "dad"], row)), put("two.vcf", variant_file(["dad", "kid"], row))
+    with pytest.raises(vcf.SampleError, match="different"):
+        vcf.read_joint_variants(spark, [one, two], "kid")
+    same = put("three.vcf", variant_file(["kid", "dad"], row))
+    assert vcf.read_joint_variants(spark, [one, same], "kid").count() == 2
+
+
+def test_first_match_of_the_last_line_counts(spark, rows, put, tmp_path):
+    name = "/{}.dna-methylation.founder-phased.all_cpgs.bed"
+    put("c.log", ["old " + name.format("Z9"), "in " + name.format("A1") + " and " + name.format("B2"), "share: 5.00%", "share: 10.00% or share: 20.00%", "end"])
+    assert rows(reports.read_percentages(spark, str(tmp_path / "c.log"), "share")) == [("A1", 10.0)]
