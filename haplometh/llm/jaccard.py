@@ -15,6 +15,11 @@ them that another part must agree.
 its region, and a class stands in the region of every pivot that it meets, so
 any two similar sets meet in a region.
 
+*Parting a region.* Each set has a sketch: the parity of its shingles in a few
+hundred hash places. The distance between two sketches is at most the number of
+shingles in which the sets differ, so sets that are connected by no steps short
+enough for similar sets are parted before any set is sent.
+
 *Joining a region.* Pivots are taken from the region and all distances to them
 computed. Each set belongs to the nearest pivot and is copied to the regions of
 those that are at most two thresholds further: by the triangle inequality no
@@ -53,6 +58,10 @@ STEP, SPARE, POOR = 1.25, 0.3, 1
 REGION_SHINGLES = 1 << 22
 #: Pivots of a region, and sets of a region that is joined directly.
 PIVOTS, LEAF = 12, 96
+#: Sets of a region that are parted by their sketches; larger regions stay whole.
+PARTED = 8192
+#: Smallest and largest number of places in a sketch (a power of two near the set's size).
+PLACES = (256, 1 << 16)
 #: Bytes of a shingle's hash in a region.
 HASH_BYTES = 6
 
@@ -104,6 +113,35 @@ def signatures(own: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(found) if found else np.empty(0, np.uint64)
 
 
+# Sketches.
+
+
+def sketch(own: np.ndarray) -> bytes:
+    """The parity of the set's shingles in each place, packed."""
+    places = min(max(PLACES[0], 1 << max(0, len(own) - 1).bit_length()), PLACES[1])
+    counts = np.bincount((own & np.uint64(places - 1)).astype(np.int64), minlength=places)
+    return np.packbits(counts & 1).tobytes()
+
+
+def folded(sketches: list[bytes]) -> np.ndarray:
+    """The sketches at the size of the smallest, as rows of words: halves of a sketch add up to a smaller one."""
+    size = min(map(len, sketches))
+    return np.stack([np.bitwise_xor.reduce(np.frombuffer(x, np.uint64).reshape(-1, size // 8), axis=0) for x in sketches])
+
+
+def parts_of(sketches: list[bytes], sizes: np.ndarray, percent: int) -> np.ndarray:
+    """For each set of a region, the number of its part: similar sets are always in the same one."""
+    rows, label = folded(sketches), np.arange(len(sizes))
+    step = max(1, (1 << 21) // rows.size)
+    for at in range(0, len(rows), step):
+        apart = np.bitwise_count(rows[at : at + step, None] ^ rows).sum(axis=2, dtype=np.int64)
+        near = apart * (100 + percent) <= (sizes[at : at + step, None] + sizes) * (100 - percent)
+        for i in range(len(near)):
+            for other in np.unique(label[near[i]]):
+                label[label == other] = label[at + i]
+    return label
+
+
 # Inside a region.
 
 
@@ -251,12 +289,14 @@ def classified(packed: DataFrame, size: int, percent: int) -> tuple[DataFrame, D
     cells = materialize(cells.distinct(), "jaccard-cells")
     pivots = cells.groupBy("cell").agg(F.min("class").alias("pivot"), F.count("*").alias("held")).filter("held > 1").drop("held")
     meets = materialize(cells.join(pivots, "cell").select("pivot", "class", "n").distinct(), "jaccard-regions")
-    links = materialize(link(meets, sets_by_class(packed, members, meets, size), percent), "jaccard-links")
+    sets = materialize(sets_by_class(packed, members, meets, size), "jaccard-sets")
+    near = materialize(parted(meets, sets, percent), "jaccard-parts")
+    links = materialize(link(near, sets, percent), "jaccard-links")
     return packed, members, named(members, connected(links))
 
 
 def sets_by_class(packed: DataFrame, members: DataFrame, meets: DataFrame, size: int) -> DataFrame:
-    """``class`` and its packed ``hashes``, for the classes in ``meets``, read from one row of each."""
+    """``class``, its ``sketch`` and its packed ``hashes``, for the classes in ``meets``, read from one row of each."""
     wanted = members.join(meets.select("class").distinct(), "class", "left_semi").groupBy("class").agg(F.min(F.struct("block", "place")).alias("at"))
     listed = wanted.select("class", "at.*").groupBy("block").agg(F.collect_list(F.struct("place", "class")).alias("wanted"))  # at most a block's documents
 
@@ -267,19 +307,51 @@ def sets_by_class(packed: DataFrame, members: DataFrame, meets: DataFrame, size:
                 own = sets_of([all_texts[x["place"]] for x in chosen], size)
                 for at in range(0, len(own), 256):
                     some = slice(at, at + 256)
-                    yield pa.RecordBatch.from_arrays([pa.array([x["class"] for x in chosen[some]], pa.binary()), pa.array([packed_hashes(s) for s in own[some]], pa.binary())], names=["class", "hashes"])
+                    yield pa.RecordBatch.from_arrays([pa.array([x["class"] for x in chosen[some]], pa.binary()), pa.array([sketch(s) for s in own[some]], pa.binary()), pa.array([packed_hashes(s) for s in own[some]], pa.binary())], names=["class", "sketch", "hashes"])
 
-    return packed.join(listed, "block").select("ids", "texts", "wanted").mapInArrow(set_rows, "class binary, hashes binary")
+    return packed.join(listed, "block").select("ids", "texts", "wanted").mapInArrow(set_rows, "class binary, sketch binary, hashes binary")
+
+
+def parted(meets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``meets`` with the ``part`` of each class in its region; classes alone in theirs are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pivot, held, whole = None, [], False
+
+        def rows(held: list, label: np.ndarray) -> pa.RecordBatch:
+            _, number, counts = np.unique(label, return_inverse=True, return_counts=True)
+            some = [(pivot, int(part), name, n) for part, (name, n, _) in zip(number, held, strict=True) if whole or counts[part] > 1]
+            kinds = (pa.binary(), pa.int32(), pa.binary(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in some], k) for i, k in enumerate(kinds)], names=["pivot", "part", "class", "n"])
+
+        def done() -> pa.RecordBatch:
+            return rows(held, np.zeros(len(held), int) if whole else parts_of([h[2] for h in held], np.array([h[1] for h in held]), percent))
+
+        for batch in batches:
+            for key, name, n, drawn in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if key != pivot:
+                    if held:
+                        yield done()
+                    pivot, held, whole = key, [], False
+                held.append((name, n, drawn))
+                if len(held) > PARTED:
+                    whole = True  # and so is what follows of this region
+                    yield done()
+                    held = []
+        if held:
+            yield done()
+
+    near = meets.join(sets.select("class", "sketch"), "class").select("pivot", "class", "n", "sketch")
+    return near.repartition("pivot").sortWithinPartitions("pivot").mapInArrow(run, "pivot binary, part int, class binary, n long")
 
 
 def link(meets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links ``a``, ``b`` between classes: a spanning forest of each region's similar pairs."""
-    slices = meets.groupBy("pivot").agg(F.ceil(2 * F.sum("n") / REGION_SHINGLES).cast("int").alias("slices"))
-    cut = meets.join(slices.filter("slices > 2"), "pivot", "left").withColumn("slices", F.coalesce("slices", F.lit(1)))
+    """Links ``a``, ``b`` between classes: a spanning forest of the similar pairs of each part of a region."""
+    slices = meets.groupBy("pivot", "part").agg(F.ceil(2 * F.sum("n") / REGION_SHINGLES).cast("int").alias("slices"))
+    cut = meets.join(slices.filter("slices > 2"), ["pivot", "part"], "left").withColumn("slices", F.coalesce("slices", F.lit(1)))
     own = F.pmod(F.xxhash64("class"), F.col("slices")).cast("int")
     cut = cut.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
-    region = F.struct("pivot", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    rows = cut.select(region.alias("region"), "class").join(sets, "class")
+    rows = cut.select("pivot", "part", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "class").join(sets.select("class", "hashes"), "class")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, names, own = None, [], []
@@ -289,17 +361,18 @@ def link(meets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array([names[x[s]] for x in found], pa.binary()) for s in (0, 1)], names=["a", "b"])
 
         for batch in batches:
-            for pivot, i, j, name, hashes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (pivot, i, j) != key:
+            for *place, name, hashes in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if place != key:
                     if len(own) > 1:
                         yield joined()
-                    key, names, own = (pivot, i, j), [], []
+                    key, names, own = place, [], []
                 names.append(name)
                 own.append(unpacked_hashes(hashes))
         if len(own) > 1:
             yield joined()
 
-    dealt = rows.select("region.*", "class", "hashes").repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j")
+    region = ["pivot", "part", "i", "j"]
+    dealt = rows.select(*region, "class", "hashes").repartition(*region).sortWithinPartitions(*region)
     return dealt.mapInArrow(run, "a binary, b binary")
 
 

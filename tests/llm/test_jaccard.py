@@ -56,6 +56,8 @@ def test_against_all_pairs(documents, rows, monkeypatch, seed):
     monkeypatch.setattr(jaccard, "LEAF", 4)
     if seed % 2:
         monkeypatch.setattr(jaccard, "REGION_SHINGLES", 600)
+    if seed % 3 == 1:
+        monkeypatch.setattr(jaccard, "PARTED", 3)
     table = corpus(seed)
     size, percent = ((4, 85), (5, 80), (2, 60))[seed % 3]
     got = rows(jaccard.components(documents(*table).repartition(3), size, percent), "doc_id", "n_shingles", "component_id")
@@ -80,6 +82,21 @@ def test_similar_sets_agree_on_a_signature():
                     assert np.intersect1d(jaccard.signatures(own, percent), jaccard.signatures(np.sort(other), percent)).size, (n, drop)
 
 
+def test_similar_sets_are_in_one_part():
+    rng = np.random.default_rng(7)
+    for n in (3, 20, 200, 900):
+        base = [np.unique(rng.integers(0, 2**63, n).astype(np.uint64)) for _ in range(5)]
+        sets = [np.unique(np.concatenate((b[rng.random(len(b)) > 0.04], rng.integers(0, 2**63, n // 30).astype(np.uint64)))) for b in base for _ in range(6)]
+        sizes = np.array([len(s) for s in sets])
+        for percent in (80, 85):
+            part = jaccard.parts_of([jaccard.sketch(s) for s in sets], sizes, percent)
+            for i, j in ((i, j) for i in range(30) for j in range(i)):
+                if 100 * len(np.intersect1d(sets[i], sets[j])) >= percent * len(np.union1d(sets[i], sets[j])):
+                    assert part[i] == part[j]
+            if n >= 200:
+                assert len(set(part.tolist())) >= 5
+
+
 @pytest.mark.parametrize("seed", range(8))
 def test_region_finds_every_component(seed, monkeypatch):
     monkeypatch.setattr(jaccard, "LEAF", 8)
