@@ -212,9 +212,9 @@ def label_with_variants(cpgs: DataFrame, variants: DataFrame, *, by: Sequence[st
 
     CpGs come out as CG dinucleotides ``start_cpg``, ``end_cpg``, with the
     variant's coordinates and alleles and ``num_SNVs_overlapping_CG``, the
-    number of such rows over all rows with the same CpG columns. The count
-    comes from an aggregate per site rather than a window, so a site with very
-    many variants is never gathered in one window partition.
+    number of such rows over all rows with the same CpG columns. Equal variants
+    of a site are counted before they are listed, so a site with very many
+    records is a short list, joined once, and no window is needed.
     """
     site = with_by(by)
     alleles = [c for c in variants.columns if c.startswith("allele_")]
@@ -227,15 +227,19 @@ def label_with_variants(cpgs: DataFrame, variants: DataFrame, *, by: Sequence[st
         F.col("end").alias("end_variant"),
         *alleles,
     )
-    counts = hits.groupBy(*site).agg(F.count("start_variant").alias("__hits"))
+    variant = ("start_variant", "end_variant", *alleles)
+    folded = hits.groupBy(*site, *variant).agg(F.count(F.lit(1)).alias("__n"))
+    # a list per site of its different variants: two positions, a few alleles each
+    listed = folded.groupBy(*site).agg(F.sum("__n").alias("__hits"), F.collect_list(F.struct(*variant, "__n")).alias("__variants"))
     number = (F.coalesce("__hits", F.lit(0)) * F.col("__copies")).cast("bigint")
     labelled = (
         _with_copies(cpgs)
-        .join(counts, site, "left")
-        .join(hits, site, "left")
+        .join(listed, site, "left")
         .withColumn("num_SNVs_overlapping_CG", number)
         .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-        .select(*cpgs.columns, "start_variant", "end_variant", *alleles, "num_SNVs_overlapping_CG")
+        .withColumn("__v", F.explode_outer("__variants"))
+        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.coalesce("__v.__n", F.lit(1)))))
+        .select(*cpgs.columns, *[F.col(f"__v.{c}").alias(c) for c in variant], "num_SNVs_overlapping_CG")
     )
     return _as_dinucleotides(labelled, cpgs.columns)
 
