@@ -45,8 +45,9 @@ def blocks(docs: DataFrame, rows: bool = False) -> DataFrame:
             columns = [pa.array([int(sizes.sum())], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([press.compress(sizes.tobytes() + b"".join(texts))], pa.binary())]
             if rows:
                 sink = io.BytesIO()
-                with pa.ipc.new_stream(sink, parts[0].schema) as out:
-                    for p in parts:
+                others = [p.set_column(text_at, "text", p.column(text_at).is_null()) for p in parts]  # the texts are held once
+                with pa.ipc.new_stream(sink, others[0].schema) as out:
+                    for p in others:
                         out.write_batch(p)
                 columns.append(pa.array([press.compress(sink.getvalue())], pa.binary()))
             return pa.RecordBatch.from_arrays(columns, names=["size", "ids", "texts", *["rows"] * rows])
@@ -74,14 +75,19 @@ def chosen_rows(packed: DataFrame, places: DataFrame, like: DataFrame) -> DataFr
     """The rows of ``packed`` named in ``places`` (``block``, ``place``), with the columns of ``like``."""
     listed = places.groupBy("block").agg(F.collect_list("place").alias("places"))  # at most a block's rows
 
+    text_at = like.columns.index("text")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, chosen in zip(batch.column("rows"), batch.column("places"), strict=True):
+            for ids, texts, rows, chosen in zip(*(batch.column(c) for c in ("ids", "texts", "rows", "places")), strict=True):
+                places = sorted(chosen.as_py())
                 raw = zstandard.ZstdDecompressor().decompress(rows.as_py())
-                table = pa.ipc.open_stream(raw).read_all().take(pa.array(sorted(chosen.as_py())))
-                yield from table.to_batches(max_chunksize=1024)
+                table = pa.ipc.open_stream(raw).read_all().take(pa.array(places))
+                own = unpacked(ids, texts.as_py())
+                back = [None if null else own[i].decode() for i, null in zip(places, table.column(text_at).to_pylist(), strict=True)]
+                yield from table.set_column(text_at, "text", pa.array(back, pa.string())).to_batches(max_chunksize=1024)
 
-    return packed.join(listed, "block").select("rows", "places").mapInArrow(run, like.schema)
+    return packed.join(listed, "block").select("ids", "texts", "rows", "places").mapInArrow(run, like.schema)
 
 
 def unpacked(ids, texts: bytes) -> list[bytes]:

@@ -29,7 +29,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 RUNNING = [" " + c for c in map(chr, range(0x3001)) if c.isspace()]
 #: A word of Latin letters with ASCII punctuation behind it: split as the pattern would.
 PUNCTUATED = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-/:-@\[-`{-~]+)")
-CACHED_PIECES = 900_000
+CACHED_PIECES = 400_000
 CACHED_PAIRS = 1_000_000
 LONGEST_CACHED = 48
 

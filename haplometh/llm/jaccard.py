@@ -136,9 +136,10 @@ def parts_of(sketches: list[bytes], sizes: np.ndarray, percent: int) -> np.ndarr
     for at in range(0, len(rows), step):
         apart = np.bitwise_count(rows[at : at + step, None] ^ rows).sum(axis=2, dtype=np.int64)
         near = apart * (100 + percent) <= (sizes[at : at + step, None] + sizes) * (100 - percent)
-        for i in range(len(near)):
+        for i in np.flatnonzero(near.sum(axis=1) > 1):  # each is near itself
             for other in np.unique(label[near[i]]):
-                label[label == other] = label[at + i]
+                if other != label[at + i]:
+                    label[label == other] = label[at + i]
     return label
 
 
