@@ -6,7 +6,7 @@ operation over all sequences of the group.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -94,14 +94,31 @@ def train(groups: Sequence[Group], features: int, labels: int, penalty: float =
 
 def viterbi(e: np.ndarray, model: Model) -> np.ndarray:
     """The likeliest label sequences [n, T]; ties go to the smaller label."""
-    n, length, _ = e.shape
-    best, back = model.start + e[:, 0], np.zeros(e.shape, np.int32)
-    for t in range(1, length):
-        ways = best[:, :, None] + model.transition
-        back[:, t] = ways.argmax(axis=1)
-        best = ways.max(axis=1) + e[:, t]
-    out = np.empty((n, length), np.int32)
-    out[:, -1] = best.argmax(axis=1)
-    for t in range(length - 1, 0, -1):
-        out[:, t - 1] = back[np.arange(n), t, out[:, t]]
+    return viterbi_pieces([e], model)
+
+
+def viterbi_pieces(pieces: Iterable[np.ndarray], model: Model) -> np.ndarray:
+    """``viterbi`` of sequences whose emissions come in pieces along T, none of them empty.
+
+    The best scores go from piece to piece and the back pointers through all of
+    them, so the result is that of the whole; only one piece's emissions are held.
+    """
+    best, backs = None, []
+    for e in pieces:
+        back = np.zeros(e.shape, np.min_scalar_type(e.shape[2]))
+        for t in range(e.shape[1]):
+            if best is None:
+                best = model.start + e[:, 0]
+                continue
+            ways = best[:, :, None] + model.transition
+            back[:, t] = ways.argmax(axis=1)
+            best = ways.max(axis=1) + e[:, t]
+        backs.append(back)
+    n, ends = len(best), np.cumsum([b.shape[1] for b in backs])
+    out = np.empty((n, ends[-1]), np.int32)
+    last = best.argmax(axis=1)
+    for back, end in zip(reversed(backs), reversed(ends), strict=True):
+        for t in range(back.shape[1] - 1, -1, -1):
+            out[:, end - back.shape[1] + t] = last
+            last = back[np.arange(n), t, last]
     return out

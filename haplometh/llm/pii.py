@@ -5,7 +5,8 @@ phone numbers by pattern. A linear-chain CRF over word shapes, trained from a
 small labelled table, adds numbers written otherwise (phones without a plus,
 cards with dots, IPv6). Its items are the words with a digit or an at sign; all
 others are outside any span by constraint, so a text falls apart at them into
-short runs that Viterbi decodes many at a time, exactly.
+runs that Viterbi decodes exactly: short ones many at a time, long ones (tables
+of numbers) by pieces that hand on their scores and back pointers.
 
 Null or empty texts have no spans. Spans count code points, end exclusive;
 repeated rows are each searched; other columns are ignored. An added span never
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haplometh.llm.crf import Group, Model, emissions, train, viterbi
+from haplometh.llm.crf import Group, Model, emissions, train, viterbi, viterbi_pieces
 
 KINDS = ("email", "ip", "card", "phone")
 #: The tails of the base patterns. Heads are found by their rarest letter.
@@ -232,40 +233,44 @@ def fit(labelled: DataFrame, most: int = MOST_SENTENCES) -> Finder:
     return finder
 
 
-#: Words of a run that are decoded together; longer runs are cut (only tables of numbers have them).
-LONGEST_RUN = 256
+#: Words of a run whose features are held at a time; longer runs (tables of numbers) are decoded by pieces, as one.
+PIECE = 256
 
 
 def added_spans(texts: list[str], finder: Finder, base: list[list[Span]]) -> list[list[Span]]:
     """Spans that the CRF finds outside the base spans, for a batch of texts."""
     waiting: dict[int, list[tuple[int, list[tuple[int, int]], list[list[str]]]]] = {}
+    decoded: list[tuple[int, list[tuple[int, int]], np.ndarray]] = []
+    scores = lambda items: emissions(finder.group(items), finder.model.weight)
     for t, text in enumerate(texts):
         for run in _item_runs(text):
-            spots = [s for s in run if s[2]]
+            spots = [s[:2] for s in run if s[2]]
             words = [text[a:b] if a >= 0 else None for a, b, _ in run]
             shift = next(i for i, s in enumerate(run) if s[2])
-            for first in range(0, len(spots), LONGEST_RUN):
-                part = spots[first : first + LONGEST_RUN]
-                items = [features(words, shift + first + i) for i in range(len(part))]
-                waiting.setdefault(len(part), []).append((t, [s[:2] for s in part], items))
-    out: list[list[Span]] = [[] for _ in texts]
+            pieces = ([features(words, shift + i) for i in range(at, min(at + PIECE, len(spots)))] for at in range(0, len(spots), PIECE))
+            if len(spots) <= PIECE:
+                waiting.setdefault(len(spots), []).append((t, spots, next(pieces)))
+            else:
+                decoded.append((t, spots, viterbi_pieces((scores([items]) for items in pieces), finder.model)[0]))
     for runs in waiting.values():
-        labels = viterbi(emissions(finder.group([r[2] for r in runs]), finder.model.weight), finder.model)
-        for (t, spots, _), row in zip(runs, labels, strict=True):
-            k = 0
-            while k < len(row):
-                name = LABELS[row[k]]
-                if name[0] != "B":
-                    k += 1
-                    continue
-                upto = k + 1
-                while upto < len(row) and LABELS[row[upto]] == "I" + name[1:]:
-                    upto += 1
-                head, tail = texts[t][slice(*spots[k])], texts[t][slice(*spots[upto - 1])]
-                start, end = spots[k][0] + trimmed(head)[0], spots[upto - 1][0] + trimmed(tail)[1]
-                if start < end and all(end <= a or b <= start for _, a, b in base[t]):
-                    out[t].append((_OF[name[2:]], start, end))
-                k = upto
+        labels = viterbi(scores([r[2] for r in runs]), finder.model)
+        decoded += [(t, spots, row) for (t, spots, _), row in zip(runs, labels, strict=True)]
+    out: list[list[Span]] = [[] for _ in texts]
+    for t, spots, row in decoded:
+        k = 0
+        while k < len(row):
+            name = LABELS[row[k]]
+            if name[0] != "B":
+                k += 1
+                continue
+            upto = k + 1
+            while upto < len(row) and LABELS[row[upto]] == "I" + name[1:]:
+                upto += 1
+            head, tail = texts[t][slice(*spots[k])], texts[t][slice(*spots[upto - 1])]
+            start, end = spots[k][0] + trimmed(head)[0], spots[upto - 1][0] + trimmed(tail)[1]
+            if start < end and all(end <= a or b <= start for _, a, b in base[t]):
+                out[t].append((_OF[name[2:]], start, end))
+            k = upto
     return out
 
 

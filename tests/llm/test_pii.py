@@ -102,3 +102,34 @@ def test_without_labels(spark, documents):
 def test_long_text(finder):
     text = "a@b.cd " * 50_000 + "9" * 100_000
     assert len(pii.base_spans(text)) == 50_000
+
+
+def test_long_runs_are_decoded_whole(finder):
+    from haplometh.llm.crf import emissions, viterbi
+
+    for line, times in (("555 123 4567\n", 300), ("4111 1111 1111 1111\n+49 170 5551234\n", 120)):
+        text = line * times
+        words = text.split()
+        assert len(words) > 2 * 256
+        whole = viterbi(emissions(finder.group([[pii.features(words, k) for k in range(len(words))]]), finder.model.weight), finder.model)[0]
+        starts = [m.start() for m in pii.WORD.finditer(text)]
+        want, k = [], 0
+        while k < len(words):
+            upto = k + 1
+            if pii.LABELS[whole[k]][0] == "B":
+                while upto < len(words) and pii.LABELS[whole[upto]] == "I" + pii.LABELS[whole[k]][1:]:
+                    upto += 1
+                want.append((pii._OF[pii.LABELS[whole[k]][2:]], starts[k], starts[upto - 1] + len(words[upto - 1])))
+            k = upto
+        assert pii.added_spans([text], finder, [[]]) == [want] and want
+
+
+def test_viterbi_by_pieces_is_that_of_the_whole():
+    import numpy as np
+
+    from haplometh.llm.crf import Model, viterbi, viterbi_pieces
+
+    rng = np.random.default_rng(2)
+    for n, length, piece in ((1, 9, 4), (3, 50, 7), (2, 16, 1), (2, 8, 8)):
+        e, model = rng.normal(size=(n, length, 5)), Model(None, 2 * rng.normal(size=(5, 5)), rng.normal(size=5))
+        assert (viterbi_pieces((e[:, a : a + piece] for a in range(0, length, piece)), model) == viterbi(e, model)).all()
