@@ -9,7 +9,10 @@ sizes whose sets can differ in at most d shingles, shingles are dealt into more
 than d parts by hash, and two similar sets must agree on some part. A part that
 occurs once in the corpus is dropped (the exchange of ``blocks``), the rest are
 cells. Parts with hardly a shingle are left out when a set has few enough of
-them that another part must agree.
+them that another part must agree. An empty part says nothing and is never a
+cell: sets with so many of them that two could agree on these alone also send
+their first shingles in the order of hashes, of which similar sets share one.
+Where a level allows no difference the set is one part, and its cell one class.
 
 *Regions.* The smallest class of a cell is its pivot; the cells of a pivot make
 its region, and a class stands in the region of every pivot that it meets, so
@@ -98,18 +101,21 @@ def levels(n: int, percent: int) -> list[tuple[int, int]]:
 
 def signatures(own: np.ndarray, percent: int) -> np.ndarray:
     """A hash for each part of the set that stands for it in the join."""
-    found = []
+    found, bare = [], False
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed(own))))
     for level, differ in levels(len(own), percent) if len(own) else []:
-        spare = max(1, int(differ * SPARE))
+        spare = max(1, int(differ * SPARE)) if differ else 0
         parts = differ + 1 + spare
         part = ((own >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
         ends = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
         content = sums[ends[1:]] - sums[ends[:-1]]
         names = mixed(np.arange(parts, dtype=np.uint64) + np.uint64(level << 32))
-        rich = np.diff(ends) > POOR
-        keep = rich if (~rich).sum() <= spare else np.ones(parts, bool)
+        filled, rich = np.diff(ends) > 0, np.diff(ends) > POOR
+        keep = rich if (~rich).sum() <= spare else filled
+        bare |= bool((~filled).sum() > spare)  # more than ``spare`` parts agree, perhaps empty ones alone
         found.append(mixed(content + names)[keep])
+    if bare:
+        found.append(mixed(own[: len(own) * (100 - percent) // 100 + 1] ^ np.uint64(0x5851F42D4C957F2D)))
     return np.concatenate(found) if found else np.empty(0, np.uint64)
 
 

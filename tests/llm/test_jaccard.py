@@ -151,3 +151,23 @@ def test_representatives(documents, clashing, rows):
     assert jaccard.representatives(docs.limit(0)).count() == 0 and jaccard.components(docs.limit(0)).count() == 0
     only_null = docs.filter(F.col("doc_id").isNull())
     assert rows(jaccard.components(only_null), "n_shingles", "component_id") == [(0, None), (57, None)]
+
+
+def test_unlike_short_sets_share_no_cell():
+    rng = np.random.default_rng(3)
+    for percent in (85, 80):
+        seen = set()
+        for n in [1, 1, 1, 2, 2, 3, 4, 5, 6, 7, 8] * 40:
+            found = {int(x) for x in jaccard.signatures(np.unique(rng.integers(0, 2**63, n).astype(np.uint64)), percent)}
+            assert found and not found & seen
+            seen |= found
+
+
+def test_sets_in_one_part_still_meet():
+    rng = np.random.default_rng(4)
+    for percent, n in ((85, 7), (85, 8), (80, 5), (80, 9), (60, 12)):
+        for _ in range(40):
+            own, apart = (np.unique(rng.integers(0, 2**40, n).astype(np.uint64)) for _ in range(2))  # all in the first part
+            other = np.delete(own, rng.integers(0, n))
+            assert np.intersect1d(jaccard.signatures(own, percent), jaccard.signatures(other, percent)).size
+            assert not np.intersect1d(jaccard.signatures(own, percent), jaccard.signatures(apart, percent)).size
