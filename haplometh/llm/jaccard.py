@@ -42,6 +42,7 @@ have one. Other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -87,12 +88,15 @@ def class_of(own: np.ndarray) -> bytes:
 
 
 def levels(n: int, percent: int) -> list[tuple[int, int]]:
-    """Levels at which a set of ``n`` is cut, each with its parts' number and spare parts as (level, parts)."""
+    """Levels at which a set of ``n`` is cut, each with the most shingles in which similar sets differ there.
+
+    From its own level to that of the largest set that can be similar.
+    """
     own = int(math.log(n) / math.log(STEP) + 1e-9)
     out = []
-    for level in (own, own + 1):
+    for level in itertools.count(own):
         if level > own and n * 100 < percent * math.ceil(STEP**level):
-            continue  # no similar set is that large
+            break  # no similar set is that large
         most = math.ceil(STEP ** (level + 1)) - 1
         differ = 2 * most * (100 - percent) // (100 + percent)
         out.append((level, differ))
@@ -254,6 +258,8 @@ def representatives(docs: DataFrame, size: int = 4, percent: int = 85) -> DataFr
 
 def classified(packed: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The blocks, a row for each document (``members``), and each class's ``label`` and ``named`` doc_id."""
+    if not 1 <= percent <= 100:
+        raise ValueError(f"no similarity of {percent} percent")
     ranges = blocks.ranges_for(packed, 0.08)
 
     def member_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

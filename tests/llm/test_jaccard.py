@@ -171,3 +171,20 @@ def test_sets_in_one_part_still_meet():
             other = np.delete(own, rng.integers(0, n))
             assert np.intersect1d(jaccard.signatures(own, percent), jaccard.signatures(other, percent)).size
             assert not np.intersect1d(jaccard.signatures(own, percent), jaccard.signatures(apart, percent)).size
+
+
+def test_sets_at_the_edge_of_the_size_ratio_meet():
+    rng = np.random.default_rng(5)
+    for percent, n, larger in ((70, 100, 142), (60, 100, 166), (50, 7, 14), (30, 40, 133), (80, 100, 125), (85, 85, 100)):
+        for _ in range(20):
+            whole = np.unique(rng.integers(0, 2**63, larger).astype(np.uint64))
+            own = np.sort(rng.permutation(whole)[:n])
+            assert np.intersect1d(jaccard.signatures(own, percent), jaccard.signatures(whole, percent)).size, (percent, n)
+
+
+def test_a_contained_text_is_linked_at_70(documents, rows):
+    words = [f"w{i}" for i in range(145)]
+    table = [(1, " ".join(words)), (2, " ".join(words[:103])), (3, " ".join(words[:90]))]
+    assert rows(jaccard.components(documents(*table), 4, 70), "doc_id", "n_shingles", "component_id") == plain(table, 4, 70)
+    with pytest.raises(ValueError):
+        jaccard.components(documents(*table), 4, 0)
