@@ -6,8 +6,10 @@ the fraction that is left is filled by weighted sampling without replacement
 quality weight, and the documents with the smallest keys fill the budget.
 
 The running sum that finds them is never one sorted task: keys fall into
-``KEY_BINS`` bins by a monotone function, bins are summed first, and only the
-bin in which the budget runs out is sorted, for each source apart.
+``KEY_BINS`` bins by a monotone function, bins are summed first, and the bin in
+which the budget runs out is split again over the keys it holds, then over the
+rows of one key, until it has at most ``FEW`` rows; only these are sorted, for
+each source apart.
 
 Null sources form a source of their own, after all others; null or empty texts
 have size 0 and are taken as often as the epochs say. The draw is a hash of
@@ -25,8 +27,10 @@ from pyspark.sql.window import Window
 
 from haplometh.storage import materialize
 
-#: Bins of the keys of a source; the sorted bin holds about one row in so many.
+#: Bins of the keys of a source; even at quality weight 1, fuller at the end of the keys below it.
 KEY_BINS = 65536
+#: Rows of a source that are sorted; a bin with more is split again.
+FEW = 10_000
 #: The most often a source may be repeated.
 MOST_EPOCHS = 3
 WEIGHTS = (1.0, 2.0, 3.0)
@@ -98,21 +102,16 @@ def _mixed(docs: DataFrame, keep: Sequence[str], weights: Sequence[float], most:
     budget = targets(sized, weights, most)
     whole = F.when(F.col("mix_total") > 0, F.least(F.floor(F.col("mix_target") / F.col("mix_total")), F.lit(most))).otherwise(F.lit(0)).cast("long")
     budget = budget.withColumn("mix_epochs", whole).withColumn("mix_rest", F.col("mix_target") - F.col("mix_epochs") * F.col("mix_total"))
-    bins = sized.groupBy("mix_source", "mix_bin").agg(F.sum("mix_size").alias("bin_size"))
-    upto = Window.partitionBy("mix_source").orderBy("mix_bin").rowsBetween(Window.unboundedPreceding, -1)
-    bins = bins.withColumn("before", F.coalesce(F.sum("bin_size").over(upto), F.lit(0)))
+    plan = edges(sized, budget)
     same = lambda a, b: a["mix_source"].eqNullSafe(b["mix_source"])
-    # the bin in which each budget runs out: the last one that begins below it
-    edges = bins.join(budget, same(bins, budget)).filter(F.col("before") < F.col("mix_rest"))
-    edges = edges.groupBy(bins["mix_source"]).agg(F.max_by(F.struct("mix_bin", "before"), "mix_bin").alias("edge"))
-    edge = F.coalesce(F.col("edge.mix_bin"), F.lit(-1)).alias("mix_edge"), F.coalesce(F.col("edge.before"), F.lit(0)).alias("mix_before")
-    plan = materialize(budget.join(edges, same(budget, edges), "left").select(budget["*"], *edge), "mix-plan")
     turn = Window.partitionBy("mix_source").orderBy("mix_key", "mix_row").rowsBetween(Window.unboundedPreceding, 0)
-    inner = planned(sized, plan).filter(F.col("mix_bin") == F.col("mix_edge")).withColumn("mix_upto", F.col("mix_before") + F.sum("mix_size").over(turn))
+    inner = planned(sized, plan).filter(at_edge()).withColumn("mix_upto", F.col("mix_before") + F.sum("mix_size").over(turn))
     inner = inner.filter(F.col("mix_upto") <= F.col("mix_rest")).groupBy("mix_source").agg(F.max(F.struct("mix_key", "mix_row")).alias("mix_last"), F.max("mix_upto").alias("mix_upto"))
     gap = (F.col("mix_rest") - F.coalesce(F.col("mix_upto"), F.col("mix_before"))).alias("mix_gap")
     plan = materialize(plan.join(inner, same(plan, inner), "left").select(plan["*"], "mix_last", gap), "mix-plan")
-    taken = (F.col("mix_bin") < F.col("mix_edge")) | F.coalesce((F.col("mix_bin") == F.col("mix_edge")) & (F.struct("mix_key", "mix_row") <= F.col("mix_last")), F.lit(False))
+    place = F.struct("mix_key", "mix_row")
+    ahead = (place < F.struct(F.col("mix_low").alias("mix_key"), F.col("mix_from").alias("mix_row"))) | F.coalesce(place <= F.col("mix_last"), F.lit(False))
+    taken = (F.col("mix_bin") < F.col("mix_edge")) | ((F.col("mix_bin") == F.col("mix_edge")) & ahead)
     miss = F.abs(F.col("mix_gap") - F.col("mix_size"))
     closing = planned(sized, plan).filter(~taken & (miss < F.col("mix_gap"))).groupBy("mix_source").agg(F.min(F.struct(miss, "mix_key", "mix_row"))["mix_row"].alias("mix_closing"))
     plan = materialize(plan.join(closing, same(plan, closing), "left").select(plan["*"], "mix_closing"), "mix-plan")
@@ -120,6 +119,47 @@ def _mixed(docs: DataFrame, keep: Sequence[str], weights: Sequence[float], most:
     return planned(sized, plan).withColumn("mix_copies", F.col("mix_epochs") + more)
 
 
+#: What a plan knows of the rows at its edge: bin, size of all rows before, their number, and the range of their keys and row numbers.
+_EDGE = {"mix_edge": "mix_bin", "mix_before": "before", "mix_n": "n", "mix_low": "low", "mix_high": "high", "mix_from": "first", "mix_to": "last"}
+
+
+def at_edge() -> Column:
+    """Whether a planned row is one of those among which its budget runs out."""
+    inside = F.col("mix_key").between(F.col("mix_low"), F.col("mix_high")) & F.col("mix_row").between(F.col("mix_from"), F.col("mix_to"))
+    return (F.col("mix_bin") == F.col("mix_edge")) & inside
+
+
+def edges(sized: DataFrame, budget: DataFrame) -> DataFrame:
+    """``budget`` with the rows of each source among which it runs out, at most ``FEW``, by ``_EDGE``; bin -1 for none."""
+    bins = with_sums(sized.withColumn("bin", F.col("mix_bin")))
+    plan = materialize(narrowed(budget.withColumns({"mix_before": F.lit(0).cast("long"), "mix_edge": F.lit(-1), "mix_n": F.lit(0).cast("long"), **{c: F.lit(None).cast(k) for c, k in (("mix_low", "double"), ("mix_high", "double"), ("mix_from", "long"), ("mix_to", "long"))}}), bins), "mix-plan")
+    while (plan.agg(F.max("mix_n")).collect()[0][0] or 0) > FEW:
+        part = lambda x, low, high: F.floor(F.try_divide((F.col(x) - F.col(low)).cast("double"), (F.col(high) - F.col(low)).cast("double")) * KEY_BINS)
+        # null where all keys, or row numbers, are one
+        place = F.least(F.coalesce(part("mix_key", "mix_low", "mix_high"), part("mix_row", "mix_from", "mix_to"), F.lit(0)), F.lit(KEY_BINS - 1))
+        bins = with_sums(planned(sized, plan).filter(at_edge() & (F.col("mix_n") > FEW)).withColumn("bin", place))
+        plan = materialize(narrowed(plan, bins), "mix-plan")
+    return plan
+
+
+def with_sums(rows: DataFrame) -> DataFrame:
+    """The bins of each source, in each the number of rows, their size and ranges, and the size of the bins ``before``."""
+    sums = F.sum("mix_size").alias("bin_size"), F.count("*").alias("n"), F.first("mix_bin").alias("mix_bin")
+    bins = rows.groupBy("mix_source", "bin").agg(*sums, F.min("mix_key").alias("low"), F.max("mix_key").alias("high"), F.min("mix_row").alias("first"), F.max("mix_row").alias("last"))
+    upto = Window.partitionBy("mix_source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    return bins.withColumn("before", F.coalesce(F.sum("bin_size").over(upto), F.lit(0).cast("long")))
+
+
+def narrowed(plan: DataFrame, bins: DataFrame) -> DataFrame:
+    """``plan`` with the bin in which each budget runs out as its edge: the last one that begins below it."""
+    found = bins.withColumnRenamed("mix_source", "of")
+    found = plan.join(found, F.col("mix_source").eqNullSafe(F.col("of"))).withColumn("before", F.col("mix_before") + F.col("before"))
+    found = found.filter(F.col("before") < F.col("mix_rest")).groupBy(F.col("mix_source").alias("of")).agg(F.max_by(F.struct(*_EDGE.values()), "bin").alias("edge"))
+    new = {c: F.coalesce(F.col(f"edge.{x}"), F.col(c)).alias(c) for c, x in _EDGE.items()}
+    joined = plan.join(found, F.col("mix_source").eqNullSafe(F.col("of")), "left")
+    return joined.select(*[new.get(c, F.col(c)) for c in plan.columns])
+
+
 def planned(sized: DataFrame, plan: DataFrame) -> DataFrame:
     """Every document's row beside the plan of its source."""
     plan = plan.withColumnRenamed("mix_source", "mix_plan")

@@ -70,3 +70,26 @@ def test_only_the_edge_bin_is_sorted(spark, documents):
     sized = mixing.sizes(docs)
     assert sized.groupBy("mix_source", "mix_bin").count().agg(F.max("count")).collect()[0][0] < 20
     check(mixing.mix(docs, ("doc_id", "source")))
+
+
+def test_large_edge_bins_are_split(spark, documents, monkeypatch):
+    # words of 30 letters have the lowest weight, so many keys are in the last bin, where the budget of s0 ends; the others' ids give one key each
+    unlike = [(i, " ".join(["x" * 30] * (1 + i % 4)), None, "s0") for i in range(2000)]
+    alike = [(None, "w " * (1 + i % 5), None, "s1") for i in range(3200)]
+    docs = documents(*unlike, *alike).repartition(3)
+    sized = mixing.sizes(docs)
+    budget = mixing.targets(sized).withColumn("mix_rest", 0.97 * F.col("mix_total"))
+    whole = {r["mix_source"]: r["mix_n"] for r in mixing.edges(sized, budget).collect()}
+    assert whole["s0"] > 50 and whole["s1"] == 3200
+    want = {(r["source"], r["doc_id"], r["mix_size"], r["mix_copies"], r["n"]) for r in mixing.mix(docs, ("doc_id", "source")).groupBy("source", "doc_id", "mix_size", "mix_copies").agg(F.count("*").alias("n")).collect()}
+    monkeypatch.setattr(mixing, "FEW", 20)
+    monkeypatch.setattr(mixing, "KEY_BINS", 64)
+    sized = mixing.sizes(docs)
+    plan = mixing.edges(sized, budget)
+    assert all(0 < r["mix_n"] <= 20 for r in plan.collect())
+    inside = mixing.planned(sized, plan).filter(mixing.at_edge()).groupBy("mix_source").agg(F.count("*").alias("n"), F.sum("mix_size").alias("size"))
+    for r, p in ((r, p) for r in inside.collect() for p in plan.collect() if r["mix_source"] == p["mix_source"]):
+        assert r["n"] == p["mix_n"] and p["mix_before"] < p["mix_rest"] <= p["mix_before"] + r["size"]
+    mixed = mixing.mix(docs, ("doc_id", "source"))
+    assert {(r["source"], r["doc_id"], r["mix_size"], r["mix_copies"], r["n"]) for r in mixed.groupBy("source", "doc_id", "mix_size", "mix_copies").agg(F.count("*").alias("n")).collect()} == want
+    check(mixed)
