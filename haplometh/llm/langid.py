@@ -51,6 +51,7 @@ class Grams:
     first: np.ndarray
     hash: np.ndarray  # of words
     text_first: np.ndarray  # words of text i: text_first[i]:text_first[i + 1]
+    span: np.ndarray  # [words, 2], in code points of the lower-cased text
 
 
 def grams(texts: list[str]) -> Grams:
@@ -79,7 +80,10 @@ def grams(texts: list[str]) -> Grams:
     hashed = mixed(np.add.reduceat(c[at] * place[size], start)) if len(start) else np.empty(0, np.uint64)
     lengths = np.fromiter(map(len, lowered), np.int64, len(lowered)) + 1
     text_start = 3 + np.concatenate(([0], np.cumsum(lengths)))
-    return Grams(index, first, hashed, np.searchsorted(at[start] if len(start) else start, text_start))
+    begin, end = at[start], at[first[1:] - 1]
+    text_first = np.searchsorted(begin, text_start)
+    shift = np.repeat(text_start[:-1], np.diff(text_first))
+    return Grams(index, first, hashed, text_first, np.stack((begin - shift, end - shift), axis=1))
 
 
 @dataclass
@@ -197,9 +201,20 @@ def word_probabilities(emission: np.ndarray, opens: np.ndarray, model: LanguageM
 
 def label_words(texts: list[str], model: LanguageModel) -> tuple[np.ndarray, np.ndarray]:
     """Probabilities [words, languages] of all texts' words, and each text's first word."""
+    probability, first, _ = labelled_words(texts, model)
+    return probability, first
+
+
+def labelled_words(texts: list[str], model: LanguageModel) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``label_words``, and each word's start and end in its text."""
     g = grams(texts)
     if not len(g.hash) or not model.languages:
-        return np.empty((0, len(model.languages))), np.zeros(len(texts) + 1, np.int64)
+        return np.empty((0, len(model.languages))), np.zeros(len(texts) + 1, np.int64), np.empty((0, 2), np.int64)
+    for t, text in enumerate(texts):
+        if len(text.lower()) != len(text):  # a letter that is two in lower case
+            own = slice(g.text_first[t], g.text_first[t + 1])
+            origin = np.repeat(np.arange(len(text)), [len(c.lower()) for c in text])
+            g.span[own] = np.stack((origin[g.span[own, 0]], origin[g.span[own, 1] - 1] + 1), axis=1)
     score = model.gram[g.index[:, 0]]
     score += model.gram[g.index[:, 1]]
     score += model.gram[g.index[:, 2]]
@@ -207,12 +222,13 @@ def label_words(texts: list[str], model: LanguageModel) -> tuple[np.ndarray, np.
     emission += model.word[lexicon_rows(model.lexicon, g.hash)]
     opens = np.zeros(len(g.hash), bool)
     opens[g.text_first[:-1][np.diff(g.text_first) > 0]] = True
-    return word_probabilities(emission, opens, model), g.text_first
+    return word_probabilities(emission, opens, model), g.text_first, g.span
 
 
-def predict(texts: list[str], model: LanguageModel) -> tuple[list[str], list[float]]:
-    probability, first = label_words(texts, model)
-    langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+def decided(probability: np.ndarray, first: np.ndarray, model: LanguageModel) -> tuple[list[str], list[float]]:
+    """Language and score of each text from those of its words."""
+    n = len(first) - 1
+    langs, scores = [UNKNOWN] * n, [0.0] * n
     full = np.flatnonzero(np.diff(first))
     if len(full):
         mean = np.add.reduceat(probability, first[full], axis=0) / np.diff(first)[full, None]
@@ -242,15 +258,32 @@ def fit(docs: DataFrame, docs_each: int = SAMPLE_DOCS, chars_each: int = SAMPLE_
     return learn([(r[0], r[1]) for r in rows])
 
 
-def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """``doc_id``, ``lang_pred`` and ``score`` of every row; only ``text`` decides."""
+WORDS = "array<struct<start:int,end:int,lang:string,probability:double>>"
+
+
+def labelled(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    """``doc_id``, ``lang_pred``, ``score`` and ``words`` of every row; only ``text`` decides.
+
+    ``words`` (as ``WORDS``) has each word's span in code points, end exclusive,
+    its likeliest language and that one's probability; none without a model.
+    """
     kept = docs.select("doc_id").schema[0].dataType.simpleString()
     told = docs.sparkSession.sparkContext.broadcast(model)  # fixed tables and a bounded lexicon
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = pa.array(told.value.languages, pa.string())
         for whole in batches:
             for batch in steps(whole):
-                langs, scores = predict([t or "" for t in batch.column("text").to_pylist()], told.value)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "lang_pred", "score"])
+                probability, first, span = labelled_words([t or "" for t in batch.column("text").to_pylist()], told.value)
+                langs, scores = decided(probability, first, told.value)
+                best = probability.argmax(axis=1) if len(probability) else np.empty(0, np.int64)
+                columns = [pa.array(span[:, 0], pa.int32()), pa.array(span[:, 1], pa.int32()), names.take(pa.array(best)), pa.array(probability[np.arange(len(best)), best], pa.float64())]
+                words = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.StructArray.from_arrays(columns, names=["start", "end", "lang", "probability"]))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores, pa.float64()), words], names=["doc_id", "lang_pred", "score", "words"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kept}, lang_pred string, score double, words {WORDS}")
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kept}, lang_pred string, score double")
+
+def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    """``doc_id``, ``lang_pred`` and ``score`` of every row, from the pass that labels its words."""
+    return labelled(docs, model).select("doc_id", "lang_pred", "score")

@@ -67,3 +67,16 @@ def test_edges(spark, documents, clashing, learned, rows):
     empty = docs.limit(0)
     assert langid.identify(empty, langid.fit(empty)).count() == 0
     assert rows(langid.identify(docs, langid.LanguageModel([])), "lang_pred") == [("und",)] * 6
+
+
+def test_word_labels_leave_the_task(documents, learned):
+    _, model = learned
+    texts = ["the thing with that thing of the, les deau que un le est!", None, "12 !", "\u0130\u0130 the  that"]
+    found = {r["doc_id"]: r["words"] for r in langid.labelled(documents(*enumerate(texts)), model).collect()}
+    words = [texts[0][w["start"] : w["end"]] for w in found[0]]
+    assert words == "the thing with that thing of the les deau que un le est".split()
+    assert [w["lang"] for w in found[0]][:4] == ["en"] * 4 and [w["lang"] for w in found[0]][-3:] == ["fr"] * 3
+    probability, _ = langid.label_words([texts[0]], model)
+    assert np.allclose([w["probability"] for w in found[0]], probability.max(axis=1))
+    assert found[1] == found[2] == [] and [texts[3][w["start"] : w["end"]] for w in found[3]][-2:] == ["the", "that"]
+    assert [r["words"] for r in langid.labelled(documents((1, "the")), langid.LanguageModel([])).collect()] == [[]]
