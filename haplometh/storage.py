@@ -11,14 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Where the session names none (tests, a single machine), the context's own
-    checkpoint folder, set to a temporary one the first time.
+    Where a local session names none (tests, one machine), the context's own
+    checkpoint folder, set to a temporary one the first time. A cluster's
+    executors do not share such a folder, so there the setting must be given.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
     return context.getCheckpointDir()
 
