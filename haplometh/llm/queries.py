@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haplometh.llm import blockjoin, bpe, jaccard, langid, mixing, pii, quality, substrings, vafile, warc
+from haplometh.llm import blockjoin, bpe, jaccard, langid, merkle, mixing, pii, quality, substrings, vafile, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -152,3 +152,52 @@ t AS (SELECT r AS a, r AS b FROM d UNION SELECT t.a, e.b FROM t JOIN e ON e.a =
 m AS (SELECT t.a, min(d.doc_id) AS component_id FROM t JOIN d ON d.r = t.b GROUP BY t.a)
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, m.component_id FROM d LEFT JOIN n USING (r) JOIN m ON m.a = d.r
 """
+
+
+@query
+def op13_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.col("n_chars").cast("decimal(20,0)") + 1)
+    told = merkle.audit(merkle.manifest(table(spark, folder, "documents"), tampered))
+    return told.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+ORACLES["op13_manifest"] = r"""
+WITH RECURSIVE code AS (
+  SELECT doc_id, list_reduce(list_prepend(4294967295, flatten(list_transform(list_transform(regexp_extract_all(CAST(doc_id AS VARCHAR), '.'), lambda c: CAST(ascii(c) AS BIGINT)),
+      lambda b: list_prepend(b, [-1, -1, -1, -1, -1, -1, -1, -1])))),
+    lambda c, b: CASE WHEN b >= 0 THEN xor(c, b) ELSE xor(c >> 1, (c & 1) * 3988292384) END) AS c
+  FROM (SELECT DISTINCT doc_id FROM documents)),
+f AS (
+  SELECT d.doc_id, lang, CASE WHEN xor(c, 4294967295) % 7 = 0 THEN n_chars + 1 ELSE n_chars END AS changed, n_chars,
+    coalesce(strlen(CAST(d.doc_id AS VARCHAR)) || ':' || d.doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS tail
+  FROM documents d LEFT JOIN code ON code.doc_id IS NOT DISTINCT FROM d.doc_id),
+l AS (
+  SELECT doc_id, lang, sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+    sha256(head || coalesce(strlen(CAST(changed AS VARCHAR)) || ':' || changed, '-') || tail) AS altered
+  FROM f),
+p AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS t FROM l),
+nodes AS (
+  SELECT t, 0 AS level, i, leaf AS h, count(*) OVER (PARTITION BY t) AS n FROM p
+  UNION ALL
+  SELECT t, level + 1, i // 2, sha256(h || coalesce(mate, '')), (n + 1) // 2
+  FROM (SELECT *, lead(h) OVER (PARTITION BY t ORDER BY i) AS mate FROM nodes) WHERE i % 2 = 0 AND n > 1),
+subs AS (SELECT t, level, h AS subroot FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, t AS i, subroot AS h, count(*) OVER () AS n FROM subs
+  UNION ALL
+  SELECT level + 1, i // 2, sha256(h || coalesce(mate, '')), (n + 1) // 2
+  FROM (SELECT *, lead(h) OVER (ORDER BY i) AS mate FROM tops) WHERE i % 2 = 0 AND n > 1),
+walk AS (
+  SELECT t, i AS leaf_at, 0 AS level, i, altered AS h, '' AS proof FROM p
+  UNION ALL
+  SELECT w.t, leaf_at, w.level + 1, w.i // 2, sha256(CASE WHEN w.i % 2 = 1 THEN s.h || w.h ELSE w.h || coalesce(s.h, '') END), proof || coalesce(s.h, '')
+  FROM walk w JOIN subs r ON r.t = w.t AND w.level < r.level LEFT JOIN nodes s ON s.t = w.t AND s.level = w.level AND s.i = xor(w.i, 1)),
+upper AS (
+  SELECT w.t, leaf_at, 0 AS level, w.t AS i, w.h, proof FROM walk w JOIN subs r ON r.t = w.t AND w.level = r.level
+  UNION ALL
+  SELECT w.t, leaf_at, w.level + 1, w.i // 2, sha256(CASE WHEN w.i % 2 = 1 THEN s.h || w.h ELSE w.h || coalesce(s.h, '') END), proof || coalesce(s.h, '')
+  FROM upper w JOIN (SELECT max(level) AS most FROM tops) m ON w.level < m.most LEFT JOIN tops s ON s.level = w.level AND s.i = xor(w.i, 1))
+SELECT p.doc_id, p.leaf, subs.subroot, r.h AS root, sha256(u.proof) AS proof_sha256, u.h AS folded_root, u.h = r.h AS verified
+FROM p JOIN subs USING (t) JOIN (SELECT h, level FROM tops WHERE n = 1) r ON TRUE JOIN upper u ON u.t = p.t AND u.leaf_at = p.i AND u.level = r.level
+"""
