@@ -173,6 +173,7 @@ def manifest(docs: DataFrame, altered: Column | None = None) -> DataFrame:
     below, subroots = forest(rows.select("tree", "at", F.col("leaf").alias("digest"), "n"), tall)
     subroots = materialize(subroots.withColumnRenamed("digest", "subroot"), "merkle-subroots")
     top = subroots.select(F.lit(TOP).alias("tree"), F.col("tree").cast("long").alias("at"), F.col("subroot").alias("digest"), F.lit(many).cast("long").alias("n"))
+    top = materialize(top, "merkle-top")  # read back: a constant tree would turn joins on it into nested loops
     total = tall + (many - 1).bit_length() if many else 0
     above, roots = forest(top, total - tall)
     root = next((bytes(r["digest"]) for r in roots.collect()), None)  # one row
