@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from haplometh.llm import blockjoin, bpe, jaccard, langid, merkle, mixing, pii, quality, substrings, vafile, warc
+from haplometh.llm import blockjoin, bpe, jaccard, langid, lshforest, maxscore, merkle, mixing, pii, quality, substrings, vafile, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -201,3 +201,36 @@ upper AS (
 SELECT p.doc_id, p.leaf, subs.subroot, r.h AS root, sha256(u.proof) AS proof_sha256, u.h AS folded_root, u.h = r.h AS verified
 FROM p JOIN subs USING (t) JOIN (SELECT h, level FROM tops WHERE n = 1) r ON TRUE JOIN upper u ON u.t = p.t AND u.leaf_at = p.i AND u.level = r.level
 """
+
+
+@query
+def op12_lsh_forest(spark: SparkSession, folder: str) -> DataFrame:
+    return lshforest.components(table(spark, folder, "documents"))
+
+
+ORACLES["op12_lsh_forest"] = (
+    ORACLES["op4_near_duplicates"].replace(">= 85 *", ">= 80 *").replace("m.component_id FROM d", "m.component_id, d.doc_id = m.component_id AS kept FROM d")
+)
+
+
+@query
+def op11_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return maxscore.search(maxscore.index(table(spark, folder, "documents")), table(spark, folder, "benchmark"), 10)
+
+
+ORACLES["op11_ranked_search"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+n AS (SELECT r, doc_id, count(*) AS n FROM d GROUP BY ALL),
+c AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS tokens FROM n),
+p AS (SELECT term, r, count(*) AS tf FROM d GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM p, c GROUP BY term, docs),
+i AS (SELECT row_number() OVER () AS i, item_id, text FROM benchmark),
+q AS (SELECT i, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM i),
+s AS (
+  SELECT i, item_id, doc_id, r, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // tokens)))) AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN p USING (term) JOIN n USING (r), c GROUP BY i, item_id, doc_id, r),
+k AS (SELECT item_id, doc_id, score, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10
+"""
