@@ -21,14 +21,16 @@ any two similar sets meet in a region.
 *Parting a region.* Each set has a sketch: the parity of its shingles in a few
 hundred hash places. The distance between two sketches is at most the number of
 shingles in which the sets differ, so sets that are connected by no steps short
-enough for similar sets are parted before any set is sent.
+enough for similar sets are parted before any set is sent, and sets are fetched
+only for classes that are still with another one.
 
 *Joining a region.* Pivots are taken from the region and all distances to them
 computed. Each set belongs to the nearest pivot and is copied to the regions of
 those that are at most two thresholds further: by the triangle inequality no
 similar pair is torn apart. Regions are joined again in the same way until they
-are small or no longer shrink; there, a set is compared unless every set within
-a threshold of its own distance to the pivot is in its component already.
+are small or no longer shrink; there, a set is compared unless it was a pivot, or
+every set within a threshold of its own distance to the pivot is in its
+component already.
 
 A region beyond ``REGION_SHINGLES`` is cut into slices and each pair of slices
 joined, so a task's memory is bounded whatever the region. Links go to
@@ -60,8 +62,8 @@ from haplometh.storage import materialize
 STEP, SPARE, POOR = 1.25, 0.3, 1
 #: Shingles of a region, or of two slices of one, that are joined in one task.
 REGION_SHINGLES = 1 << 22
-#: Pivots of a region, and sets of a region that is joined directly.
-PIVOTS, LEAF = 12, 96
+#: Pivots of a region, and sets of a region that is a pair and needs none.
+PIVOTS, LEAF = 12, 2
 #: Sets of a region that are parted by their sketches; larger regions stay whole.
 PARTED = 8192
 #: Smallest and largest number of places in a sketch (a power of two near the set's size).
@@ -172,11 +174,12 @@ class Region:
         order = np.argsort(term, kind="stable")
         self.holders = doc[order]
         self.held = np.concatenate(([0], np.cumsum(np.bincount(term, minlength=len(counts)))))
-        self.label = np.arange(m)
+        self.label, self.met = np.arange(m), np.zeros(m, bool)
         self.links: list[tuple[int, int]] = []
 
     def distances(self, i: int) -> np.ndarray:
         """From set ``i`` to all; similar sets are linked on the way."""
+        self.met[i] = True
         terms = self.term[self.first[i] : self.first[i + 1]]
         start, sizes = self.held[terms], self.held[terms + 1] - self.held[terms]
         where = np.repeat(start - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
@@ -206,7 +209,7 @@ class Region:
                 self.compare(inside, region, far[k])
 
     def compare(self, inside: np.ndarray, region: np.ndarray, far: np.ndarray) -> None:
-        for i in inside:
+        for i in inside[~self.met[inside]]:
             apart = self.label[region] != self.label[i]
             if (np.abs(far[region[apart]] - far[i]) <= self.reach).any():
                 self.distances(int(i))
@@ -266,13 +269,16 @@ def classified(packed: DataFrame, size: int, percent: int) -> tuple[DataFrame, D
         for batch in batches:
             for block, ids, texts in zip(*(batch.column(c) for c in ("block", "ids", "texts")), strict=True):
                 own = sets_of(blocks.unpacked(ids, texts.as_py()), size)
+                names = [class_of(s) for s in own]
+                first = {name: i for i, name in reversed(list(enumerate(names)))}
+                drawn = [sketch(s) if len(s) and first[name] == i else None for i, (name, s) in enumerate(zip(names, own, strict=True))]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([block.as_py()] * len(own), pa.int64()), pa.array(range(len(own)), pa.int32()), pa.array(ids.as_py(), pa.int64()), pa.array([len(s) for s in own], pa.int64()), pa.array([class_of(s) for s in own], pa.binary())],
-                    names=["block", "place", "doc_id", "n_shingles", "class"],
+                    [pa.array([block.as_py()] * len(own), pa.int64()), pa.array(range(len(own)), pa.int32()), pa.array(ids.as_py(), pa.int64()), pa.array([len(s) for s in own], pa.int64()), pa.array(names, pa.binary()), pa.array(drawn, pa.binary())],
+                    names=["block", "place", "doc_id", "n_shingles", "class", "sketch"],
                 )
 
     bare = packed.select("block", "ids", "texts")
-    members = materialize(bare.mapInArrow(member_rows, "block long, place int, doc_id long, n_shingles long, class binary"), "jaccard-members")
+    members = materialize(bare.mapInArrow(member_rows, "block long, place int, doc_id long, n_shingles long, class binary, sketch binary"), "jaccard-members")
 
     def signature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -302,14 +308,16 @@ def classified(packed: DataFrame, size: int, percent: int) -> tuple[DataFrame, D
     cells = materialize(cells.distinct(), "jaccard-cells")
     pivots = cells.groupBy("cell").agg(F.min("class").alias("pivot"), F.count("*").alias("held")).filter("held > 1").drop("held")
     meets = materialize(cells.join(pivots, "cell").select("pivot", "class", "n").distinct(), "jaccard-regions")
-    sets = materialize(sets_by_class(packed, members, meets, size), "jaccard-sets")
-    near = materialize(parted(meets, sets, percent), "jaccard-parts")
+    drawn = members.filter("sketch is not null").select("class", "sketch").join(meets.select("class").distinct(), "class", "left_semi")
+    drawn = materialize(drawn.groupBy("class").agg(F.first("sketch").alias("sketch")), "jaccard-sketches")
+    near = materialize(parted(meets, drawn, percent), "jaccard-parts")
+    sets = materialize(sets_by_class(packed, members, near, size), "jaccard-sets")
     links = materialize(link(near, sets, percent), "jaccard-links")
     return packed, members, named(members, connected(links))
 
 
 def sets_by_class(packed: DataFrame, members: DataFrame, meets: DataFrame, size: int) -> DataFrame:
-    """``class``, its ``sketch`` and its packed ``hashes``, for the classes in ``meets``, read from one row of each."""
+    """``class`` and its packed ``hashes``, for the classes in ``meets``, read from one row of each."""
     wanted = members.join(meets.select("class").distinct(), "class", "left_semi").groupBy("class").agg(F.min(F.struct("block", "place")).alias("at"))
     listed = wanted.select("class", "at.*").groupBy("block").agg(F.collect_list(F.struct("place", "class")).alias("wanted"))  # at most a block's documents
 
@@ -320,13 +328,13 @@ def sets_by_class(packed: DataFrame, members: DataFrame, meets: DataFrame, size:
                 own = sets_of([all_texts[x["place"]] for x in chosen], size)
                 for at in range(0, len(own), 256):
                     some = slice(at, at + 256)
-                    yield pa.RecordBatch.from_arrays([pa.array([x["class"] for x in chosen[some]], pa.binary()), pa.array([sketch(s) for s in own[some]], pa.binary()), pa.array([packed_hashes(s) for s in own[some]], pa.binary())], names=["class", "sketch", "hashes"])
+                    yield pa.RecordBatch.from_arrays([pa.array([x["class"] for x in chosen[some]], pa.binary()), pa.array([packed_hashes(s) for s in own[some]], pa.binary())], names=["class", "hashes"])
 
-    return packed.join(listed, "block").select("ids", "texts", "wanted").mapInArrow(set_rows, "class binary, sketch binary, hashes binary")
+    return packed.join(listed, "block").select("ids", "texts", "wanted").mapInArrow(set_rows, "class binary, hashes binary")
 
 
-def parted(meets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``meets`` with the ``part`` of each class in its region; classes alone in theirs are left out."""
+def parted(meets: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """``meets`` with the ``part`` of each class in its region, by ``sketches``; classes alone in theirs are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivot, held, whole = None, [], False
@@ -354,7 +362,7 @@ def parted(meets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         if held:
             yield done()
 
-    near = meets.join(sets.select("class", "sketch"), "class").select("pivot", "class", "n", "sketch")
+    near = meets.join(sketches, "class").select("pivot", "class", "n", "sketch")
     return near.repartition("pivot").sortWithinPartitions("pivot").mapInArrow(run, "pivot binary, part int, class binary, n long")
 
 
