@@ -13,8 +13,10 @@ each source apart.
 
 Null sources form a source of their own, after all others; null or empty texts
 have size 0 and are taken as often as the epochs say. The draw is a hash of
-``doc_id`` and source, so reruns agree; rows equal in both follow each other by
-size. A repeated row is a document of its own. Other columns do not matter.
+``doc_id`` and source; rows equal in both follow each other by a digest of the
+text, so reruns agree whatever the order of the rows, and only rows with the
+same doc_id, source and text are interchangeable. A repeated row is a document
+of its own. Other columns do not matter.
 """
 
 from __future__ import annotations
@@ -50,7 +52,10 @@ def quality(text: Column, size: Column) -> Column:
 
 def sizes(docs: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """One narrow row a document: its size, source, and place among the keys of its source."""
-    rows = docs.select(*[docs[c].alias(f"mix_keep{i}") for i, c in enumerate(keep)], docs["source"].alias("mix_source"), docs["doc_id"].alias("mix_id"), docs["text"].alias("mix_text"), word_count(docs["text"]).alias("mix_size"), F.monotonically_increasing_id().alias("mix_row"))
+    rows = docs.select(*[docs[c].alias(f"mix_keep{i}") for i, c in enumerate(keep)], docs["source"].alias("mix_source"), docs["doc_id"].alias("mix_id"), docs["text"].alias("mix_text"), word_count(docs["text"]).alias("mix_size"))
+    # 46 bits of the text's digest, then 17 that tell rows with the same text apart
+    apart = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 17))
+    rows = rows.withColumn("mix_row", F.shiftleft(F.shiftrightunsigned(F.xxhash64("mix_text"), 18), 17).bitwiseOR(apart))
     draw = (F.pmod(F.shiftright(F.xxhash64("mix_id", "mix_source"), 11), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
     key = -F.log(draw) / quality(F.col("mix_text"), F.col("mix_size"))
     rows = rows.withColumn("mix_key", key).drop("mix_text")
@@ -113,9 +118,10 @@ def _mixed(docs: DataFrame, keep: Sequence[str], weights: Sequence[float], most:
     ahead = (place < F.struct(F.col("mix_low").alias("mix_key"), F.col("mix_from").alias("mix_row"))) | F.coalesce(place <= F.col("mix_last"), F.lit(False))
     taken = (F.col("mix_bin") < F.col("mix_edge")) | ((F.col("mix_bin") == F.col("mix_edge")) & ahead)
     miss = F.abs(F.col("mix_gap") - F.col("mix_size"))
-    closing = planned(sized, plan).filter(~taken & (miss < F.col("mix_gap"))).groupBy("mix_source").agg(F.min(F.struct(miss, "mix_key", "mix_row"))["mix_row"].alias("mix_closing"))
+    closing = planned(sized, plan).filter(~taken & (miss < F.col("mix_gap"))).groupBy("mix_source").agg(F.min(F.struct(miss.alias("miss"), "mix_key", "mix_row")).alias("mix_closing"))
+    closing = closing.select("mix_source", F.struct("mix_closing.mix_key", "mix_closing.mix_row").alias("mix_closing"))
     plan = materialize(plan.join(closing, same(plan, closing), "left").select(plan["*"], "mix_closing"), "mix-plan")
-    more = (taken | F.coalesce(F.col("mix_row") == F.col("mix_closing"), F.lit(False))).cast("long")
+    more = (taken | F.coalesce(place == F.col("mix_closing"), F.lit(False))).cast("long")
     return planned(sized, plan).withColumn("mix_copies", F.col("mix_epochs") + more)
 
 

@@ -65,6 +65,16 @@ def test_reruns_agree_and_repeats(spark, documents, clashing, rows):
     assert mixing.repeated(docs.limit(0)).count() == 0
 
 
+def test_order_of_rows_does_not_matter_where_ids_are_equal(spark, documents, rows):
+    """Also where all doc_ids are one, or null."""
+    for doc_id in (7, None):
+        docs = [(doc_id, " ".join(["word"] * n), None, "s") for n in (3, 9, 11, 4, 5, 1, 7, 2)] + [(8, "a b c " * 40, None, "t"), (9, "x", None, "u")]
+        orders = [docs, docs[::-1], docs[3:] + docs[:3]]
+        got = [rows(mixing.mix(documents(*o).coalesce(1), ("doc_id", "source")), "doc_id", "source", "mix_size", "mix_copies") for o in orders]
+        assert got[0] == got[1] == got[2]
+        assert len({copies for _, source, _, copies in got[0] if source == "s"}) == 2  # the order decides
+
+
 def test_only_the_edge_bin_is_sorted(spark, documents):
     docs = documents(*[(i, "a b c", None, "s0") for i in range(3000)], *[(i, "a b c", None, "s1") for i in range(3000, 3300)])
     sized = mixing.sizes(docs)
