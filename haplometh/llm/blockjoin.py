@@ -5,7 +5,9 @@ kept and of what is lost bound the error of a product of two rounded vectors.
 A tile of whole-number products then gives an interval for every pair; pairs
 whose interval reaches the kth lower end are computed again in double
 precision, term by term in order, and heaps merge the blocks. The bounds are
-certain, so the result is the exact one.
+certain, so the result is the exact one; a pair whose bound overflows (very
+large components) is computed again whatever its bound. A score that overflows
+is infinite.
 
 Zero vectors take no part; for the rest see ``grid``.
 """
@@ -50,10 +52,13 @@ def kernel(k: int) -> grid.Kernel:
             about *= norms[1][0]
             room = lost_q[rows, None] * kept_c + norm_q[rows, None] * lost_c
             room += SLACK * (norm_q[rows, None] * (kept_c + lost_c))
-            about[q_ids[rows, None] == c_ids] = -np.inf
-            least = about - room
+            own = q_ids[rows, None] == c_ids
+            # products of very large components: no bound, so the pair goes to the exact score
+            wild = ~(np.isfinite(about) & np.isfinite(room))
+            about[wild], room[wild] = 0.0, np.inf
+            least = np.where(own, -np.inf, about - room)
             floor = np.partition(least, -k, axis=1)[:, -k] if len(c_ids) > k else np.full(len(about), -np.inf)
-            i, j = np.nonzero((about + room >= floor[:, None]) & (about > -np.inf))
+            i, j = np.nonzero((about + room >= floor[:, None]) & ~own)
             score = np.zeros(len(i))
             for d in range(width):
                 score += x[at + i, d] * y[j, d]

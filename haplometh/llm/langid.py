@@ -246,16 +246,23 @@ def fit(docs: DataFrame, docs_each: int = SAMPLE_DOCS, chars_each: int = SAMPLE_
     """Learn from at most ``docs_each`` documents of each language and ``chars_each`` letters of each.
 
     Only rows whose id's checksum leaves a remainder other than 1 are read.
-    Which ones is a function of the ids: the smallest hashes.
+    Which ones is a function of ids and texts: the smallest hashes. Rows that
+    repeat both count once.
     """
     open_rows = docs.filter((remainder() != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = [r[0] for r in open_rows.select("lang", "doc_id").withColumn("n", F.row_number().over(order)).filter(F.col("n") <= docs_each).select("doc_id").distinct().collect()]
-    if not ids:
+    open_rows = open_rows.withColumn("digest", F.xxhash64("text"))
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "digest")
+    ranked = open_rows.select("lang", "doc_id", "digest").distinct().withColumn("n", F.row_number().over(order)).filter(F.col("n") <= docs_each)
+    chosen = {tuple(r) for r in ranked.select("lang", "doc_id", "digest").collect()}
+    if not chosen:
         return LanguageModel([])
+    ids = sorted({doc_id for _, doc_id, _ in chosen if doc_id is not None})
+    digests = sorted({digest for *_, digest in chosen})
     middle = F.greatest(F.lit(1), ((F.length("text") - chars_each) / 2).cast("int"))
-    rows = open_rows.filter(F.col("doc_id").isin(ids)).select("lang", F.substring("text", middle, F.lit(chars_each))).limit(2 * len(ids)).collect()
-    return learn([(r[0], r[1]) for r in rows])
+    rows = open_rows.filter((F.col("doc_id").isNull() | F.col("doc_id").isin(ids)) & F.col("digest").isin(digests))
+    rows = rows.select("lang", "doc_id", "digest", F.substring("text", middle, F.lit(chars_each)).alias("part")).dropDuplicates(["lang", "doc_id", "digest"])
+    read = [r for r in rows.collect() if tuple(r)[:3] in chosen]
+    return learn([(r["lang"], r["part"]) for r in sorted(read, key=lambda r: (r["lang"], r["digest"], r["doc_id"] is None, r["doc_id"] or 0))])
 
 
 WORDS = "array<struct<start:int,end:int,lang:string,probability:double>>"

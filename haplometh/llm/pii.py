@@ -16,6 +16,7 @@ touches a base span.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -144,7 +145,7 @@ def trimmed(word: str) -> tuple[int, int]:
 
 
 def shape(word: str) -> str:
-    return word[:48].translate(_SHAPE)
+    return word.translate(_SHAPE)
 
 
 def features(words: list[str | None], at: int) -> list[str]:
@@ -256,6 +257,7 @@ def added_spans(texts: list[str], finder: Finder, base: list[list[Span]]) -> lis
         labels = viterbi(scores([r[2] for r in runs]), finder.model)
         decoded += [(t, spots, row) for (t, spots, _), row in zip(runs, labels, strict=True)]
     out: list[list[Span]] = [[] for _ in texts]
+    taken = [_merged(spans) for spans in base]
     for t, spots, row in decoded:
         k = 0
         while k < len(row):
@@ -268,12 +270,30 @@ def added_spans(texts: list[str], finder: Finder, base: list[list[Span]]) -> lis
                 upto += 1
             head, tail = texts[t][slice(*spots[k])], texts[t][slice(*spots[upto - 1])]
             start, end = spots[k][0] + trimmed(head)[0], spots[upto - 1][0] + trimmed(tail)[1]
-            if start < end and all(end <= a or b <= start for _, a, b in base[t]):
+            if start < end and not _meets(taken[t], start, end):
                 out[t].append((_OF[name[2:]], start, end))
             k = upto
     return out
 
 
+def _merged(spans: list[Span]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that the spans cover, in order."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for _, a, b in sorted(spans, key=lambda s: s[1:]):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
+def _meets(taken: tuple[list[int], list[int]], start: int, end: int) -> bool:
+    at = bisect_right(taken[1], start)  # the first stretch that ends after the start
+    return at < len(taken[0]) and taken[0][at] < end
+
+
 ITEM = re.compile(r"[0-9@]\S*")
 
 
@@ -289,9 +309,11 @@ def _item_runs(text: str) -> Iterator[list[tuple[int, int, bool]]]:
             continue
         if run:
             yield _with_next(text, run)
-        before = len(text[max(0, start - 64) : start].rstrip()) + max(0, start - 64) if start else 0
+        before = start
+        while before and text[before - 1].isspace():
+            before -= 1
         left = before
-        while left > max(0, before - 64) and not text[left - 1].isspace():
+        while left and not text[left - 1].isspace():
             left -= 1
         run = [(left, before, False) if left < before else (-1, -1, False), (start, end, True)]
     if run:
@@ -299,7 +321,7 @@ def _item_runs(text: str) -> Iterator[list[tuple[int, int, bool]]]:
 
 
 def _with_next(text: str, run: list[tuple[int, int, bool]]) -> list[tuple[int, int, bool]]:
-    m = WORD.search(text, run[-1][1], run[-1][1] + 64)
+    m = WORD.search(text, run[-1][1])
     return [*run, (*m.span(), False) if m else (-1, -1, False)]
 
 

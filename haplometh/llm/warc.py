@@ -8,7 +8,8 @@ the digest along, so neither ever holds a payload or an archive as a whole.
 Equal payloads from ``DEDUPE_BYTES`` on are stored once: the record with the
 largest page id is the response, the others are revisits that refer to it.
 
-Null html is an empty payload, a null url leaves out the target, a null page id
+Null html is an empty payload; a null url, or one of more than
+``LONGEST_TARGET`` bytes when escaped, leaves out the target; a null page id
 is kept as null and loses to any other id. Rows that repeat both page id and
 payload are equal records: all of them responses, or all revisits. Other
 columns are ignored. An empty table gives no archive and no rows.
@@ -38,7 +39,8 @@ from haplometh.storage import materialize, scratch_path
 
 #: Bytes of a chunk row, of an archive after which the next begins, of the shortest payload stored once.
 CHUNK, ARCHIVE, DEDUPE_BYTES = 16 << 10, 64 << 20, 1000
-LONGEST_HEADER = 1 << 20
+#: Bytes of a header that a reader takes, and of an escaped url that a writer puts into it.
+LONGEST_HEADER, LONGEST_TARGET = 1 << 20, 1 << 16
 
 
 # Files on the shared folder, wherever it is.
@@ -90,8 +92,9 @@ def head(page: int | None, url: str | None, digest: str, size: int, refers_to: i
         ("Content-Type", "application/http; msgtype=response"),
         ("Content-Length", str(len(http) + (0 if revisit else size))),
     ]
-    if url is not None:
-        fields.append(("WARC-Target-URI", re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url)))
+    target = None if url is None else re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url)
+    if target is not None and len(target.encode()) <= LONGEST_TARGET:
+        fields.append(("WARC-Target-URI", target))
     if revisit:
         fields.append(("WARC-Refers-To", record_id(refers_to, digest)))
         fields.append(("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))

@@ -80,3 +80,20 @@ def test_word_labels_leave_the_task(documents, learned):
     assert np.allclose([w["probability"] for w in found[0]], probability.max(axis=1))
     assert found[1] == found[2] == [] and [texts[3][w["start"] : w["end"]] for w in found[3]][-2:] == ["the", "that"]
     assert [r["words"] for r in langid.labelled(documents((1, "the")), langid.LanguageModel([])).collect()] == [[]]
+
+
+def test_the_sample_does_not_depend_on_the_order_of_rows(documents):
+    """Also where ids repeat; rows that repeat id and text count once."""
+    words = ["eins zwei drei", "vier fünf", "one two three", "four five", "six seven eight"]
+    rows = [(3 * (i % 4) + 2, f"{words[i % 5]} {i % 13}", "de" if i % 5 < 2 else "en") for i in range(60)]
+    orders = [rows, rows[::-1], rows + rows[:20]]
+    models = [langid.fit(documents(*o).repartition(1 + n), docs_each=6) for n, o in enumerate(orders)]
+    for other in models[1:]:
+        assert other.languages == models[0].languages and np.array_equal(other.word, models[0].word) and np.array_equal(other.gram, models[0].gram)
+
+
+def test_the_language_of_a_document_is_the_likeliest_of_its_words():
+    model = langid.LanguageModel(["a", "b"])
+    probability = np.array([[0.9, 0.1], [0.4, 0.6], [0.4, 0.6], [0.5, 0.5]])
+    langs, scores = langid.decided(probability, np.array([0, 3, 3, 4]), model)
+    assert langs == ["a", "und", "a"] and abs(scores[0] - 1.7 / 3) < 1e-9 and scores[1] == 0

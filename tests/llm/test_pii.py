@@ -133,3 +133,21 @@ def test_viterbi_by_pieces_is_that_of_the_whole():
     for n, length, piece in ((1, 9, 4), (3, 50, 7), (2, 16, 1), (2, 8, 8)):
         e, model = rng.normal(size=(n, length, 5)), Model(None, 2 * rng.normal(size=(5, 5)), rng.normal(size=5))
         assert (viterbi_pieces((e[:, a : a + piece] for a in range(0, length, piece)), model) == viterbi(e, model)).all()
+
+
+def test_long_neighbours_are_read_whole(finder):
+    """A neighbouring word beyond any window, or behind many blanks, still counts; so does a long word."""
+    for text in ("x" * 500 + "tel 555-123-4567 ok", "tel" + " " * 200 + "555-123-4567" + "\n" * 300 + "now", "y" * 400 + " 7 " + "z" * 400):
+        words, runs = text.split(), [(text[a:b] if a >= 0 else None) for run in pii._item_runs(text) for a, b, _ in run]
+        at = words.index(runs[1])
+        assert runs == [words[at - 1] if at else None, words[at], words[at + 1] if at + 1 < len(words) else None]
+    assert len(pii.shape("A1" * 100)) == 200
+
+
+def test_many_spans_beside_many_items(finder):
+    text = " ".join(f"+1 (743) 555-{i:04d} tel 555-123-{i:04d}" for i in range(3000))
+    base = pii.base_spans(text)
+    added = pii.added_spans([text], finder, [base])[0]
+    assert len(base) == 3000 and not any(pii._meets(pii._merged(base), a, b) for _, a, b in added)
+    assert pii._merged([(0, 5, 9), (1, 1, 3), (2, 8, 12), (0, 12, 13)]) == ([1, 5, 12], [3, 12, 13])
+    assert [pii._meets(([1, 5], [3, 9]), a, b) for a, b in ((0, 1), (0, 2), (3, 5), (4, 6), (9, 10))] == [False, True, False, True, False]

@@ -85,3 +85,23 @@ def test_large_numbers(vectors, rows):
     got = rows(vafile.search(vectors(table), F.col("vec_id") == 1, 3))
     assert [r[2] for r in got] == [0, 3, 2] and got[0][3] == 2**63 - 1 and got[2][3] == -(2**63)
     assert [r[2] for r in rows(blockjoin.search(vectors(table), F.col("vec_id") == 1, 3))] == [0, 3, 2]
+
+
+def test_very_large_components(spark, rows):
+    """Products beyond the range of doubles are infinite and lose no pair."""
+    table = [(0, [1e200, 1.0]), (1, [1.0, 2.0]), (2, [3.0, 1.0]), (3, [2.0, 2.0]), (4, [-1e200, 3.0]), (5, [1e-200, 1e-300]), (6, [1e308, 1e300])]
+    df = spark.createDataFrame(table, "vec_id long, embedding array<double>")
+    for k in (2, 5):
+        got = rows(blockjoin.search(df, F.col("vec_id") >= 0, k))
+        assert got == best(table, lambda i: True, product, k)
+
+
+@pytest.mark.parametrize("search", [vafile.search, blockjoin.search])
+def test_clashing_columns_and_empty_table(spark, vectors, rows, search):
+    table = random_table(60, 4, 9)
+    df = vectors(table)
+    extra = df
+    for name in "vector q_ids c_ids block slot query_id rank exact small norm cells".split():
+        extra = extra.withColumn(name, F.lit("x"))
+    assert rows(search(extra, F.col("vec_id") % 7 == 0, 3)) == rows(search(df, F.col("vec_id") % 7 == 0, 3))
+    assert search(df.limit(0), F.col("vec_id") % 7 == 0, 3).count() == 0

@@ -75,3 +75,17 @@ def test_damage_is_noticed(tmp_path):
         with pytest.raises((ValueError, KeyError, TypeError)):
             list(warc.records_of(io.BytesIO(gzip.compress(body)), True))
     assert len(list(warc.records_of(io.BytesIO(gzip.compress(head + b"abc\r\n\r\n")), True))) == 1
+
+
+def test_long_urls_and_clashing_columns(spark, pages, rows):
+    """An url that a header cannot hold is left out; its record is whole."""
+    long = "http://x/" + " " * 1_100_000
+    fits = "http://x/" + "y" * (warc.LONGEST_TARGET - 9)
+    df = pages((1, long, "text"), (2, fits, "z" * 3000), (3, fits + "y", "z" * 3000))
+    extra = df
+    for name in "payload payload_bytes refers_to last ends type path records r_page r_digest n".split():
+        extra = extra.withColumn(name, F.lit("x"))
+    assert result(extra, rows) == result(df, rows)
+    back = {r["page_id"]: r["url"] for r in warc.read(warc.archive(df)).collect()}
+    assert back == {1: None, 2: fits, 3: None}
+    assert warc.read(warc.archive(df.limit(0))).count() == 0
