@@ -11,8 +11,9 @@ from haplometh.functions.genotypes import HET, UNKNOWN, genotype_class
 from haplometh.functions.methylation import locus
 from haplometh.keys import with_by
 from haplometh.operators.intervals import within_distance
-from haplometh.operators.joins import align_sites, full_outer
+from haplometh.operators.joins import align_unique_sites, at_sites, full_outer
 from haplometh.operators.methylation import MEMBERS, MODES, join_members
+from haplometh.storage import materialize
 
 # Fixed value: bases within which a mismatch site casts doubt on a CpG.
 MISMATCH_DISTANCE = 50
@@ -110,29 +111,30 @@ def all_sites_founder(
     model: DataFrame,
     *,
     by: Sequence[str] = (),
-    repeated_sites: bool = False,
 ) -> DataFrame:
     """Reference sites and unphased levels of one sample, lined up by one shuffle.
 
-    With ``repeated_sites`` they are joined pairwise, multiplying copies.
+    Sites that a table repeats, and only these, are joined pairwise, multiplying copies.
     """
-    if repeated_sites:
-        unphased = join_unphased(count, model, by=by, hot_keys=True)
-        return collapse_read_counts(add_reference_sites(reference, unphased, by=by, hot_keys=True))
     names = {
         mode: {"total_read_count": f"total_read_count_{mode}", "methylation_level": f"methylation_level_{mode}"}
         for mode in MODES
     }
-    aligned = align_sites({"reference": reference, "count": count, "model": model}, names, by=by)
-    return collapse_read_counts(
-        aligned.select(
-            *with_by(by),
-            "total_read_count_count",
-            "methylation_level_count",
-            "total_read_count_model",
-            "methylation_level_model",
-        )
-    )
+    tables = {"reference": reference, "count": count, "model": model}
+    aligned, repeated = align_unique_sites(tables, names, by=by)
+    ordered = [
+        *with_by(by),
+        "total_read_count_count",
+        "methylation_level_count",
+        "total_read_count_model",
+        "methylation_level_model",
+    ]
+    sites = aligned.select(*ordered)
+    if repeated is not None:
+        tables = at_sites(tables, repeated, by=by)
+        unphased = materialize(join_unphased(tables["count"], tables["model"], by=by, hot_keys=True), "repeated-unphased")
+        sites = sites.unionByName(add_reference_sites(tables["reference"], unphased, by=by, hot_keys=True).select(*ordered))
+    return collapse_read_counts(sites)
 
 
 def all_sites_trio(
@@ -140,14 +142,11 @@ def all_sites_trio(
     files: dict[tuple[str, str], DataFrame],
     *,
     by: Sequence[str] = (),
-    repeated_sites: bool = False,
 ) -> DataFrame:
     """Reference sites and unphased levels of three members, lined up by one shuffle.
 
-    With ``repeated_sites`` they are joined pairwise, multiplying copies.
+    Sites that a table repeats, and only these, are joined pairwise, multiplying copies.
     """
-    if repeated_sites:
-        return add_reference_sites(reference, unphased_trio(files, by=by, hot_keys=True), by=by, hot_keys=True)
     tables = {"reference": reference}
     values: dict[str, dict[str, str]] = {}
     for (member, mode), df in files.items():
@@ -156,7 +155,7 @@ def all_sites_trio(
             "total_read_count": f"total_read_count_{member}_{mode}",
             "methylation_level": f"methylation_level_{member}_{mode}",
         }
-    aligned = align_sites(tables, values, by=by)
+    aligned, repeated = align_unique_sites(tables, values, by=by)
     for member in MEMBERS:
         aligned = collapse_read_counts(aligned, member)
     ordered = [
@@ -164,7 +163,13 @@ def all_sites_trio(
         for m in MEMBERS
         for c in (f"total_read_count_{m}", f"methylation_level_{m}_count", f"methylation_level_{m}_model")
     ]
-    return aligned.select(*with_by(by), *ordered)
+    aligned = aligned.select(*with_by(by), *ordered)
+    if repeated is None:
+        return aligned
+    unphased = materialize(unphased_trio(at_sites(files, repeated, by=by), by=by, hot_keys=True), "repeated-unphased")
+    reference = at_sites({"": reference}, repeated, by=by)[""]
+    joined = add_reference_sites(reference, unphased, by=by, hot_keys=True)
+    return aligned.unionByName(joined.select(*aligned.columns))
 
 
 def flag_proximity(

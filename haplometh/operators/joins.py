@@ -2,17 +2,24 @@
 
 ``full_outer`` is the two-table operator with full join semantics.
 ``align_sites`` lines up any number of one-row-per-site tables in one shuffle,
-which is what the workflows use for their 4 to 12 methylation files.
+which is what the workflows use for their 4 to 12 methylation files;
+``align_unique_sites`` does so for tables that may repeat sites, and tells which.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from haplometh.keys import SITE, with_by
+from haplometh.storage import materialize
+
+#: Rows of one key on one side that a task of a join takes; keys with more are split.
+CELL_ROWS = 1 << 17
+#: Keys of a side that are counted while it is read, the most that are split, and into how many parts at most.
+COUNTED_KEYS, MOST_HEAVY, MOST_PARTS = 20_000, 1000, 256
 
 
 def full_outer(
@@ -30,15 +37,16 @@ def full_outer(
 
     Spark holds all rows of one key in memory for a full outer join and cannot
     split it. Where one key may hold a large share of a side (repeated copies
-    of a site), ``hot_keys`` computes the same result as a left join plus the
-    right rows without partner; both parts stream, and adaptive execution
-    splits their hot partitions.
+    of a site), ``hot_keys`` measures both sides first (``heavy_keys``, a job
+    on the key columns) and joins the rows of heavy keys apart: cut into cells
+    of at most ``CELL_ROWS`` rows a side, each a key of its own. Without heavy
+    keys the plan is the plain join.
     """
     rest = [c for c in right.columns if c not in on]
     if hot_keys:
-        matched = _keyed_join(left, right, on, "left", null_safe)
-        alone = _keyed_join(right, left.select(*on), on, "left_anti", null_safe)
-        return matched.unionByName(alone, allowMissingColumns=True)
+        heavy = heavy_keys(left, right, on)
+        if heavy is not None:
+            return _split_full_outer(left, right, on, null_safe, heavy)
     if not null_safe:
         joined = left.join(right, list(on), "full")
     else:
@@ -46,6 +54,62 @@ def full_outer(
     return joined.select(*left.columns, *rest)
 
 
+def _digest(on: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(c) for c in on])
+
+
+def heavy_keys(left: DataFrame, right: DataFrame, on: Sequence[str], cell_rows: int | None = None) -> DataFrame | None:
+    """Digests of the keys with more than ``cell_rows`` rows on a side, and the number of parts of each side; None without any.
+
+    Counts come from a sketch of frequent items, a partial aggregate of bounded
+    size: no key is shuffled. Its error decides only which keys are split, and
+    how finely, never a row of the join. At most ``MOST_HEAVY`` rows a side.
+    """
+    most = cell_rows or CELL_ROWS
+
+    def counted(df: DataFrame) -> dict[int, int]:
+        # a sketch must track more keys than it reports
+        top = df.select(_digest(on).alias("key")).agg(F.expr(f"approx_top_k(key, {MOST_HEAVY}, {COUNTED_KEYS})").alias("top"))
+        return {r["item"]: r["count"] for r in top.collect()[0]["top"] if r["item"] is not None and r["count"] > most}
+
+    found = counted(left), counted(right)
+    if not any(found):
+        return None
+    parts = [(key, *[min(MOST_PARTS, -(-side.get(key, 1) // most)) for side in found]) for key in sorted({*found[0], *found[1]})]
+    return left.sparkSession.createDataFrame(parts, "__key bigint, __left int, __right int")
+
+
+def _split_full_outer(left: DataFrame, right: DataFrame, on: Sequence[str], null_safe: bool, heavy: DataFrame) -> DataFrame:
+    """The full outer join with the rows of ``heavy`` keys joined in cells.
+
+    A left row of a heavy key draws one of its side's parts and is copied to
+    every part of the other side, and the other way round, so each pair meets
+    in exactly one cell. Rows without partner need only the few distinct heavy
+    keys of the other side. A part is drawn by the row's place in its input
+    partition, which files and written tables repeat when a task is repeated.
+    """
+    rest = [c for c in right.columns if c not in on]
+    plain, apart = [], []
+    for df, own, other in ((left, "__left", "__right"), (right, "__right", "__left")):
+        keyed = df.withColumn("__key", _digest(on))
+        plain.append(keyed.join(F.broadcast(heavy.select("__key")), "__key", "left_anti").drop("__key"))
+        rows = keyed.join(F.broadcast(heavy), "__key")  # at most twice MOST_HEAVY rows
+        drawn = F.pmod(F.monotonically_increasing_id(), F.col(own)).cast("int")
+        apart.append((rows.select(*df.columns), rows.withColumn(f"{own}_part", drawn).withColumn(f"{other}_part", F.explode(F.sequence(F.lit(0), F.col(other) - 1))).select(*df.columns, "__left_part", "__right_part")))
+    cells = [*on, "__left_part", "__right_part"]
+    (l_rows, l_cells), (r_rows, r_cells) = apart
+    parts = [
+        full_outer(*plain, on, null_safe=null_safe),
+        _keyed_join(l_cells, r_cells, cells, "inner", null_safe),
+        _keyed_join(l_rows, r_rows.select(*on).distinct(), on, "left_anti", null_safe),
+        _keyed_join(r_rows, l_rows.select(*on).distinct(), on, "left_anti", null_safe),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part.drop("__left_part", "__right_part"), allowMissingColumns=True)
+    return out.select(*left.columns, *rest)
+
+
 def _keyed_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str, null_safe: bool) -> DataFrame:
     if not null_safe:
         return left.join(right, list(on), how)
@@ -76,8 +140,45 @@ def align_sites(
     as narrow rows, shuffled once by site and folded by a hash aggregate,
     instead of one two-sided shuffle and sort per pairwise join. A site repeated
     within one table raises an error, since a fold would merge what a join
-    would multiply; such files go through ``full_outer``.
+    would multiply; ``align_unique_sites`` takes such tables.
     """
+    folded, outputs = _folded(tables, values, by, presence)
+    # As many tags as rows: every table holds the site once at most.
+    message = F.format_string("site %s:%d occurs more than once in one table", "chrom", "start")
+    checked = F.when(F.col("__once"), F.col("chrom")).otherwise(F.raise_error(message).cast("string")).alias("chrom")
+    return folded.select(*[checked if c == "chrom" else F.col(c) for c in outputs])
+
+
+def align_unique_sites(
+    tables: Mapping[str, DataFrame],
+    values: Mapping[str, Mapping[str, str]],
+    *,
+    by: Sequence[str] = (),
+    presence: Sequence[str] = (),
+) -> tuple[DataFrame, DataFrame | None]:
+    """As ``align_sites``, of the sites that no table repeats; and the keys of the others, or None.
+
+    The aligned rows are written, and whether a site repeats is observed while
+    they are. Rows of repeated sites are left to joins that multiply copies.
+    """
+    folded, outputs = _folded(tables, values, by, presence)
+    seen = Observation()
+    aligned = materialize(folded.observe(seen, F.count_if(~F.col("__once")).alias("repeated")), "aligned")
+    if not seen.get["repeated"]:
+        return aligned.select(*outputs), None
+    repeated = materialize(aligned.filter(~F.col("__once")).select(*with_by(by)), "repeated-sites")
+    return aligned.filter("__once").select(*outputs), repeated
+
+
+def at_sites(tables: Mapping, sites: DataFrame, *, by: Sequence[str] = ()) -> dict:
+    """The rows of each table at the given sites."""
+    return {name: table.join(sites, with_by(by), "left_semi") for name, table in tables.items()}
+
+
+def _folded(
+    tables: Mapping[str, DataFrame], values: Mapping[str, Mapping[str, str]], by: Sequence[str], presence: Sequence[str]
+) -> tuple[DataFrame, list[str]]:
+    """All tables folded by site, with ``__once`` (no table repeats the site), and the names of the output columns."""
     keys = with_by(by)
     slots = {name: _typed_slots(table, values.get(name, {})) for name, table in tables.items()}
     kinds = {slot: kind for used in slots.values() for slot, kind in used.values()}
@@ -110,12 +211,9 @@ def align_sites(
             F.bit_or(F.expr("shiftleft(1L, cast(__tag as int))")).alias("__tags"),
         )
     )
-    # As many tags as rows: every table holds the site once at most.
-    once = F.col("__rows") == F.bit_count("__tags")
-    message = F.format_string("site %s:%d occurs more than once in one table", "chrom", "start")
-    checked = F.when(once, F.col("chrom")).otherwise(F.raise_error(message).cast("string")).alias("chrom")
-    kept = [checked if c == "chrom" else F.col(c) for c in folded.columns if not c.startswith("__")]
-    return folded.select(*kept, *flags)
+    once = (F.col("__rows") == F.bit_count("__tags")).alias("__once")
+    kept = [c for c in folded.columns if not c.startswith("__")]
+    return folded.select(*kept, *flags, once), [*kept, *[f"has_{name}" for name in tables if name in presence]]
 
 
 def _typed_slots(table: DataFrame, columns: Mapping[str, str]) -> dict[str, tuple[str, str]]:

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from haplometh.functions.methylation import by_orientation, founder_of
 from haplometh.keys import SITE, with_by
 from haplometh.operators.intervals import BLOCK_BIN, overlap_join
-from haplometh.operators.joins import align_sites, full_outer
+from haplometh.operators.joins import align_unique_sites, at_sites, full_outer
+from haplometh.storage import materialize
 
 MODES = ("count", "model")
 
@@ -100,7 +101,6 @@ def founder_phased_methylation(
     *,
     by: Sequence[str] = (),
     bin_size: int = BLOCK_BIN,
-    repeated_sites: bool = False,
 ) -> DataFrame:
     """Same table as joining haplotypes, phasing each mode and combining the modes, in one pass.
 
@@ -108,26 +108,32 @@ def founder_phased_methylation(
     lined up by one shuffle, and the interval join runs once instead of once
     per mode. Modes meet in one row when they agree on the read counts; where
     they do not, a phased site keeps one row per mode, as it would after a join
-    that includes the counts. Files that repeat sites need ``repeated_sites``:
-    the steps then run one by one, with joins that multiply the copies and
-    split hot ones.
+    that includes the counts. Sites that a file repeats, and only these, go
+    through the steps one by one, with joins that multiply the copies and split
+    hot ones.
     """
-    if repeated_sites:
-        modes = [
-            phase_to_founders(
-                join_haplotypes(files[mode, "hap1"], files[mode, "hap2"], by=by, hot_keys=True),
-                hap_map,
-                by=by,
-                bin_size=bin_size,
-            )
-            for mode in MODES
-        ]
-        return combine_modes(*modes, by=by, hot_keys=True)
     tables = {f"{mode}_{hap}": df for (mode, hap), df in files.items()}
     values = {
         name: {"total_read_count": f"reads_{name}", "methylation_level": f"level_{name}"} for name in tables
     }
-    aligned = align_sites(tables, values, by=by, presence=tuple(tables))
+    aligned, repeated = align_unique_sites(tables, values, by=by, presence=tuple(tables))
+    once = _phased_in_one_pass(aligned, list(tables), hap_map, by=by, bin_size=bin_size)
+    if repeated is None:
+        return once
+    files = at_sites(files, repeated, by=by)
+    modes = []
+    for mode in MODES:
+        haplotypes = join_haplotypes(files[mode, "hap1"], files[mode, "hap2"], by=by, hot_keys=True)
+        # written, as its copies may be many and the next join reads it twice
+        phased = phase_to_founders(haplotypes, hap_map, by=by, bin_size=bin_size)
+        modes.append(materialize(phased, f"repeated-{mode}"))
+    return once.unionByName(combine_modes(*modes, by=by, hot_keys=True))
+
+
+def _phased_in_one_pass(
+    aligned: DataFrame, names: Sequence[str], hap_map: DataFrame, *, by: Sequence[str], bin_size: int
+) -> DataFrame:
+    """Both modes of aligned sites on the hap map."""
     in_count = F.col("has_count_hap1") | F.col("has_count_hap2")
     in_model = F.col("has_model_hap1") | F.col("has_model_hap2")
     same_reads = F.col("reads_count_hap1").eqNullSafe(F.col("reads_model_hap1")) & F.col(
@@ -136,7 +142,7 @@ def founder_phased_methylation(
     placed = overlap_join(
         aligned.withColumn("__in_count", in_count)
         .withColumn("__clash", in_count & in_model & ~same_reads)
-        .drop(*[f"has_{name}" for name in tables]),
+        .drop(*[f"has_{name}" for name in names]),
         _hap_map_columns(hap_map),
         "left",
         suffix="_hap_map_block",
@@ -255,22 +261,13 @@ def phase_to_parents(
 
 
 def trio_methylation(
-    files: Mapping[tuple[str, str, str], DataFrame], *, by: Sequence[str] = (), repeated_sites: bool = False
+    files: Mapping[tuple[str, str, str], DataFrame], *, by: Sequence[str] = ()
 ) -> DataFrame:
     """The trio's twelve site tables, keyed ``(member, mode, haplotype)``, lined up by one shuffle.
 
-    With ``repeated_sites`` they are joined pairwise, multiplying copies.
+    Sites that a file repeats, and only these, are joined pairwise, multiplying copies.
     """
     ordered = [*with_by(by), *[c for member in MEMBERS for c in trio_columns(member)]]
-    if repeated_sites:
-        members = []
-        for member in MEMBERS:
-            modes = [
-                join_haplotypes(files[member, mode, "hap1"], files[member, mode, "hap2"], by=by, hot_keys=True)
-                for mode in MODES
-            ]
-            members.append(name_member_haplotypes(combine_modes_of_member(*modes, by=by, hot_keys=True), member))
-        return join_members(members, by=by, hot_keys=True).select(*ordered)
     tables, values = {}, {}
     for (member, mode, hap), df in files.items():
         name = next(n for n, (person, h, _) in TRIO_HAPLOTYPES.items() if (person, h) == (member, hap))
@@ -278,4 +275,16 @@ def trio_methylation(
         values[f"{name}_{mode}"] = {"methylation_level": f"methylation_level_{name}_{mode}"}
         if mode == "count":
             values[f"{name}_{mode}"]["total_read_count"] = f"total_read_count_{name}"
-    return align_sites(tables, values, by=by).select(*ordered)
+    aligned, repeated = align_unique_sites(tables, values, by=by)
+    if repeated is None:
+        return aligned.select(*ordered)
+    files, members = at_sites(files, repeated, by=by), []
+    for member in MEMBERS:
+        modes = [
+            materialize(join_haplotypes(files[member, mode, "hap1"], files[member, mode, "hap2"], by=by, hot_keys=True), "repeated-haplotypes")
+            for mode in MODES
+        ]
+        combined = combine_modes_of_member(*modes, by=by, hot_keys=True)
+        members.append(materialize(name_member_haplotypes(combined, member), "repeated-member"))
+    joined = join_members(members, by=by, hot_keys=True)
+    return aligned.select(*ordered).unionByName(joined.select(*ordered))

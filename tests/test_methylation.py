@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from haplometh.operators import joins, methylation
 
@@ -91,20 +92,31 @@ def test_repeated_site_is_refused_by_alignment(spark):
         joins.align_sites(tables, values).collect()
 
 
+def members_joined(files):
+    members = []
+    for member in methylation.MEMBERS:
+        haps = {m: methylation.join_haplotypes(files[member, m, "hap1"], files[member, m, "hap2"]) for m in methylation.MODES}
+        combined = methylation.combine_modes_of_member(haps["count"], haps["model"])
+        members.append(methylation.name_member_haplotypes(combined, member))
+    return methylation.join_members(members)
+
+
 def test_trio_alignment_equals_pairwise_joins(spark, rows):
-    files, members = {}, []
+    files = {}
     for n, member in enumerate(methylation.MEMBERS):
         for mode in methylation.MODES:
             for h, hap in enumerate(("hap1", "hap2")):
                 cells = [(s, s + n, (s % 7) / 10 + h) for s in range(1, 40) if (s * (n + 2) + h + len(mode)) % 3]
                 files[member, mode, hap] = levels(spark, *cells)
-        haps = {m: methylation.join_haplotypes(files[member, m, "hap1"], files[member, m, "hap2"]) for m in methylation.MODES}
-        combined = methylation.combine_modes_of_member(haps["count"], haps["model"])
-        members.append(methylation.name_member_haplotypes(combined, member))
-    pairwise = methylation.join_members(members)
+    pairwise = members_joined(files)
     aligned = methylation.trio_methylation(files)
-    assert rows(methylation.trio_methylation(files, repeated_sites=True)) == rows(aligned)
     assert rows(aligned, *pairwise.columns) == rows(pairwise)
+    # sites that files repeat multiply, as in the joins
+    again = dict(files)
+    again["kid", "count", "hap1"] = files["kid", "count", "hap1"].union(files["kid", "count", "hap1"].filter("start < 9"))
+    again["mom", "model", "hap2"] = files["mom", "model", "hap2"].union(levels(spark, (5, 1, 0.3), (38, 2, 0.4)))
+    assert rows(methylation.trio_methylation(again), *pairwise.columns) == rows(members_joined(again), *pairwise.columns)
+    assert methylation.trio_methylation(again).count() > aligned.count()
 
 
 def test_unphased_trio_columns_become_null(spark, rows):
@@ -122,12 +134,64 @@ def test_unphased_trio_columns_become_null(spark, rows):
 
 
 def test_files_that_repeat_sites(spark, rows, files, hap_map):
-    """Copies multiply, as in a join, when the caller says sites may repeat."""
+    """Copies multiply, as in a join, and the sites that no file repeats are as before."""
     unique = methylation.founder_phased_methylation(files, hap_map)
-    assert rows(methylation.founder_phased_methylation(files, hap_map, repeated_sites=True)) == rows(unique)
-    doubled = files | {("count", "hap1"): files["count", "hap1"].union(files["count", "hap1"])}
-    out = methylation.founder_phased_methylation(doubled, hap_map, repeated_sites=True)
-    starts = [r[0] for r in rows(out, "start")]
-    assert starts.count(10) == 4 and starts.count(40) == 1
-    with pytest.raises(Exception, match="more than once"):
-        methylation.founder_phased_methylation(doubled, hap_map).collect()
+    doubled = files | {("count", "hap1"): files["count", "hap1"].union(files["count", "hap1"].filter("start = 10"))}
+    out = methylation.founder_phased_methylation(doubled, hap_map)
+    assert rows(out) == rows(stepwise(doubled, hap_map)) and out.count() > unique.count()
+    assert rows(out.filter("start != 10")) == rows(unique.filter("start != 10"))
+
+
+def stepwise(files, hap_map):
+    modes = [
+        methylation.phase_to_founders(methylation.join_haplotypes(files[m, "hap1"], files[m, "hap2"]), hap_map)
+        for m in methylation.MODES
+    ]
+    return methylation.combine_modes(*modes)
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+@pytest.mark.parametrize("hot", ["left", "right", "both", "alone"])
+def test_heavy_keys_are_split(spark, rows, monkeypatch, hot, null_safe):
+    """The rows of the plain join, whichever side holds the heavy keys; null keys match only where asked."""
+    monkeypatch.setattr(joins, "CELL_ROWS", 20)
+    many = [("h", i, 1) for i in range(70)] + [(None, i, 2) for i in range(40)]
+    few = [("h", 900, 3), ("h", 901, 4), (None, 902, 5)]
+    others = [(f"k{i}", i, 6) for i in range(30)]
+    sides = {"left": (many + others, few + others[5:]), "right": (few + others, many + others[5:]), "both": (many + others, many[:45] + others[5:]), "alone": (many, others)}[hot]
+    left, right = (spark.createDataFrame(side, f"k string, {c} bigint, n bigint").repartition(3) for side, c in zip(sides, "lr"))
+    on = ["k", "n"] if hot == "both" else ["k"]
+    if on == ["k"]:
+        right = right.withColumnRenamed("n", "m")
+    assert joins.heavy_keys(left, right, on) is not None
+    expected = joins.full_outer(left, right, on, null_safe=null_safe)
+    split = joins.full_outer(left, right, on, null_safe=null_safe, hot_keys=True)
+    assert split.columns == expected.columns and rows(split) == rows(expected)
+
+
+def test_a_third_of_the_right_rows_at_one_site(spark, monkeypatch):
+    """No task of the join takes much more than the others do."""
+    monkeypatch.setattr(joins, "CELL_ROWS", 500)
+    right = spark.range(30_000).selectExpr("'chr1' AS chrom", "if(id % 3 = 0, 7L, id) AS start", "start + 1 AS end", "id AS r")
+    left = spark.range(30_000).selectExpr("'chr1' AS chrom", "id AS start", "id + 1 AS end", "id AS l")
+    kept = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # tasks as planned, neither coalesced nor split
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        heavy = joins.heavy_keys(left, right, joins.SITE)
+        assert [tuple(r)[1:] for r in heavy.collect()] == [(1, 21)]
+        joined = joins.full_outer(left, right, hot_keys=True)
+        assert joined.count() == joins.full_outer(left, right).count()
+        sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id().alias("task")).count().collect())
+        plain = sorted(r["count"] for r in joins.full_outer(left, right).groupBy(F.spark_partition_id().alias("task")).count().collect())
+        cells = [s for s in sizes if s >= 500]
+        assert max(sizes) < 2 * cells[len(cells) // 2 - 1] and max(plain) > max(sizes)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", kept)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_no_heavy_keys_is_the_plain_join(spark):
+    left = levels(spark, (1, 1, 0.1), (2, 2, 0.2))
+    assert joins.heavy_keys(left, left, joins.SITE) is None
+    assert joins.heavy_keys(left.limit(0), left.limit(0), joins.SITE) is None
