@@ -55,7 +55,7 @@ def as_line(columns: Sequence[str]) -> Column:
     return F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
 
 
-def _write_lines(
+def write_lines(
     df: DataFrame, path: str, header: Sequence[str], keys: dict[str, Column], compression: str = "none"
 ) -> None:
     """Header lines, then the rows of ``df`` ordered by ``keys``, as text parts."""
@@ -80,7 +80,7 @@ def _start_column(df: DataFrame) -> str:
 def write_dataframe_to_bed(df: DataFrame, path: str, source: str, compression: str = "none") -> None:
     """Self-describing BED in genome order: a ``##source`` line, a ``#`` line of names, the rows."""
     header = [f"##source='{source}'", "#" + "\t".join(df.columns)]
-    _write_lines(df, path, header, _genome_keys(_start_column(df)), compression)
+    write_lines(df, path, header, _genome_keys(_start_column(df)), compression)
 
 
 def write_methylation(df: DataFrame, path: str, source: str) -> str:
@@ -107,7 +107,7 @@ def write_vcf(df: DataFrame, path: str, uid: str | None = None) -> None:
     }
     rows = df.select(*[c.alias(n) for n, c in columns.items()])
     header = [VCF_FORMAT_LINE, "\t".join((*VCF_COLUMNS, uid or "SAMPLE"))]
-    _write_lines(rows, path, header, {"name": F.col("chrom"), "at": F.col("pos")})
+    write_lines(rows, path, header, {"name": F.col("chrom"), "at": F.col("pos")})
 
 
 def mismatch_stem(uid: str | None, parental: str | None) -> str:
@@ -127,11 +127,12 @@ def write_hap_map_blocks(df: DataFrame, folder: str, uid: str, parental: str) ->
     return write_bed(blocks.orderBy(*version_order()), folder, f"{uid}.hap-map-blocks.{parental}")
 
 
-def tracks(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Non-null levels as ``chrom, start, end, value, track``: all tracks from one scan."""
-    picked = df.select("chrom", "start", "end", *[F.col(c).alias(t) for t, c in columns.items()])
-    long = picked.unpivot(["chrom", "start", "end"], [F.col(f"`{t}`") for t in columns], "track", "value")
-    return long.filter(F.col("value").isNotNull()).select("chrom", "start", "end", "value", "track")
+def tracks(df: DataFrame, columns: dict[str, str], *, by: Sequence[str] = ()) -> DataFrame:
+    """Non-null levels as ``by``, ``chrom, start, end, value, track``: all tracks from one scan."""
+    site = [*by, "chrom", "start", "end"]
+    picked = df.select(*site, *[F.col(c).alias(t) for t, c in columns.items()])
+    long = picked.unpivot(site, [F.col(f"`{t}`") for t in columns], "track", "value")
+    return long.filter(F.col("value").isNotNull()).select(*site, "value", "track")
 
 
 def founder_track_columns() -> dict[str, str]:
@@ -152,13 +153,18 @@ def combined_track_columns(ids: dict[str, str]) -> dict[str, str]:
     return {f"{uid}.combined.{mode}": f"methylation_level_{m}_{mode}" for m, uid in ids.items() for mode in MODES}
 
 
-def write_tracks(long: DataFrame, folder: str) -> None:
-    """One bedGraph folder per track, each in genome order."""
-    keys = ["track", *_genome_keys("start")]
+def write_tracks(long: DataFrame, folder: str, *, by: Sequence[str] = ()) -> None:
+    """One bedGraph folder per track (of each group ``by``), each in genome order.
+
+    With ``by``, folders of groups that the table does not hold stay as they are.
+    """
+    keys = [*by, "track", *_genome_keys("start")]
     placed = long.withColumns({n: k for n, k in _genome_keys("start").items()})
     placed.repartitionByRange(*keys).sortWithinPartitions(*keys).select(
-        "chrom", "start", "end", "value", "track"
-    ).write.mode("overwrite").partitionBy("track").csv(folder, sep="\t", quote="")
+        *by, "chrom", "start", "end", "value", "track"
+    ).write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if by else "static").partitionBy(
+        *by, "track"
+    ).csv(folder, sep="\t", quote="")
 
 
 def clean_bed(df: DataFrame, path: str) -> int:
