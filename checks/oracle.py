@@ -24,19 +24,24 @@ SELECT r.chrom, r.start_, r.end_, r.ref, r.alt, r.allele_hap1, r.allele_hap2, r.
 FROM o_read_blocks r
 JOIN fx_iht i ON r.chrom = i.chrom AND r.start_ = i.start_ AND r.end_ = i.end_ AND r.ref = i.ref AND r.alt = i.alt
 JOIN fx_iht_block h ON r.chrom = h.chrom AND r.start_ < h.end_ AND h.start_ < r.end_"""
-CTES["o_blocks"] = f"""
+# The rows of a cohort's variant files that their readers keep: one base for one base, every seventh phased the other way.
+CTES["o_snvs_read"] = """
+SELECT * REPLACE (CASE WHEN start_ % 7 = 0 THEN allele_hap2 ELSE allele_hap1 END AS allele_hap1)
+FROM o_snvs WHERE length(ref) = 1 AND alt IN ('A', 'C', 'G', 'T')"""
+for _read in ("", "_read"):
+    CTES[f"o_blocks{_read}"] = f"""
 SELECT {_BLOCK_KEYS}, count(*) AS n,
        1 - sum(CASE WHEN allele_hap1 <> allele_pat THEN 1 ELSE 0 END) / count(*) AS similarity
-FROM o_snvs GROUP BY ALL"""
-CTES["o_hap_map"] = """
+FROM o_snvs{_read} GROUP BY ALL"""
+    CTES[f"o_hap_map{_read}"] = f"""
 SELECT chrom, greatest(start_phase_block, start_iht_block) AS start_, least(end_phase_block, end_iht_block) AS end_,
        founder_label_pat_iht_block || CASE WHEN similarity > 0.5 THEN '_hap1' ELSE '_hap2' END AS paternal_haplotype,
        founder_label_mat_iht_block || CASE WHEN similarity > 0.5 THEN '_hap2' ELSE '_hap1' END AS maternal_haplotype,
        CASE WHEN similarity > 0.5 THEN similarity ELSE 1.0 - similarity END AS haplotype_concordance,
        n AS num_het_SNVs
-FROM o_blocks"""
-CTES["o_mismatch"] = f"""
-SELECT s.chrom, s.start_, s.end_, s.ref, s.alt FROM o_snvs s JOIN o_blocks b USING ({_BLOCK_KEYS})
+FROM o_blocks{_read}"""
+    CTES[f"o_mismatch{_read}"] = f"""
+SELECT s.chrom, s.start_, s.end_, s.ref, s.alt FROM o_snvs{_read} s JOIN o_blocks{_read} b USING ({_BLOCK_KEYS})
 WHERE (s.allele_hap1 <> s.allele_pat) = (b.similarity > 0.5)"""
 
 for _member in ("kid", "dad", "mom"):
@@ -47,7 +52,7 @@ SELECT {SITE}, a.total_read_count AS total_read_count_hap1, a.methylation_level
 FROM fx_{_member}_{_mode}_hap1 a FULL JOIN fx_{_member}_{_mode}_hap2 b USING ({SITE})"""
 
 
-def _phased(source: str) -> str:
+def _phased(source: str, hap_map: str = "o_hap_map") -> str:
     def swap(value: str, side: str) -> str:
         label = f"{side}ernal_haplotype"
         return (
@@ -62,7 +67,7 @@ SELECT m.chrom, m.start_, m.end_, h.start_ AS start_hap_map_block, h.end_ AS end
        h.num_het_SNVs AS num_het_SNVs_in_hap_map_block, {swapped},
        split_part(paternal_haplotype, '_', 1) AS founder_haplotype_pat,
        split_part(maternal_haplotype, '_', 1) AS founder_haplotype_mat
-FROM {source} m LEFT JOIN o_hap_map h ON m.chrom = h.chrom AND m.start_ < h.end_ AND h.start_ < m.end_"""
+FROM {source} m LEFT JOIN {hap_map} h ON m.chrom = h.chrom AND m.start_ < h.end_ AND h.start_ < m.end_"""
 
 
 CTES["o_phased_count"] = _phased("o_kid_count")
@@ -72,13 +77,19 @@ _COMMON = (
     "num_het_SNVs_in_hap_map_block total_read_count_pat total_read_count_mat "
     "founder_haplotype_pat founder_haplotype_mat"
 ).split()
-CTES["o_founder"] = f"""
+
+
+def _both_modes(count: str, model: str) -> str:
+    return f"""
 SELECT {", ".join(f"coalesce(c.{k}, m.{k}) AS {k}" for k in _COMMON)},
        c.methylation_level_pat AS methylation_level_pat_count, c.methylation_level_mat AS methylation_level_mat_count,
        m.methylation_level_pat AS methylation_level_pat_model, m.methylation_level_mat AS methylation_level_mat_model
-FROM o_phased_count c FULL JOIN o_phased_model m
+FROM {count} c FULL JOIN {model} m
 ON {" AND ".join(f"c.{k} IS NOT DISTINCT FROM m.{k}" for k in _COMMON)}"""
 
+
+CTES["o_founder"] = _both_modes("o_phased_count", "o_phased_model")
+
 # Trio phasing.
 for _parent, _side, _place, _names, _kid in (
     ("dad", "pat", 1, ("A", "B"), "kid_allele_pat"),
@@ -152,6 +163,26 @@ CTES["o_sites"] = f"""
 SELECT {SITE}, total_read_count_count AS total_read_count, methylation_level_count, methylation_level_model
 FROM fx_reference FULL JOIN o_unphased USING ({SITE})"""
 CTES["o_expanded"] = f"SELECT * FROM o_sites LEFT JOIN o_founder USING ({SITE})"
+
+# A cohort: the trio's members as samples, all with the pedigree's SNVs and blocks but their own pileups.
+COHORT = ("dad", "kid", "mom")
+for _member in COHORT:
+    for _mode in ("count", "model"):
+        # pileup files hold percentages
+        CTES[f"o_pair_{_member}_{_mode}"] = f"""
+SELECT * REPLACE (methylation_level_hap1/100 AS methylation_level_hap1, methylation_level_hap2/100 AS methylation_level_hap2)
+FROM o_{_member}_{_mode}"""
+        CTES[f"o_sample_{_member}_{_mode}"] = _phased(f"o_pair_{_member}_{_mode}", "o_hap_map_read")
+    CTES[f"o_sample_{_member}"] = _both_modes(f"o_sample_{_member}_count", f"o_sample_{_member}_model")
+    CTES[f"o_sample_{_member}_sites"] = f"""
+SELECT {SITE}, r.reads AS total_read_count, r.count_level AS methylation_level_count, r.model_level AS methylation_level_model
+FROM fx_reference FULL JOIN (
+  SELECT {SITE}, c.total_read_count AS reads, c.methylation_level/100 AS count_level, m.methylation_level/100 AS model_level
+  FROM fx_{_member}_count_combined c FULL JOIN fx_{_member}_model_combined m USING ({SITE})) r USING ({SITE})"""
+CTES["o_cohort"] = " UNION ALL ".join(f"SELECT '{m}' AS sample, * FROM o_sample_{m}" for m in COHORT)
+CTES["o_cohort_expanded"] = " UNION ALL ".join(
+    f"SELECT '{m}' AS sample, * FROM o_sample_{m}_sites LEFT JOIN o_sample_{m} USING ({SITE})" for m in COHORT
+)
 for _member in ("kid", "dad", "mom"):
     CTES[f"o_unphased_{_member}"] = f"""
 SELECT {SITE}, c.total_read_count AS total_read_count_{_member}, c.methylation_level AS methylation_level_{_member}_count,
@@ -173,11 +204,15 @@ GROUP BY ALL"""
 
 CTES["o_distance_fx"] = _distances("fx_cpg", "fx_mismatch")
 CTES["o_distance"] = _distances("o_expanded", "o_mismatch")
+CTES["o_distance_cohort"] = _distances("o_cohort_expanded", "o_mismatch_read")
 CTES["o_distance_pat"] = _distances("o_expanded_trio", "o_mismatch_pat")
 CTES["o_distance_mat"] = _distances("o_expanded_trio", "o_mismatch_mat")
 CTES["o_near"] = f"""
 SELECT o_expanded.*, distance < 50 AS is_within_50bp_of_mismatch_site
 FROM o_expanded LEFT JOIN o_distance USING ({SITE})"""
+CTES["o_near_cohort"] = f"""
+SELECT o_cohort_expanded.*, distance < 50 AS is_within_50bp_of_mismatch_site
+FROM o_cohort_expanded LEFT JOIN o_distance_cohort USING ({SITE})"""
 CTES["o_near_trio"] = f"""
 SELECT o_expanded_trio.*, p.distance < 50 AS is_within_50bp_of_mismatch_site_pat,
        m.distance < 50 AS is_within_50bp_of_mismatch_site_mat
@@ -223,6 +258,7 @@ CTES["o_labelled_fx"] = labelled("fx_cpg", "o_variants", ["allele_1", "allele_2"
 CTES["o_labelled_fx_trio"] = labelled("fx_cpg", "o_variants_trio", _TRIO_ALLELES)
 CTES["o_labelled"] = labelled("o_near", "o_variants", ["allele_1", "allele_2"])
 CTES["o_labelled_trio"] = labelled("o_near_trio", "o_variants_trio", _TRIO_ALLELES)
+CTES["o_labelled_cohort"] = labelled("o_near_cohort", "o_variants", ["allele_1", "allele_2"])
 
 
 def flagged(source: str, columns: list[str], roles: tuple[str, ...]) -> str:
@@ -263,8 +299,13 @@ TRIO_VALUES = (
 )
 
 
-def fractions(source: str, conditions: dict[str, str]) -> str:
-    """``(metric, fraction)`` rows over the autosomes."""
+def fractions(source: str, conditions: dict[str, str], by: str = "") -> str:
+    """``(metric, fraction)`` rows over the autosomes, for each value of ``by``."""
+    if by:
+        means = ", ".join(f"avg(CASE WHEN {c} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS {n}" for n, c in conditions.items())
+        return f"""
+SELECT {by}, metric, fraction FROM (UNPIVOT (SELECT {by}, {means} FROM {source} WHERE chrom NOT IN ('chrM', 'chrX', 'chrY') GROUP BY {by})
+ON {", ".join(conditions)} INTO NAME metric VALUE fraction)"""
     means = ", ".join(f"avg(CASE WHEN {c} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS {n}" for n, c in conditions.items())
     return f"""
 SELECT metric, fraction FROM (UNPIVOT (SELECT {means} FROM {source} WHERE chrom NOT IN ('chrM', 'chrX', 'chrY'))

@@ -13,8 +13,10 @@ from checks.views import spark_view, table
 from haplometh.functions import chroms, genotypes
 from haplometh.functions import methylation as mfn
 from haplometh.operators import expand, hapmap, intervals, joins, methylation, ordering, phasing, qc
+from haplometh.plans import cohort as cohort_jobs
+from haplometh.sinks import clustered as clustered_sink
 from haplometh.sinks import text
-from haplometh.sources import bed, blocks, genome, reports, samples, vcf
+from haplometh.sources import bed, blocks, clustered, genome, reports, samples, vcf
 from haplometh.storage import materialize, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -421,6 +423,14 @@ def s17(spark, folder):
 # ---------------------------------------------------------------- sinks
 
 
+@register("s17_k8_clustered_region", o.renamed("o_founder") + " WHERE chrom = 'chr7' AND end_ > 19999 AND start_ < 60000")
+def s17_clustered(spark, folder):
+    """The region out of a clustered table: its zones choose the files."""
+    path = scratch(spark, "clustered.parquet")
+    clustered_sink.write_clustered(Inputs(spark, folder, staged=True).founder(), path, files=16)
+    return clustered.read_region(spark, path, "chr7:20,000-60,000")
+
+
 @register(
     "k5_mismatch_vcf_rows",
     """SELECT concat_ws(chr(9), chrom, CAST(start_ + 1 AS STRING), '.', ref, alt, '.', '.', '.', '.', '.') AS line
@@ -1006,3 +1016,115 @@ def e3(spark, folder):
 def e4(spark, folder):
     i = Inputs(spark, folder, staged=True)
     return expand.flag_allele_specific(i.near_trio(), i.trio_variants(), MEMBERS)
+
+
+# ---------------------------------------------------------------- cohorts
+
+
+class Cohort:
+    """The trio's members as three samples, with the files that the cohort jobs read."""
+
+    SAMPLES = o.COHORT
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.inputs = spark, Inputs(spark, folder, staged=True)
+        self.root = scratch(spark, "cohort")
+
+    def put_lines(self, name: str, header: list[str], rows: DataFrame) -> str:
+        """A folder of text parts with the header lines first."""
+        path = f"{self.root}/{name}"
+        text.write_lines(rows, path, header, {"name": F.col(rows.columns[0]), "at": F.col(rows.columns[1])})
+        return path
+
+    def pileup_file(self, member: str, mode: str, haplotype: str) -> str:
+        rows = self.inputs.pileup(member, mode, haplotype).select(
+            "chrom", "start", "end", F.col("methylation_level").alias("score"), F.lit("Total").alias("type"), "total_read_count", F.lit(0).alias("more")
+        )
+        return self.put_lines(f"{member}.{mode}.{haplotype}", [f"##pileup-mode={mode}", "\t".join(PILEUP_NAMES)], rows)
+
+    def variant_file(self, name: str, calls: DataFrame) -> str:
+        header = ["##fileformat=VCFv4.2", "\t".join(calls.columns)]
+        return self.put_lines(name, header, calls)
+
+    def manifest(self, haplotypes: tuple[str, ...], reads: bool) -> DataFrame:
+        """Sample, kind and path of every file, which are written first."""
+        rows = [
+            (m, f"{mode}.{hap}", self.pileup_file(m, mode, hap))
+            for m in self.SAMPLES
+            for mode in methylation.MODES
+            for hap in haplotypes
+        ]
+        if reads:
+            names = list(blocks.READ_BLOCK_COLUMNS)
+            for m in self.SAMPLES:
+                snvs = self.inputs.view("fx_read")
+                # every seventh SNV is phased the other way, so every chromosome has mismatches at any scale
+                first, second = F.col("allele_hap1"), F.col("allele_hap2")
+                phased = F.when(F.col("start") % 7 == 0, F.concat_ws("|", second, first)).otherwise(F.concat_ws("|", first, second))
+                call = F.concat_ws(":", phased, "phase_block_id")
+                rows.append((m, "reads.vcf", self.variant_file(f"{m}.reads.vcf", as_variants(snvs, F.lit("GT:PS"), [call.alias(m)]))))
+                bounds = self.inputs.read_blocks().withColumns({"source_block_index": F.lit(0), "sample_name": F.lit(m)})
+                rows.append((m, "reads.blocks", self.put_lines(f"{m}.blocks.tsv", ["\t".join(names)], bounds.select(*names))))
+        return self.spark.createDataFrame(rows, "sample string, kind string, path string")
+
+    def phased(self) -> cohort_jobs.CohortPhasing:
+        snvs = self.inputs.view("fx_iht")
+        call = F.concat_ws("|", "allele_pat", "allele_mat")
+        calls = as_variants(snvs, F.lit("GT"), [F.lit("0/1").alias("other"), *[call.alias(m) for m in self.SAMPLES]])
+        labels = F.concat_ws("|", "founder_label_pat", "founder_label_mat")
+        bounds = self.inputs.view("fx_iht_block").select(
+            "chrom", "start", "end", *[labels.alias(m) for m in self.SAMPLES], F.lit(10).alias("n"), F.lit(5).alias("l"), F.lit("m").alias("k")
+        )
+        header = " ".join(["#chrom start end", *self.SAMPLES, "marker_count len markers"])
+        return cohort_jobs.phase_cohort_to_founder_haps(
+            self.spark,
+            manifest=self.manifest(("hap1", "hap2"), reads=True),
+            vcf_iht_phased=self.variant_file("iht.vcf", calls),
+            txt_iht_blocks=self.put_lines("iht.txt", [header], bounds),
+            output_dir=f"{self.root}/out",
+        )
+
+    def expanded(self) -> cohort_jobs.CohortExpansion:
+        self.phased()
+        reference = f"{self.root}/reference.bed"
+        text.write_table(self.inputs.view("fx_reference"), reference)
+        calls = as_variants(self.inputs.view("fx_variant"), F.lit("GT:AD:DP"), [F.col("gt_raw").alias(m) for m in self.SAMPLES])
+        return cohort_jobs.expand_cohort_to_all_cpgs(
+            self.spark,
+            manifest=self.manifest(("combined",), reads=False),
+            phased_dir=f"{self.root}/out",
+            bed_all_cpgs_in_reference=reference,
+            vcf_joint_called=self.variant_file("joint.vcf", calls),
+            output_dir=f"{self.root}/out",
+        )
+
+
+@register("e1_cohort", o.renamed("o_cohort"))
+def e1_cohort(spark, folder):
+    return Cohort(spark, folder).phased().methylation
+
+
+_COHORT_TRACKS = " UNION ALL ".join(
+    f'SELECT sample, {o.OUT_SITE}, {level} AS value, \'{track}\' AS track FROM o_cohort WHERE {level} IS NOT NULL'
+    for track, level in text.founder_track_columns().items()
+)
+
+
+@register("k7_cohort", _COHORT_TRACKS)
+def k7_cohort(spark, folder):
+    """The tracks as written, each sample and track in a folder of its own."""
+    schema = 'chrom string, start bigint, end bigint, value double, sample string, track string'
+    return spark.read.schema(schema).csv(Cohort(spark, folder).phased().tracks, sep="\t")
+
+
+@register("e3_cohort", o.flagged("o_labelled_cohort", ["sample", *o.EXPANDED_VALUES, "is_within_50bp_of_mismatch_site"], ("",)))
+def e3_cohort(spark, folder):
+    return Cohort(spark, folder).expanded().table
+
+
+@register(
+    "a8_cohort",
+    o.fractions("o_near_cohort", {"within_50bp_of_mismatch": "is_within_50bp_of_mismatch_site"} | o.mode_conditions("pat", "mat", ""), "sample"),
+)
+def a8_cohort(spark, folder):
+    return Cohort(spark, folder).expanded().qc

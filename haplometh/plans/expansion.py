@@ -13,6 +13,7 @@ from haplometh.operators import expand, qc
 from haplometh.operators.methylation import MEMBERS
 from haplometh.operators.ordering import version_sort
 from haplometh.sinks import text
+from haplometh.sinks.clustered import write_clustered
 from haplometh.sources import bed, genome, vcf
 from haplometh.storage import materialize
 
@@ -44,7 +45,7 @@ def _finish(
     """Flag, then write the table as Parquet and as compressed BED, and its QC."""
     root = path.removesuffix(".bed")
     flagged = expand.flag_allele_specific(df, variants, roles, merge_identical=expand.repeats_sites(df))
-    flagged.write.mode("overwrite").parquet(f"{root}.parquet")
+    write_clustered(flagged, f"{root}.parquet", start="start_cpg", end="end_cpg")
     report.write.mode("overwrite").parquet(f"{root}.qc.parquet")
     spark = df.sparkSession
     # The sort of the text output samples its input, so it reads the finished table.
@@ -65,7 +66,6 @@ def expand_to_all_cpgs(
     bed_out: str,
     bed_het_site_mismatches: str | None = None,
     partitions: int | None = None,
-    repeated_sites: bool = False,
 ) -> Expansion | None:
     """The 22-column table of one sample and its QC; None when there is no phased input."""
     source = f"{expand_to_all_cpgs.__name__} with args {_shown(locals())}"
@@ -76,7 +76,6 @@ def expand_to_all_cpgs(
         bed.read_all_cpgs_in_reference(spark, bed_all_cpgs_in_reference),
         bed.read_meth_level(spark, bed_meth_count_unphased, "count", partitions=partitions),
         bed.read_meth_level(spark, bed_meth_model_unphased, "model", partitions=partitions),
-        repeated_sites=repeated_sites,
     )
     mismatches = bed_het_site_mismatches and bed.read_bed_and_header(spark, bed_het_site_mismatches)
     df = materialize(expand.flag_proximity(expand.attach_phased(sites, phased), mismatches or None), "all-cpgs")
@@ -99,7 +98,6 @@ def expand_to_all_cpgs_trio(
     bed_out: str,
     output_dir: str,
     partitions: int | None = None,
-    repeated_sites: bool = False,
 ) -> Expansion | None:
     """The 49-column table of a trio and its QC; ``beds_unphased`` by ``(member, mode)``.
 
@@ -114,7 +112,6 @@ def expand_to_all_cpgs_trio(
                 key: bed.read_meth_level(spark, path, key[1], partitions=partitions)
                 for key, path in beds_unphased.items()
             },
-            repeated_sites=repeated_sites,
         ),
         "trio-unphased",
     )

@@ -11,6 +11,7 @@ from haplometh.operators import hapmap, methylation, phasing
 from haplometh.operators.intervals import mean_width_bin
 from haplometh.operators.ordering import version_sort
 from haplometh.sinks import text
+from haplometh.sinks.clustered import write_clustered
 from haplometh.sources import bed, blocks, vcf
 from haplometh.storage import materialize
 
@@ -36,7 +37,6 @@ def phase_meth_to_founder_haps(
     beds: Mapping[tuple[str, str], str],
     output_dir: str,
     partitions: int | None = None,
-    repeated_sites: bool = False,
 ) -> FounderPhasing:
     """``beds`` holds the four pileup files by ``(mode, haplotype)``: count/model, hap1/hap2.
 
@@ -68,10 +68,10 @@ def phase_meth_to_founder_haps(
         for (mode, hap), path in beds.items()
     }
     phased = methylation.founder_phased_methylation(
-        files, hap_map, bin_size=mean_width_bin(hap_map), repeated_sites=repeated_sites
+        files, hap_map, bin_size=mean_width_bin(hap_map)
     )
     table = f"{out}/{uid}.dna-methylation.parquet"
-    phased.write.mode("overwrite").parquet(table)
+    write_clustered(phased, table)
     phased = spark.read.schema(phased.schema).parquet(table)
     text.write_bed(version_sort(phased), out, f"{uid}.dna-methylation")
     text.write_tracks(text.tracks(phased, text.founder_track_columns()), f"{out}/{uid}.dna-methylation.tracks")

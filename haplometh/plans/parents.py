@@ -11,6 +11,7 @@ from haplometh.operators import hapmap, methylation, phasing
 from haplometh.operators.intervals import mean_width_bin
 from haplometh.operators.ordering import version_sort
 from haplometh.sinks import text
+from haplometh.sinks.clustered import write_clustered
 from haplometh.sources import bed, blocks, vcf
 from haplometh.storage import materialize
 
@@ -35,7 +36,6 @@ def phase_meth_to_parent_haps(
     beds: Mapping[tuple[str, str, str], str],
     output_dir: str,
     partitions: int | None = None,
-    repeated_sites: bool = False,
 ) -> ParentPhasing:
     """``block_files`` by member, ``beds`` the twelve pileup files by ``(member, mode, haplotype)``."""
     out = output_dir.rstrip("/")
@@ -60,13 +60,13 @@ def phase_meth_to_parent_haps(
         key: bed.read_meth_level(spark, path, key[1], partitions=partitions) for key, path in beds.items()
     }
     phased = methylation.phase_to_parents(
-        methylation.trio_methylation(files, repeated_sites=repeated_sites),
+        methylation.trio_methylation(files),
         maps["pat"],
         maps["mat"],
         bin_size=mean_width_bin(maps["pat"]),
     )
     table = f"{out}/trio.dna-methylation.parquet"
-    phased.write.mode("overwrite").parquet(table)
+    write_clustered(phased, table)
     phased = spark.read.schema(phased.schema).parquet(table)
     text.write_bed(version_sort(phased), out, "trio.dna-methylation")
     text.write_tracks(text.tracks(phased, text.trio_track_columns(ids)), f"{out}/trio.dna-methylation.tracks")

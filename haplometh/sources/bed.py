@@ -61,13 +61,14 @@ def check_pileup_header(comments: Sequence[str], mode: str, what: str = "input")
     return names
 
 
-def meth_levels(pileup: DataFrame) -> DataFrame:
-    """``chrom, start, end, total_read_count, methylation_level`` of a pileup, alternative contigs dropped.
+def meth_levels(pileup: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
+    """``by`` and ``chrom, start, end, total_read_count, methylation_level`` of a pileup, alternative contigs dropped.
 
     A row that lacks one of them, or has text for a number, fails the job.
     """
     return drop_alt_contigs(
         pileup.select(
+            *by,
             required(F.col("`#chrom`"), "#chrom").alias("chrom"),
             required(F.col("begin").cast("bigint"), "begin").alias("start"),
             required(F.col("end").cast("bigint"), "end").alias("end"),
@@ -82,12 +83,12 @@ def strict(df: DataFrame) -> DataFrame:
     return df.withColumns({c: required(F.col(f"`{c}`"), c) for c in df.columns[:3]})
 
 
-def pileup_from_lines(lines: DataFrame, names: Sequence[str]) -> DataFrame:
+def pileup_from_lines(lines: DataFrame, names: Sequence[str], *, by: Sequence[str] = ()) -> DataFrame:
     """The shared pileup columns from lines in a ``value`` column."""
     at = {c: list(names).index(c) for c in PILEUP_COLUMNS}
     # Mode-specific columns after the shared ones stay one unsplit tail.
-    fields = records(lines).select(F.split("value", "\t", max(at.values()) + 2).alias("f"))
-    return fields.select(*[F.col("f")[i].alias(c) for c, i in at.items()])
+    fields = records(lines).select(*by, F.split("value", "\t", max(at.values()) + 2).alias("f"))
+    return fields.select(*by, *[F.col("f")[i].alias(c) for c, i in at.items()])
 
 
 def read_meth_level(

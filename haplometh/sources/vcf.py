@@ -6,7 +6,7 @@ by passing a list of paths.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,8 +38,8 @@ def column_names(header: str) -> list[str]:
     return names
 
 
-def sample_names(variants: DataFrame) -> list[str]:
-    return variants.columns[len(FIXED_COLUMNS) :]
+def sample_names(variants: DataFrame, by: Sequence[str] = ()) -> list[str]:
+    return variants.columns[len(by) + len(FIXED_COLUMNS) :]
 
 
 def read_variants(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -60,13 +60,15 @@ def variants_from_lines(lines: DataFrame, header: str) -> DataFrame:
     return fields.select(*[F.get("f", F.lit(i)).alias(n) for i, n in enumerate(column_names(header))])
 
 
-def _sites(variants: DataFrame, wanted: Mapping[str, str], lenient: bool = False) -> DataFrame:
-    """Site columns, ``format`` and, per ``wanted`` name, the raw field of its sample.
+def _sites(
+    variants: DataFrame, wanted: Mapping[str, str], lenient: bool = False, by: Sequence[str] = ()
+) -> DataFrame:
+    """``by``, site columns, ``format`` and, per ``wanted`` name, the raw field of its sample.
 
     A row without a whole-number position or without a sample's field fails the
     job; ``lenient`` leaves such a row out.
     """
-    samples = sample_names(variants)
+    samples = sample_names(variants, by)
     missing = [s for s in wanted.values() if s not in samples]
     if missing:
         raise SampleError(f"samples {missing} are not among the file's {len(samples)} samples")
@@ -78,6 +80,7 @@ def _sites(variants: DataFrame, wanted: Mapping[str, str], lenient: bool = False
         pos = required(pos, "POS")
         raw = {name: required(c, f"the field of {wanted[name]}") for name, c in raw.items()}
     return variants.select(
+        *by,
         F.col("`#CHROM`").alias("chrom"),
         (pos - 1).alias("start"),
         pos.alias("end"),
@@ -101,14 +104,14 @@ def _genotype(name: str) -> Column:
     return F.when(called, genotype_text(F.col(f"raw_{name}")))
 
 
-def _with_genotypes(variants: DataFrame, wanted: Mapping[str, str]) -> DataFrame:
+def _with_genotypes(variants: DataFrame, wanted: Mapping[str, str], by: Sequence[str] = ()) -> DataFrame:
     """Biallelic SNVs with the genotype text of each wanted sample.
 
     With one alternative allele, genotypes are one-digit pairs: tests on them
     are single comparisons with the text, which stay cheap when Spark pushes
     them below other steps, and alleles are its first and third character.
     """
-    snvs = _sites(variants, wanted).filter(is_biallelic_snv(F.col("REF"), F.col("ALT")))
+    snvs = _sites(variants, wanted, by=by).filter(is_biallelic_snv(F.col("REF"), F.col("ALT")))
     return snvs.withColumns({f"gt_{name}": _genotype(name) for name in wanted})
 
 
@@ -129,13 +132,17 @@ SECOND_KNOWN = r"^(?:.\|[01]|0/0|1/1)$"
 SITE_AND_ALLELES = ("chrom", "start", "end", "REF", "ALT")
 
 
-def read_phasing(variants: DataFrame) -> DataFrame:
-    """Phased heterozygous SNVs of a single-sample file, with their phase-block id."""
-    samples = sample_names(variants)
+def read_phasing(variants: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
+    """Phased heterozygous SNVs of a single-sample file, with their phase-block id.
+
+    The columns ``by`` stand before those of the file.
+    """
+    samples = sample_names(variants, by)
     if len(samples) != 1:
         raise SampleError(f"expected one sample, found {len(samples)}")
-    hets = _with_genotypes(variants, {"s": samples[0]}).filter(F.col("gt_s").isin(*PHASED_HET))
+    hets = _with_genotypes(variants, {"s": samples[0]}, by).filter(F.col("gt_s").isin(*PHASED_HET))
     return hets.select(
+        *by,
         *SITE_AND_ALLELES,
         phase_block_id(format_field(F.col("raw_s"), "PS")).alias("phase_block_id"),
         _first("s").alias("allele_hap1"),
@@ -143,14 +150,14 @@ def read_phasing(variants: DataFrame) -> DataFrame:
     )
 
 
-def inheritance_phasing(variants: DataFrame, uid: str) -> DataFrame:
+def inheritance_phasing(variants: DataFrame, uid: str, *, by: Sequence[str] = ()) -> DataFrame:
     """Heterozygous SNVs of one sample with paternal and maternal alleles; an unphased one fails the job."""
     gt = F.col("gt_s")
-    hets = _with_genotypes(variants, {"s": uid}).filter(gt.isin(*PHASED_HET, *UNPHASED_HET))
+    hets = _with_genotypes(variants, {"s": uid}, by).filter(gt.isin(*PHASED_HET, *UNPHASED_HET))
     message = F.format_string("expected a phased genotype at %s:%d, found %s", F.col("chrom"), F.col("end"), gt)
     checked = F.when(is_phased(gt), gt).otherwise(F.raise_error(message).cast("string"))
     return hets.withColumn("gt_s", checked).select(
-        *SITE_AND_ALLELES, _first("s").alias("allele_pat"), _second("s").alias("allele_mat")
+        *by, *SITE_AND_ALLELES, _first("s").alias("allele_pat"), _second("s").alias("allele_mat")
     )
 
 
@@ -179,13 +186,13 @@ def trio_pairs(variants: DataFrame, kid: str, dad: str, mom: str) -> tuple[DataF
     )
 
 
-def joint_variants(variants: DataFrame, uids: Mapping[str, str]) -> DataFrame:
+def joint_variants(variants: DataFrame, uids: Mapping[str, str], *, by: Sequence[str] = ()) -> DataFrame:
     """SNVs, also multi-allelic ones, with allele indices per role.
 
     ``uids`` maps a role to its sample; the role ``""`` gives ``allele_1`` and
     ``allele_2``, any other ``allele_1_<role>``. A field that is just ``.`` is null.
     """
-    parsed = _sites(variants, {f"r{i}": uid for i, uid in enumerate(uids.values())}, lenient=True)
+    parsed = _sites(variants, {f"r{i}": uid for i, uid in enumerate(uids.values())}, lenient=True, by=by)
 
     def known(column: str) -> Column:
         return F.when(F.col(column) != UNKNOWN, F.col(column))
@@ -195,7 +202,7 @@ def joint_variants(variants: DataFrame, uids: Mapping[str, str]) -> DataFrame:
         gt = genotype_text(known(f"raw_r{i}"))
         infix = f"_{role}" if role else ""
         alleles += [allele(gt, 0).alias(f"allele_1{infix}"), allele(gt, 1).alias(f"allele_2{infix}")]
-    return parsed.filter(is_snv_any_alts(known("REF"), known("ALT"))).select("chrom", "start", "end", *alleles)
+    return parsed.filter(is_snv_any_alts(known("REF"), known("ALT"))).select(*by, "chrom", "start", "end", *alleles)
 
 
 def read_read_phasing(spark: SparkSession, path: str | list[str], *, partitions: int | None = None) -> DataFrame:
