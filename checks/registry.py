@@ -944,17 +944,35 @@ def a12(spark, folder):
 # ---------------------------------------------------------------- order and samples
 
 
-@register(
-    "o1_version_sort",
-    f"SELECT {o.OUT_SITE}, TRY_CAST(regexp_extract(chrom, '(\\d+)', 1) AS BIGINT) AS chrom_rank FROM o_contigs",
-)
+_VERSION = "TRY_CAST(regexp_extract(chrom, '(\\d+)', 1) AS BIGINT)"
+_VERSION_PLACE = f"row_number() OVER (ORDER BY {_VERSION} NULLS LAST, chrom, start_) - 1"
+
+
+@register("o1_version_sort", f"SELECT {o.OUT_SITE}, {_VERSION} AS chrom_rank, {_VERSION_PLACE} AS position FROM o_contigs")
 def o1(spark, folder):
-    return ordering.version_sort(_contigs(spark, folder).withColumn("chrom_rank", chroms.chrom_rank()))
+    ordered = ordering.version_sort(_contigs(spark, folder).withColumn("chrom_rank", chroms.chrom_rank()))
+    return ordering.positions(ordered)
 
 
-@register("o2_position_sort", f"SELECT {o.OUT_SITE} FROM o_contigs")
+@register("o2_position_sort", f"SELECT {o.OUT_SITE}, row_number() OVER (ORDER BY chrom, start_, end_) - 1 AS position FROM o_contigs")
 def o2(spark, folder):
-    return ordering.position_sort(_contigs(spark, folder))
+    return ordering.positions(ordering.position_sort(_contigs(spark, folder)))
+
+
+def _lines_in_order(spark, path: str) -> DataFrame:
+    """Lines of a folder of text parts with their place in the parts by name."""
+    at = {"file": F.col("_metadata.file_name"), "block": F.col("_metadata.file_block_start"), "line": F.monotonically_increasing_id()}
+    lines = spark.read.text(path).select("value", *[c.alias(n) for n, c in at.items()])
+    return ordering.numbered(lines, list(at)).select("value", "position")
+
+
+@register("o3_k8_sorted_text", f"SELECT chrom || chr(9) || start_ || chr(9) || end_ AS value, {_VERSION_PLACE} + 2 AS position FROM o_contigs")
+def k8_order(spark, folder):
+    """Lines of the compressed table after its two header lines, which must come first."""
+    root = text.write_methylation(_contigs(spark, folder), scratch(spark, "sorted.bed"), "checks")
+    lines = _lines_in_order(spark, f"{root}.sorted.bed.gz")
+    heads = F.col("value").startswith("#") & (F.col("position") < 2)
+    return lines.filter(~heads)
 
 
 @register(

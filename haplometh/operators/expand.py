@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from haplometh.functions.genotypes import HET, UNKNOWN, genotype_class
@@ -218,8 +219,9 @@ def label_with_variants(cpgs: DataFrame, variants: DataFrame, *, by: Sequence[st
     CpGs come out as CG dinucleotides ``start_cpg``, ``end_cpg``, with the
     variant's coordinates and alleles and ``num_SNVs_overlapping_CG``, the
     number of such rows over all rows with the same CpG columns. Equal variants
-    of a site are counted before they are listed, so a site with very many
-    records is a short list, joined once, and no window is needed.
+    of a site are counted first, so a site with very many records is a few rows:
+    two positions, a few alleles each. They are summed up by site in the order
+    in which they meet the CpGs, with no exchange of its own.
     """
     site = with_by(by)
     alleles = [c for c in variants.columns if c.startswith("allele_")]
@@ -234,17 +236,15 @@ def label_with_variants(cpgs: DataFrame, variants: DataFrame, *, by: Sequence[st
     )
     variant = ("start_variant", "end_variant", *alleles)
     folded = hits.groupBy(*site, *variant).agg(F.count(F.lit(1)).alias("__n"))
-    # a list per site of its different variants: two positions, a few alleles each
-    listed = folded.groupBy(*site).agg(F.sum("__n").alias("__hits"), F.collect_list(F.struct(*variant, "__n")).alias("__variants"))
+    counted = folded.withColumn("__hits", F.sum("__n").over(W.partitionBy(*site)))
     number = (F.coalesce("__hits", F.lit(0)) * F.col("__copies")).cast("bigint")
+    times = F.col("__copies") * F.coalesce("__n", F.lit(1))
     labelled = (
         _with_copies(cpgs)
-        .join(listed, site, "left")
+        .join(counted, site, "left")
         .withColumn("num_SNVs_overlapping_CG", number)
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-        .withColumn("__v", F.explode_outer("__variants"))
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.coalesce("__v.__n", F.lit(1)))))
-        .select(*cpgs.columns, *[F.col(f"__v.{c}").alias(c) for c in variant], "num_SNVs_overlapping_CG")
+        .withColumn("__copy", F.explode(F.sequence(F.lit(1), times)))
+        .select(*cpgs.columns, *variant, "num_SNVs_overlapping_CG")
     )
     return _as_dinucleotides(labelled, cpgs.columns)
 

@@ -25,21 +25,25 @@ def position_sort(df: DataFrame, columns: Sequence[str] = ("chrom", "start", "en
 
 
 def numbered(df: DataFrame, order: Sequence[str | Column], position: str = "position") -> DataFrame:
-    """``df`` with each row's place in ``order``, from 0; no task sorts more than a range of the rows.
+    """``df`` with each row's place in ``order``, from 0; no task sorts more than a range of the rows."""
+    return positions(df.repartitionByRange(*order).sortWithinPartitions(*order), position)
 
-    Rows are range-partitioned and sorted, written with their place inside the
-    partition, and moved up by the number of rows in the partitions before
-    theirs: one count a partition, summed up in order.
+
+def positions(ordered: DataFrame, position: str = "position") -> DataFrame:
+    """Rows of an ordered table (``version_sort``, ``orderBy``) with their place in it, from 0.
+
+    Rows are written with their place inside the partition, and moved up by the
+    number of rows in the partitions before theirs: one count a partition,
+    summed up in order. No window holds more than these counts.
     """
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = materialize(ranged.withColumn("__at", F.monotonically_increasing_id()), "numbered")
+    placed = materialize(ordered.withColumn("__at", F.monotonically_increasing_id()), "numbered")
     # Fixed by the id's definition: the partition in the upper bits, the row in the lower 33.
     part, row = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
     counts = placed.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
     ahead = W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)  # one row a partition
     before = counts.select("__part", F.coalesce(F.sum("__n").over(ahead), F.lit(0).cast("long")).alias("__before"))
     moved = placed.withColumn("__part", part).join(F.broadcast(before), "__part")  # bounded by the number of partitions
-    return moved.select(*df.columns, (F.col("__before") + row).alias(position))
+    return moved.select(*ordered.columns, (F.col("__before") + row).alias(position))
 
 
 def seeded_sample(df: DataFrame, n: int, seed: int, keys: Sequence[str] | None = None) -> DataFrame:
