@@ -93,6 +93,12 @@ def attach_phased(sites: DataFrame, phased: DataFrame, *, by: Sequence[str] = ()
     return sites.join(phased, with_by(by), "left")
 
 
+def phased_outside(sites: DataFrame, phased: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
+    """Keys of the phased rows that ``attach_phased`` leaves out, as ``sites`` has no row for them."""
+    keys = with_by(by)
+    return phased.select(*keys).join(sites.select(*keys), keys, "left_anti")
+
+
 def expand_founder(
     reference: DataFrame, unphased: DataFrame, phased: DataFrame, *, by: Sequence[str] = ()
 ) -> DataFrame:

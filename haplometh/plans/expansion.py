@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -12,10 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from haplometh.operators import expand, qc
 from haplometh.operators.methylation import MEMBERS
 from haplometh.operators.ordering import version_sort
+from haplometh.plans.counts import Counts
 from haplometh.sinks import text
-from haplometh.sinks.clustered import write_clustered
 from haplometh.sources import bed, genome, vcf
-from haplometh.storage import materialize
 
 log = logging.getLogger(__name__)
 
@@ -26,6 +25,8 @@ class Expansion:
 
     table: DataFrame
     qc: DataFrame
+    #: rows and columns by stage; ``phased-not-in-sites`` are phased rows that no site takes up
+    counts: dict[str, dict[str, int]] = field(default_factory=dict)
 
 
 def _phased_or_none(spark: SparkSession, path: str) -> DataFrame | None:
@@ -40,18 +41,18 @@ def _phased_or_none(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def _finish(
-    df: DataFrame, variants: DataFrame, roles: tuple[str, ...], report: DataFrame, path: str, source: str
+    df: DataFrame, variants: DataFrame, roles: tuple[str, ...], report: DataFrame, path: str, source: str, counts: Counts
 ) -> Expansion:
     """Flag, then write the table as Parquet and as compressed BED, and its QC."""
     root = path.removesuffix(".bed")
     flagged = expand.flag_allele_specific(df, variants, roles, merge_identical=expand.repeats_sites(df))
-    write_clustered(flagged, f"{root}.parquet", start="start_cpg", end="end_cpg")
+    counts.clustered(flagged, "expanded", f"{root}.parquet", start="start_cpg", end="end_cpg")
     report.write.mode("overwrite").parquet(f"{root}.qc.parquet")
     spark = df.sparkSession
     # The sort of the text output samples its input, so it reads the finished table.
     final = spark.read.parquet(f"{root}.parquet")
     text.write_methylation(final, path, source)
-    return Expansion(final, spark.read.parquet(f"{root}.qc.parquet"))
+    return Expansion(final, spark.read.parquet(f"{root}.qc.parquet"), counts)
 
 
 def expand_to_all_cpgs(
@@ -72,15 +73,17 @@ def expand_to_all_cpgs(
     phased = _phased_or_none(spark, bed_meth_founder_phased)
     if phased is None:
         return None
+    counts = Counts()
     sites = expand.all_sites_founder(
         bed.read_all_cpgs_in_reference(spark, bed_all_cpgs_in_reference),
         bed.read_meth_level(spark, bed_meth_count_unphased, "count", partitions=partitions),
         bed.read_meth_level(spark, bed_meth_model_unphased, "model", partitions=partitions),
     )
     mismatches = bed_het_site_mismatches and bed.read_bed_and_header(spark, bed_het_site_mismatches)
-    df = materialize(expand.flag_proximity(expand.attach_phased(sites, phased), mismatches or None), "all-cpgs")
+    df = counts.step(expand.flag_proximity(expand.attach_phased(sites, phased), mismatches or None), "all-cpgs")
+    counts.lost(expand.phased_outside(df, phased), "phased-not-in-sites")
     variants = vcf.read_joint_variants(spark, vcf_joint_called, uid, partitions=partitions)
-    return _finish(df, variants, ("",), qc.qc_founder(df), bed_out, source)
+    return _finish(df, variants, ("",), qc.qc_founder(df), bed_out, source, counts)
 
 
 def expand_to_all_cpgs_trio(
@@ -105,7 +108,8 @@ def expand_to_all_cpgs_trio(
     """
     source = f"{expand_to_all_cpgs_trio.__name__} with args {_shown(locals())}"
     ids = {"kid": kid_id, "dad": dad_id, "mom": mom_id}
-    sites = materialize(
+    counts = Counts()
+    sites = counts.step(
         expand.all_sites_trio(
             bed.read_all_cpgs_in_reference(spark, bed_all_cpgs_in_reference),
             {
@@ -124,9 +128,10 @@ def expand_to_all_cpgs_trio(
     df = expand.attach_phased(sites, phased)
     for side, path in (("_pat", bed_het_site_mismatches_pat), ("_mat", bed_het_site_mismatches_mat)):
         df = expand.flag_proximity(df, bed.read_bed_and_header(spark, path), side)
-    df = materialize(df, "trio-all-cpgs")
+    df = counts.step(df, "trio-all-cpgs")
+    counts.lost(expand.phased_outside(df, phased), "phased-not-in-sites")
     variants = vcf.read_joint_variants(spark, vcf_joint_called, ids, partitions=partitions)
-    return _finish(df, variants, MEMBERS, qc.qc_trio(df), bed_out, source)
+    return _finish(df, variants, MEMBERS, qc.qc_trio(df), bed_out, source, counts)
 
 
 def _shown(arguments: dict) -> dict:

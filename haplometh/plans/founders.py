@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 from haplometh.operators import hapmap, methylation, phasing
 from haplometh.operators.intervals import mean_width_bin
 from haplometh.operators.ordering import version_sort
+from haplometh.plans.counts import Counts
 from haplometh.sinks import text
-from haplometh.sinks.clustered import write_clustered
 from haplometh.sources import bed, blocks, vcf
-from haplometh.storage import materialize
 
 
 @dataclass(frozen=True)
@@ -24,6 +23,8 @@ class FounderPhasing:
     sites: DataFrame
     mismatches: DataFrame
     methylation: DataFrame
+    #: rows and columns by stage
+    counts: dict[str, dict[str, int]] = field(default_factory=dict)
 
 
 def phase_meth_to_founder_haps(
@@ -43,9 +44,9 @@ def phase_meth_to_founder_haps(
     Writes the hap map (whole, and per parent), mismatch sites (BED and VCF),
     the phased table as BED and as Parquet, and one bedGraph track per parent and mode.
     """
-    out = output_dir.rstrip("/")
+    out, counts = output_dir.rstrip("/"), Counts()
     iht_blocks = blocks.read_inheritance_blocks(spark, txt_iht_blocks, uid)
-    snvs = materialize(
+    snvs = counts.step(
         phasing.founder_phasing(
             vcf.read_read_phasing(spark, vcf_read_phased, partitions=partitions),
             blocks.read_read_phase_blocks(spark, tsv_read_phase_blocks),
@@ -56,8 +57,8 @@ def phase_meth_to_founder_haps(
         "founder-snvs",
     )
     spec = hapmap.founder_spec()
-    hap_map = materialize(hapmap.hap_map(snvs, spec), "founder-hap-map")
-    mismatches = materialize(hapmap.mismatch_sites(snvs, spec), "founder-mismatches")
+    hap_map = counts.step(hapmap.hap_map(snvs, spec), "founder-hap-map")
+    mismatches = counts.step(hapmap.mismatch_sites(snvs, spec), "founder-mismatches")
     for parental in ("paternal", "maternal"):
         text.write_hap_map_blocks(hap_map, out, uid, parental)
     text.write_bed(hap_map.orderBy("chrom", "start", "end"), out, f"{uid}.hap-map-blocks")
@@ -71,9 +72,9 @@ def phase_meth_to_founder_haps(
         files, hap_map, bin_size=mean_width_bin(hap_map)
     )
     table = f"{out}/{uid}.dna-methylation.parquet"
-    write_clustered(phased, table)
+    counts.clustered(phased, "founder-methylation", table)
     phased = spark.read.schema(phased.schema).parquet(table)
     text.write_bed(version_sort(phased), out, f"{uid}.dna-methylation")
     text.write_tracks(text.tracks(phased, text.founder_track_columns()), f"{out}/{uid}.dna-methylation.tracks")
-    return FounderPhasing(hap_map, hapmap.het_sites(snvs), mismatches, phased)
+    return FounderPhasing(hap_map, hapmap.het_sites(snvs), mismatches, phased, counts)
 

@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 from haplometh.operators import hapmap, methylation, phasing
 from haplometh.operators.intervals import mean_width_bin
 from haplometh.operators.ordering import version_sort
+from haplometh.plans.counts import Counts
 from haplometh.sinks import text
-from haplometh.sinks.clustered import write_clustered
 from haplometh.sources import bed, blocks, vcf
-from haplometh.storage import materialize
 
 
 @dataclass(frozen=True)
@@ -23,6 +22,8 @@ class ParentPhasing:
     hap_maps: dict[str, DataFrame]
     mismatches: dict[str, DataFrame]
     methylation: DataFrame
+    #: rows and columns by stage
+    counts: dict[str, dict[str, int]] = field(default_factory=dict)
 
 
 def phase_meth_to_parent_haps(
@@ -38,7 +39,7 @@ def phase_meth_to_parent_haps(
     partitions: int | None = None,
 ) -> ParentPhasing:
     """``block_files`` by member, ``beds`` the twelve pileup files by ``(member, mode, haplotype)``."""
-    out = output_dir.rstrip("/")
+    out, counts = output_dir.rstrip("/"), Counts()
     ids = {"kid": kid_id, "dad": dad_id, "mom": mom_id}
     bounds = {m: blocks.read_phase_blocks(spark, block_files[m], uid) for m, uid in ids.items()}
     pairs = dict(zip(("dad", "mom"), vcf.read_trio_pairs(spark, vcf_phased, kid_id, dad_id, mom_id)))
@@ -46,13 +47,13 @@ def phase_meth_to_parent_haps(
 
     maps, mismatches = {}, {}
     for side, parent in (("pat", "dad"), ("mat", "mom")):
-        snvs = materialize(
+        snvs = counts.step(
             phasing.parent_phasing(pairs[parent], bounds["kid"], bounds[parent], parent, bin_size=bin_size),
             f"{parent}-snvs",
         )
         spec = hapmap.parent_spec(parent)
-        maps[side] = materialize(hapmap.hap_map(snvs, spec), f"{parent}-hap-map")
-        mismatches[side] = materialize(hapmap.mismatch_sites(snvs, spec), f"{parent}-mismatches")
+        maps[side] = counts.step(hapmap.hap_map(snvs, spec), f"{parent}-hap-map")
+        mismatches[side] = counts.step(hapmap.mismatch_sites(snvs, spec), f"{parent}-mismatches")
         text.write_hap_map_blocks(maps[side], out, kid_id, f"{side}ernal")
         text.write_mismatches(mismatches[side], out, kid_id, f"{side}ernal")
 
@@ -66,8 +67,8 @@ def phase_meth_to_parent_haps(
         bin_size=mean_width_bin(maps["pat"]),
     )
     table = f"{out}/trio.dna-methylation.parquet"
-    write_clustered(phased, table)
+    counts.clustered(phased, "trio-methylation", table)
     phased = spark.read.schema(phased.schema).parquet(table)
     text.write_bed(version_sort(phased), out, "trio.dna-methylation")
     text.write_tracks(text.tracks(phased, text.trio_track_columns(ids)), f"{out}/trio.dna-methylation.tracks")
-    return ParentPhasing(maps, mismatches, phased)
+    return ParentPhasing(maps, mismatches, phased, counts)

@@ -65,6 +65,8 @@ def test_founder_and_expansion_jobs(spark, rows, folder):
     job = founder_job(spark, folder)
     assert rows(job.hap_map) == [("chr1", 100, 300, "A_hap2", "E_hap1", 0.75, 4)]
     assert rows(job.mismatches) == [("chr1", 130, 131, "A", "C")] and job.sites.count() == 4
+    assert {stage: n["rows"] for stage, n in job.counts.items()} == {"founder-snvs": 4, "founder-hap-map": 1, "founder-mismatches": 1, "founder-methylation": 4}
+    assert job.counts["founder-hap-map"]["columns"] == 7
     levels = rows(job.methylation, "start", "methylation_level_pat_count", "methylation_level_mat_model", "total_read_count_pat")
     assert levels == [(105, 0.1, 0.5, 6), (150, None, 0.75, None), (160, 0.3, None, 3), (900, None, None, None)]
 
@@ -97,6 +99,7 @@ def test_founder_and_expansion_jobs(spark, rows, folder):
         **common,
     )
     assert len(done.table.columns) == 22
+    assert {stage: n["rows"] for stage, n in done.counts.items()} == {"all-cpgs": 6, "phased-not-in-sites": 0, "expanded": 6}
     flags = ("start_cpg", "cpg_is_within_50bp_of_mismatch_site", "cpg_overlaps_at_least_one_snv", "snv_genotypes", "cpg_is_allele_specific")
     assert rows(done.table, *flags) == [
         (5, None, False, ".", False),
@@ -109,6 +112,10 @@ def test_founder_and_expansion_jobs(spark, rows, folder):
     fractions = {r.metric: r.fraction for r in done.qc.collect()}
     assert fractions["within_50bp_of_mismatch"] == 3 / 5 and fractions["count_unphased"] == 4 / 5
 
+    fewer = common | {"bed_meth_count_unphased": folder.pileup("cf.bed", "count", {105: (30.0, 14)}), "bed_meth_model_unphased": folder.pileup("mf.bed", "model", {105: (30.0, 14)})}
+    lost = expansion.expand_to_all_cpgs(spark, bed_meth_founder_phased=str(out / "kid.dna-methylation.bed"), **fewer)
+    assert lost.counts["phased-not-in-sites"] == {"rows": 3, "columns": 3}  # 150, 160 and 900
+
     plain = expansion.expand_to_all_cpgs(spark, bed_meth_founder_phased=str(out / "kid.dna-methylation.bed"), **common)
     assert not any(r[0] for r in rows(plain.table, "cpg_is_within_50bp_of_mismatch_site"))
     assert expansion.expand_to_all_cpgs(spark, bed_meth_founder_phased=str(folder.root / "none.bed"), **common) is None
@@ -143,6 +150,9 @@ def test_parent_and_expansion_jobs(spark, rows, folder):
     assert rows(job.hap_maps["mat"]) == [("chr1", 90, 398, "C", 1.0, 4)]
     assert rows(job.mismatches["pat"], "start") == [(130,)] and job.mismatches["mat"].count() == 0
     assert len(job.methylation.columns) == 3 + 18 + 10
+    assert {stage: n["rows"] for stage, n in job.counts.items()} == {
+        "dad-snvs": 4, "dad-hap-map": 1, "dad-mismatches": 1, "mom-snvs": 4, "mom-hap-map": 1, "mom-mismatches": 0, "trio-methylation": 4
+    }
     values = rows(job.methylation, "start", "methylation_level_kid_pat_count", "total_read_count_mom_D", "paternal_haplotype")
     assert values == [(105, 0.5, 6, "B"), (150, 0.75, None, "B"), (160, None, 3, "B"), (900, None, None, None)]
     tracks = [p for p in (out / "trio.dna-methylation.tracks").iterdir() if p.name.startswith("track=")]
