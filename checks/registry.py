@@ -273,6 +273,17 @@ for _parent, _side in (("dad", "pat"), ("mom", "mat")):
         return dict(zip(("dad", "mom"), pairs))[parent]
 
 
+for _parent, _names in {"dad": "dad_allele_A, dad_allele_B, kid_allele_pat", "mom": "mom_allele_C, mom_allele_D, kid_allele_mat"}.items():
+
+    @register(f"s8_trio_file_{_parent}", f"SELECT {o.OUT_SNV}, {_names} FROM o_pairs_{_parent}")
+    def s8_file(spark, folder, parent=_parent):
+        """Through a variant file that is scanned once for both parents."""
+        calls = Inputs(spark, folder).trio_calls()
+        path = scratch(spark, "trio.vcf")
+        text.write_lines(calls, path, [text.VCF_FORMAT_LINE, "\t".join(calls.columns)], {"name": F.col("`#CHROM`"), "at": F.col("POS").cast("bigint")})
+        return dict(zip(("dad", "mom"), vcf.read_trio_pairs(spark, path, *MEMBERS)))[parent]
+
+
 @register("s9_joint_variants", f"SELECT {o.OUT_SITE}, allele_1, allele_2 FROM o_variants")
 def s9(spark, folder):
     return vcf.joint_variants(through_lines(Inputs(spark, folder).joint_calls()), {"": "kid"})

@@ -42,7 +42,7 @@ def phase_meth_to_parent_haps(
     out, counts = output_dir.rstrip("/"), Counts()
     ids = {"kid": kid_id, "dad": dad_id, "mom": mom_id}
     bounds = {m: blocks.read_phase_blocks(spark, block_files[m], uid) for m, uid in ids.items()}
-    pairs = dict(zip(("dad", "mom"), vcf.read_trio_pairs(spark, vcf_phased, kid_id, dad_id, mom_id)))
+    pairs = dict(zip(("dad", "mom"), vcf.read_trio_pairs(spark, vcf_phased, kid_id, dad_id, mom_id, partitions=partitions)))
     bin_size = mean_width_bin(bounds["kid"])
 
     maps, mismatches = {}, {}

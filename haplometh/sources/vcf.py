@@ -22,6 +22,7 @@ from haplometh.functions.genotypes import (
     phase_block_id,
 )
 from haplometh.sources.lines import distinct_lines, read_lines, records, required, spread
+from haplometh.storage import materialize
 
 # The columns of a variant file before its samples.
 FIXED_COLUMNS = ("#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT")
@@ -186,6 +187,26 @@ def trio_pairs(variants: DataFrame, kid: str, dad: str, mom: str) -> tuple[DataF
     )
 
 
+# The names of a pair's kid, first and second parent allele.
+PAIR_COLUMNS = {
+    "dad": ("kid_allele_pat", "dad_allele_A", "dad_allele_B"),
+    "mom": ("kid_allele_mat", "mom_allele_C", "mom_allele_D"),
+}
+
+
+def tagged_trio_pairs(variants: DataFrame, kid: str, dad: str, mom: str) -> DataFrame:
+    """The rows of both tables of :func:`trio_pairs` from one pass, told apart by ``parent``."""
+    parsed = _with_genotypes(variants, {"kid": kid, "dad": dad, "mom": mom})
+
+    def side(parent: str, known: str, allele_of_kid: Column) -> Column:
+        alleles = zip(("kid_allele", "first", "second"), (allele_of_kid, _first(parent), _second(parent)))
+        pair = F.struct(F.lit(parent).alias("parent"), *[c.alias(n) for n, c in alleles])
+        return F.when(F.col(f"gt_{parent}").isin(*PHASED_HET) & F.col("gt_kid").rlike(known), pair)
+
+    sides = F.array(side("dad", FIRST_KNOWN, _first("kid")), side("mom", SECOND_KNOWN, _second("kid")))
+    return parsed.select(*SITE_AND_ALLELES, F.inline(F.filter(sides, lambda s: s.isNotNull())))
+
+
 def joint_variants(variants: DataFrame, uids: Mapping[str, str], *, by: Sequence[str] = ()) -> DataFrame:
     """SNVs, also multi-allelic ones, with allele indices per role.
 
@@ -216,9 +237,22 @@ def read_inheritance_phasing(
 
 
 def read_trio_pairs(
-    spark: SparkSession, path: str | list[str], kid: str, dad: str, mom: str
+    spark: SparkSession, path: str | list[str], kid: str, dad: str, mom: str, *, partitions: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    return trio_pairs(read_variants(spark, path), kid, dad, mom)
+    """Both tables of :func:`trio_pairs`, the file scanned and parsed once.
+
+    The tagged rows are written once, a partition a parent, and each table
+    reads its own partition.
+    """
+    rows = spread(tagged_trio_pairs(read_variants(spark, path), kid, dad, mom), partitions)
+    staged = materialize(rows, "trio-pairs", by=("parent",))
+    dad_pairs, mom_pairs = (
+        staged.filter(F.col("parent") == parent).select(
+            *SITE_AND_ALLELES, *[F.col(c).alias(n) for c, n in zip(("kid_allele", "first", "second"), names)]
+        )
+        for parent, names in PAIR_COLUMNS.items()
+    )
+    return dad_pairs, mom_pairs
 
 
 def read_joint_variants(

@@ -335,3 +335,19 @@ def test_first_match_of_the_last_line_counts(spark, rows, put, tmp_path):
     name = "/{}.dna-methylation.founder-phased.all_cpgs.bed"
     put("c.log", ["old " + name.format("Z9"), "in " + name.format("A1") + " and " + name.format("B2"), "share: 5.00%", "share: 10.00% or share: 20.00%", "end"])
     assert rows(reports.read_percentages(spark, str(tmp_path / "c.log"), "share")) == [("A1", 10.0)]
+
+
+def test_trio_pairs_scan_their_file_once(spark, rows, tmp_path):
+    """The tagged rows are those of both tables; the file is read in one scan, each table reads one partition."""
+    calls = [("0|1", "1|0", "0/1"), ("1|0", "./.", "1|0"), ("1/1", "0|1", "0|1"), ("0/1", "0|1", "1|0"), (".|1", "0|1", "0|1"), ("0|0", "1|1", "0/0")]
+    body = ["\t".join(["chr1", str(10 + i), ".", "A", "C", ".", ".", ".", "GT", *c]) for i, c in enumerate(calls)]
+    path = tmp_path / "trio.vcf"
+    path.write_text("\n".join(["##fileformat=VCFv4.2", "\t".join([*vcf.FIXED_COLUMNS, "K", "D", "M"]), *body]) + "\n")
+    variants = vcf.read_variants(spark, str(path))
+    plan = vcf.tagged_trio_pairs(variants, "K", "D", "M")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    apart = vcf.trio_pairs(variants, "K", "D", "M")
+    staged = vcf.read_trio_pairs(spark, str(path), "K", "D", "M", partitions=2)
+    for one, other in zip(staged, apart):
+        assert one.columns == other.columns and rows(one) == rows(other) and one.count() > 0
+        assert "PartitionFilters: [isnotnull(parent" in one._jdf.queryExecution().executedPlan().toString()
