@@ -455,11 +455,33 @@ def k5(spark, folder):
 
 @register(
     "k6_hap_map_blocks",
-    f"SELECT {o.OUT_SITE}, paternal_haplotype FROM o_hap_map",
+    " UNION ALL ".join(f"SELECT {o.OUT_SITE}, {p}_haplotype AS haplotype, '{p}' AS parent FROM o_hap_map" for p in ("paternal", "maternal")),
 )
 def k6(spark, folder):
-    path = text.write_hap_map_blocks(Inputs(spark, folder).hap_map(), scratch(spark, "blocks"), "kid", "paternal")
-    return bed.read_bed_and_header(spark, path)
+    """Both parents' block files, read back."""
+    blocks_of, root = Inputs(spark, folder, staged=True).hap_map(), scratch(spark, "blocks")
+    sides = []
+    for parental in ("paternal", "maternal"):
+        path = text.write_hap_map_blocks(blocks_of, root, "kid", parental)
+        back = bed.read_bed_and_header(spark, path).withColumnRenamed(f"{parental}_haplotype", "haplotype")
+        sides.append(back.withColumn("parent", F.lit(parental)))
+    return sides[0].unionByName(sides[1])
+
+
+@register(
+    "k4_mismatch_files",
+    " UNION ALL ".join(
+        f"SELECT {o.OUT_SNV}, '{parental}' AS parental FROM o_mismatch_{side}" for side, parental in (("pat", "paternal"), ("mat", "maternal"))
+    ),
+)
+def k4(spark, folder):
+    """Each parent's mismatch sites through the files the trio job writes."""
+    i, root = Inputs(spark, folder, staged=True), scratch(spark, "mismatches")
+    sides = []
+    for parent, parental in (("dad", "paternal"), ("mom", "maternal")):
+        path = text.write_mismatches(i.parent_mismatches(parent), root, "kid", parental)
+        sides.append(bed.read_bed_and_header(spark, path).withColumn("parental", F.lit(parental)))
+    return sides[0].unionByName(sides[1])
 
 
 def _union_tracks(source: str, columns: dict[str, str]) -> str:

@@ -50,11 +50,11 @@ SELECT chrom, min(start_) - 5 AS start_, max(end_) + 5 AS end_,
 FROM fx_snv GROUP BY chrom, CAST(floor((start_ + 10000)/30000.0) AS BIGINT)"""
 
 VIEWS["fx_variant"] = """
-SELECT chrom, start_, end_, ref, alt, gt_raw FROM fx_snv WHERE length(ref) = 1
+SELECT chrom, start_, end_, ref, alt, gt_raw FROM fx_snv
 UNION ALL
 SELECT chrom, CASE WHEN (start_ % 50) % 7 = 0 THEN start_ + 1 ELSE start_ - 1 END AS start_,
        CASE WHEN (start_ % 50) % 7 = 0 THEN end_ + 1 ELSE end_ - 1 END AS end_, ref, alt, '1|1:9:9' AS gt_raw
-FROM fx_snv WHERE length(ref) = 1 AND start_ % 3 = 0"""
+FROM fx_snv WHERE start_ % 3 = 0"""
 
 VIEWS["fx_mismatch"] = """
 SELECT chrom, start_, end_ FROM fx_snv
