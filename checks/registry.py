@@ -12,7 +12,7 @@ from checks import oracle as o
 from checks.views import spark_view, table
 from haplometh.functions import chroms, genotypes
 from haplometh.functions import methylation as mfn
-from haplometh.operators import expand, hapmap, intervals, joins, methylation, ordering, phasing, qc
+from haplometh.operators import expand, hapmap, inspection, intervals, joins, methylation, ordering, phasing, qc
 from haplometh.plans import cohort as cohort_jobs
 from haplometh.sinks import clustered as clustered_sink
 from haplometh.sinks import text
@@ -636,7 +636,34 @@ def p16(spark, folder):
 
 @register("p17_discordant_blocks", o.renamed("o_hap_map") + " WHERE haplotype_concordance < 1.0")
 def p17(spark, folder):
-    return Inputs(spark, folder).hap_map().filter(F.col("haplotype_concordance") < 1.0)
+    return inspection.discordant_blocks(Inputs(spark, folder).hap_map())
+
+
+@register("p17_outside_blocks", o.renamed("o_founder") + " WHERE start_hap_map_block IS NULL")
+def p17_outside(spark, folder):
+    return inspection.outside_blocks(Inputs(spark, folder).founder())
+
+
+@register(
+    "p17_partly_phased",
+    o.renamed("o_founder")
+    + """ WHERE start_hap_map_block IS NOT NULL
+        AND ((methylation_level_pat_count IS NULL) <> (methylation_level_mat_count IS NULL)
+          OR (methylation_level_pat_model IS NULL) <> (methylation_level_mat_model IS NULL))""",
+)
+def p17_partly(spark, folder):
+    return inspection.partly_phased(Inputs(spark, folder).founder())
+
+
+@register(
+    "p17_unknown_flag",
+    f"SELECT {o.OUT_SITE} FROM fx_cpg WHERE chrom NOT IN (SELECT chrom FROM fx_mismatch)",
+)
+def p17_unknown(spark, folder):
+    """CpGs of chromosomes that hold no mismatch site."""
+    i = Inputs(spark, folder)
+    near = expand.flag_proximity(i.view("fx_cpg"), i.view("fx_mismatch"))
+    return inspection.of_unknown_flag(near, expand.proximity_flag()).select("chrom", "start", "end")
 
 
 o.CTES["o_flagged_fx"] = o.flagged(
@@ -650,8 +677,7 @@ o.CTES["o_flagged_fx"] = o.flagged(
 def p17_pattern(spark, folder):
     i = Inputs(spark, folder)
     flagged = expand.flag_allele_specific(i.view("fx_cpg"), i.variants())
-    pattern = F.col("snv_genotypes")
-    return flagged.filter(pattern.contains("het,") | pattern.contains(",het"))
+    return inspection.het_beside_others(flagged)
 
 
 @register(

@@ -16,13 +16,16 @@ def founder_of(label: Column) -> Column:
     return F.split_part(label, F.lit("_"), F.lit(1))
 
 
+#: How many of two haplotype levels must be present.
+LEVELS_NEEDED = {"any": 1, "all": 2}
+
+
 def level_is_reported(first: Column, second: Column, logic: str) -> Column:
     """Whether any or all of two haplotype levels are present."""
-    if logic == "any":
-        return first.isNotNull() | second.isNotNull()
-    if logic == "all":
-        return first.isNotNull() & second.isNotNull()
-    raise ValueError("logic must be 'any' or 'all'")
+    if logic not in LEVELS_NEEDED:
+        raise ValueError(f"logic must be one of {list(LEVELS_NEEDED)}")
+    present = first.isNotNull().cast("int") + second.isNotNull().cast("int")
+    return present >= LEVELS_NEEDED[logic]
 
 
 def locus(chrom: str = "chrom", start: str = "start_cpg", end: str = "end_cpg") -> Column:
