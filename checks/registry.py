@@ -289,6 +289,29 @@ def s9(spark, folder):
     return vcf.joint_variants(through_lines(Inputs(spark, folder).joint_calls()), {"": "kid"})
 
 
+_DAMAGED_POS = "CASE WHEN start_ % 11 = 0 THEN 'x' ELSE '' END || (start_ + 1)"
+_DAMAGED_TAIL = "CASE WHEN start_ % 13 = 0 THEN '' ELSE chr(9) || gt_raw END"
+
+
+@register(
+    "s9_damaged_rows",
+    f"""SELECT CASE WHEN start_ % 11 = 0 THEN 'no whole-number position' ELSE '9 fields, not 10' END AS reason, start_ % 11 = 0 AS left_out,
+        concat_ws(chr(9), chrom, {_DAMAGED_POS}, '.', ref, alt, '.', '.', '.', 'GT:AD:DP') || {_DAMAGED_TAIL} AS line
+        FROM fx_variant WHERE start_ % 11 = 0 OR start_ % 13 = 0""",
+)
+def s9_damaged(spark, folder):
+    """A file with bad positions and missing fields; what the tolerant reader passes over."""
+    calls = Inputs(spark, folder).joint_calls()
+    end = F.col("POS").cast("bigint")
+    broken = calls.withColumn("POS", F.when((end - 1) % 11 == 0, F.concat(F.lit("x"), "POS")).otherwise(F.col("POS")))
+    whole = F.concat_ws("\t", *[F.col(f"`{c}`") for c in broken.columns])
+    short = F.concat_ws("\t", *[F.col(f"`{c}`") for c in broken.columns[:-1]])
+    lines = broken.select(F.when((F.regexp_replace("POS", "x", "").cast("bigint") - 1) % 13 == 0, short).otherwise(whole).alias("line"))
+    path = scratch(spark, "damaged.vcf")
+    text.write_lines(lines, path, [text.VCF_FORMAT_LINE, "\t".join(calls.columns)], {"at": F.col("line")})
+    return vcf.read_damaged_variants(spark, path).drop("file")
+
+
 @register("s10_joint_variants_trio", o.renamed("o_variants_trio"))
 def s10(spark, folder):
     return vcf.joint_variants(through_lines(Inputs(spark, folder).trio_calls()), {m: m for m in MEMBERS})

@@ -66,9 +66,14 @@ def expand_to_all_cpgs(
     vcf_joint_called: str | list[str],
     bed_out: str,
     bed_het_site_mismatches: str | None = None,
+    damaged_variants_out: str | None = None,
     partitions: int | None = None,
 ) -> Expansion | None:
-    """The 22-column table of one sample and its QC; None when there is no phased input."""
+    """The 22-column table of one sample and its QC; None when there is no phased input.
+
+    Damaged rows of the variant files are passed over; with
+    ``damaged_variants_out`` they are written there, one scan more, and counted.
+    """
     source = f"{expand_to_all_cpgs.__name__} with args {_shown(locals())}"
     phased = _phased_or_none(spark, bed_meth_founder_phased)
     if phased is None:
@@ -82,6 +87,8 @@ def expand_to_all_cpgs(
     mismatches = bed_het_site_mismatches and bed.read_bed_and_header(spark, bed_het_site_mismatches)
     df = counts.step(expand.flag_proximity(expand.attach_phased(sites, phased), mismatches or None), "all-cpgs")
     counts.lost(expand.phased_outside(df, phased), "phased-not-in-sites")
+    if damaged_variants_out:
+        _set_aside(spark, vcf_joint_called, damaged_variants_out, counts)
     variants = vcf.read_joint_variants(spark, vcf_joint_called, uid, partitions=partitions)
     return _finish(df, variants, ("",), qc.qc_founder(df), bed_out, source, counts)
 
@@ -100,6 +107,7 @@ def expand_to_all_cpgs_trio(
     vcf_joint_called: str | list[str],
     bed_out: str,
     output_dir: str,
+    damaged_variants_out: str | None = None,
     partitions: int | None = None,
 ) -> Expansion | None:
     """The 49-column table of a trio and its QC; ``beds_unphased`` by ``(member, mode)``.
@@ -130,10 +138,19 @@ def expand_to_all_cpgs_trio(
         df = expand.flag_proximity(df, bed.read_bed_and_header(spark, path), side)
     df = counts.step(df, "trio-all-cpgs")
     counts.lost(expand.phased_outside(df, phased), "phased-not-in-sites")
+    if damaged_variants_out:
+        _set_aside(spark, vcf_joint_called, damaged_variants_out, counts)
     variants = vcf.read_joint_variants(spark, vcf_joint_called, ids, partitions=partitions)
     return _finish(df, variants, MEMBERS, qc.qc_trio(df), bed_out, source, counts)
 
 
+def _set_aside(spark: SparkSession, path: str | list[str], out: str, counts: Counts) -> None:
+    """Write the damaged rows of variant files, and count them."""
+    vcf.read_damaged_variants(spark, path).write.mode("overwrite").parquet(out)
+    written = spark.read.parquet(out)
+    counts["damaged-variants"] = {"rows": written.count(), "columns": len(written.columns)}
+
+
 def _shown(arguments: dict) -> dict:
     return {k: v for k, v in arguments.items() if k != "spark"}
 

@@ -43,18 +43,41 @@ def sample_names(variants: DataFrame, by: Sequence[str] = ()) -> list[str]:
     return variants.columns[len(by) + len(FIXED_COLUMNS) :]
 
 
-def read_variants(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Variant files as one string column per field; only the columns used later are parsed."""
+def _columns_of(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """The columns that all of the files share."""
     headers = distinct_lines(read_lines(spark, path), FIXED_COLUMNS[0])
     if not headers:
         raise SampleError(f"{path} has no {FIXED_COLUMNS[0]} line")
     if len(headers) > 1:
         raise SampleError(f"the files of {path} have different samples or orders of samples; read them apart")
-    names = column_names(headers[0])
+    return column_names(headers[0])
+
+
+def read_variants(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Variant files as one string column per field; only the columns used later are parsed."""
+    names = _columns_of(spark, path)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     return spark.read.csv(path, sep="\t", comment="#", quote="", schema=schema, maxColumns=len(names) + 1)
 
 
+def read_damaged_variants(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Rows that a tolerant reader passes over: ``file``, ``reason``, ``left_out`` and the ``line`` itself.
+
+    Such a reader (``read_joint_variants``) leaves out rows without a
+    whole-number position, and keeps rows with missing or surplus fields, whose
+    missing values are null.
+    """
+    names = _columns_of(spark, path)
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    fields = records(lines).select("file", "value", F.split("value", "\t").alias("f"))
+    position = F.get("f", F.lit(names.index("POS"))).try_cast("bigint")
+    reason = F.when(position.isNull(), "no whole-number position").when(
+        F.size("f") != len(names), F.format_string(f"%d fields, not {len(names)}", F.size("f"))
+    )
+    damaged = fields.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+    return damaged.select("file", "reason", position.isNull().alias("left_out"), F.col("value").alias("line"))
+
+
 def variants_from_lines(lines: DataFrame, header: str) -> DataFrame:
     """The same columns from lines in a ``value`` column."""
     fields = records(lines).select(F.split("value", "\t").alias("f"))

@@ -116,6 +116,14 @@ def test_founder_and_expansion_jobs(spark, rows, folder):
     lost = expansion.expand_to_all_cpgs(spark, bed_meth_founder_phased=str(out / "kid.dna-methylation.bed"), **fewer)
     assert lost.counts["phased-not-in-sites"] == {"rows": 3, "columns": 3}  # 150, 160 and 900
 
+    damaged = folder.put("damaged.vcf", [*open(common["vcf_joint_called"]).read().splitlines(), "chr1\tx\t.\tA\tC\t.\t.\t.\tGT\t0/1", "chr1\t151\t.\tA\tC\t.\t.\t.\tGT"])
+    aside = str(folder.root / "aside.parquet")
+    again = expansion.expand_to_all_cpgs(
+        spark, bed_meth_founder_phased=str(out / "kid.dna-methylation.bed"), damaged_variants_out=aside, **(common | {"vcf_joint_called": damaged})
+    )
+    assert again.counts["damaged-variants"]["rows"] == 2
+    assert rows(spark.read.parquet(aside), "reason", "left_out") == [("9 fields, not 10", False), ("no whole-number position", True)]
+
     plain = expansion.expand_to_all_cpgs(spark, bed_meth_founder_phased=str(out / "kid.dna-methylation.bed"), **common)
     assert not any(r[0] for r in rows(plain.table, "cpg_is_within_50bp_of_mismatch_site"))
     assert expansion.expand_to_all_cpgs(spark, bed_meth_founder_phased=str(folder.root / "none.bed"), **common) is None
