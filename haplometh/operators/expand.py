@@ -12,7 +12,7 @@ from haplometh.functions.genotypes import HET, UNKNOWN, genotype_class
 from haplometh.functions.methylation import locus
 from haplometh.keys import with_by
 from haplometh.operators.intervals import within_distance
-from haplometh.operators.joins import align_unique_sites, at_sites, full_outer
+from haplometh.operators.joins import align_unique_sites, at_sites, full_outer, heavy_keys, key_digest
 from haplometh.operators.methylation import MEMBERS, MODES, join_members
 from haplometh.storage import materialize
 
@@ -209,17 +209,44 @@ def _as_dinucleotides(df: DataFrame, cpg_columns: Sequence[str]) -> DataFrame:
     return df.withColumn("end", F.col("end") + 1).withColumnsRenamed(renames)
 
 
-def _with_copies(cpgs: DataFrame) -> DataFrame:
-    """Distinct CpG rows and how often each occurs; copies collapse before they are shuffled."""
-    return cpgs.groupBy(*cpgs.columns).agg(F.count(F.lit(1)).alias("__copies"))
+def _with_copies(cpgs: DataFrame, *, by: Sequence[str] = (), hot_keys: bool = False) -> DataFrame:
+    """Distinct CpG rows and how often each occurs, dealt by ``by``, ``chrom`` and ``start``.
 
-
-def repeats_sites(cpgs: DataFrame, *, by: Sequence[str] = ()) -> bool:
-    """Whether any site has more than one row (runs a job on the key columns alone)."""
-    return not cpgs.groupBy(*with_by(by)).count().filter("count > 1").isEmpty()
+    Equal rows share their site, so rows dealt by site are folded without a
+    second exchange, and a join on the same key (``_meet``) needs none either:
+    the wide side moves once. With ``hot_keys`` the sites that hold very many
+    rows are measured (``heavy_keys``, no shuffle), and copies at these, and
+    only these, collapse before they are dealt.
+    """
+    site = [*by, "chrom", "start"]
+    rows = cpgs.withColumn("__copies", F.lit(1).cast("bigint"))
+    heavy = heavy_keys(cpgs, cpgs.limit(0), site) if hot_keys else None
+    if heavy is not None:
+        few = F.broadcast(heavy.select("__key"))  # as many rows as heavy_keys reports at most
+        keyed = cpgs.withColumn("__key", key_digest(site))
+        folded = keyed.join(few, "__key", "left_semi").groupBy(*cpgs.columns).agg(F.count(F.lit(1)).alias("__copies"))
+        rows = keyed.join(few, "__key", "left_anti").drop("__key").withColumn("__copies", F.lit(1).cast("bigint")).unionByName(folded)
+    return rows.repartition(*site).groupBy(*cpgs.columns).agg(F.sum("__copies").alias("__copies"))
+
+
+def _meet(rows: DataFrame, hits: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
+    """CpG rows with what ``hits`` has for their start, nulls where there is nothing.
+
+    Hits belong to one-base sites. The end is no key of its own, so that rows
+    keep the partitioning of ``_with_copies``.
+    """
+    site = [*by, "chrom", "start"]
+    l, r = rows.alias("l"), hits.alias("r")
+    condition = F.col("l.end") == F.col("l.start") + 1
+    for key in site:
+        condition = condition & (F.col(f"l.{key}") == F.col(f"r.{key}"))
+    joined = l.join(r, condition, "left")
+    return joined.select("l.*", *[F.col(f"r.{c}") for c in hits.columns if c not in site])
 
 
-def label_with_variants(cpgs: DataFrame, variants: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
+def label_with_variants(
+    cpgs: DataFrame, variants: DataFrame, *, by: Sequence[str] = (), hot_keys: bool = False
+) -> DataFrame:
     """One row per CpG and overlapping SNV (one row with nulls when there is none).
 
     CpGs come out as CG dinucleotides ``start_cpg``, ``end_cpg``, with the
@@ -227,15 +254,15 @@ def label_with_variants(cpgs: DataFrame, variants: DataFrame, *, by: Sequence[st
     number of such rows over all rows with the same CpG columns. Equal variants
     of a site are counted first, so a site with very many records is a few rows:
     two positions, a few alleles each. They are summed up by site in the order
-    in which they meet the CpGs, with no exchange of its own.
+    in which they meet the CpGs, with no exchange of its own. The CpG rows move
+    once, also when :func:`label_allele_specific` follows in the same plan.
     """
-    site = with_by(by)
+    site = [*by, "chrom", "start"]
     alleles = [c for c in variants.columns if c.startswith("allele_")]
     hits = _at_dinucleotides(variants).select(
         *by,
         "chrom",
         F.col("__cpg").alias("start"),
-        (F.col("__cpg") + 1).alias("end"),
         F.col("start").alias("start_variant"),
         F.col("end").alias("end_variant"),
         *alleles,
@@ -246,8 +273,7 @@ def label_with_variants(cpgs: DataFrame, variants: DataFrame, *, by: Sequence[st
     number = (F.coalesce("__hits", F.lit(0)) * F.col("__copies")).cast("bigint")
     times = F.col("__copies") * F.coalesce("__n", F.lit(1))
     labelled = (
-        _with_copies(cpgs)
-        .join(counted, site, "left")
+        _meet(_with_copies(cpgs, by=by, hot_keys=hot_keys), counted, by=by)
         .withColumn("num_SNVs_overlapping_CG", number)
         .withColumn("__copy", F.explode(F.sequence(F.lit(1), times)))
         .select(*cpgs.columns, *variant, "num_SNVs_overlapping_CG")
@@ -322,7 +348,7 @@ def variant_profiles(variants: DataFrame, roles: Sequence[str] = ("",), *, by: S
     profile = F.array_sort(F.collect_list(F.struct(F.col("start").alias("start_variant"), *names, "__n")))
     return (
         _at_dinucleotides(counted)
-        .groupBy(*by, "chrom", F.col("__cpg").alias("start"), (F.col("__cpg") + 1).alias("end"))
+        .groupBy(*by, "chrom", F.col("__cpg").alias("start"))
         .agg(profile.alias("__profile"))
     )
 
@@ -333,16 +359,15 @@ def flag_allele_specific(
     roles: Sequence[str] = ("",),
     *,
     by: Sequence[str] = (),
-    merge_identical: bool = True,
+    hot_keys: bool = False,
 ) -> DataFrame:
     """Same table as labelling with variants and then grouping by CpG, with one join.
 
-    ``merge_identical`` folds fully identical CpG rows into one, each copy
-    listing its SNVs. It groups by all columns; a table without repeated sites
-    (see :func:`repeats_sites`) gives the same result faster without it.
+    Fully identical CpG rows become one, each copy listing its SNVs. The wide
+    rows are exchanged once, by site, whether or not sites repeat.
     """
-    rows = _with_copies(cpgs) if merge_identical else cpgs.withColumn("__copies", F.lit(1))
-    joined = rows.join(variant_profiles(variants, roles, by=by), with_by(by), "left")
+    rows = _with_copies(cpgs, by=by, hot_keys=hot_keys)
+    joined = _meet(rows, variant_profiles(variants, roles, by=by), by=by)
     wide = _as_dinucleotides(joined, cpgs.columns)
     columns = [c for c in wide.columns if c not in ("__copies", "__profile")]
     names = [f"__g{i}" for i in range(len(roles))]

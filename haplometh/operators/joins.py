@@ -54,7 +54,8 @@ def full_outer(
     return joined.select(*left.columns, *rest)
 
 
-def _digest(on: Sequence[str]) -> Column:
+def key_digest(on: Sequence[str]) -> Column:
+    """What ``heavy_keys`` knows a key by."""
     return F.xxhash64(*[F.col(c) for c in on])
 
 
@@ -69,7 +70,7 @@ def heavy_keys(left: DataFrame, right: DataFrame, on: Sequence[str], cell_rows:
 
     def counted(df: DataFrame) -> dict[int, int]:
         # a sketch must track more keys than it reports
-        top = df.select(_digest(on).alias("key")).agg(F.expr(f"approx_top_k(key, {MOST_HEAVY}, {COUNTED_KEYS})").alias("top"))
+        top = df.select(key_digest(on).alias("key")).agg(F.expr(f"approx_top_k(key, {MOST_HEAVY}, {COUNTED_KEYS})").alias("top"))
         return {r["item"]: r["count"] for r in top.collect()[0]["top"] if r["item"] is not None and r["count"] > most}
 
     found = counted(left), counted(right)
@@ -91,7 +92,7 @@ def _split_full_outer(left: DataFrame, right: DataFrame, on: Sequence[str], null
     rest = [c for c in right.columns if c not in on]
     plain, apart = [], []
     for df, own, other in ((left, "__left", "__right"), (right, "__right", "__left")):
-        keyed = df.withColumn("__key", _digest(on))
+        keyed = df.withColumn("__key", key_digest(on))
         plain.append(keyed.join(F.broadcast(heavy.select("__key")), "__key", "left_anti").drop("__key"))
         rows = keyed.join(F.broadcast(heavy), "__key")  # at most twice MOST_HEAVY rows
         drawn = F.pmod(F.monotonically_increasing_id(), F.col(own)).cast("int")

@@ -45,7 +45,7 @@ def _finish(
 ) -> Expansion:
     """Flag, then write the table as Parquet and as compressed BED, and its QC."""
     root = path.removesuffix(".bed")
-    flagged = expand.flag_allele_specific(df, variants, roles, merge_identical=expand.repeats_sites(df))
+    flagged = expand.flag_allele_specific(df, variants, roles, hot_keys=True)
     counts.clustered(flagged, "expanded", f"{root}.parquet", start="start_cpg", end="end_cpg")
     report.write.mode("overwrite").parquet(f"{root}.qc.parquet")
     spark = df.sparkSession
