@@ -767,6 +767,24 @@ def j4(spark, folder):
     return Inputs(spark, folder).founder_snvs()
 
 
+_MIXED_WIDTHS = """(SELECT chrom, start_ AS s, end_ AS e FROM fx_iht_block
+       UNION ALL SELECT chrom, min(start_) AS s, max(end_) AS e FROM fx_iht_block GROUP BY chrom)"""
+
+
+@register(
+    "j4_mixed_widths",
+    f"""SELECT r.chrom, r.start_ AS start, r.end_ AS "end", b.s AS start_block, b.e AS end_block
+        FROM fx_read r LEFT JOIN {_MIXED_WIDTHS} b ON r.chrom = b.chrom AND r.start_ < b.e AND b.s < r.end_""",
+)
+def j4_mixed(spark, folder):
+    """Blocks inside one that spans their chromosome, in bins that follow their bounds."""
+    i = Inputs(spark, folder)
+    small = i.view("fx_iht_block").select("chrom", "start", "end")
+    right = small.unionByName(small.groupBy("chrom").agg(F.min("start").alias("start"), F.max("end").alias("end")))
+    sites = i.view("fx_read").select("chrom", "start", "end")
+    return intervals.overlap_join(sites, right, "left", bin_size=intervals.adaptive_bins(right))
+
+
 for _parent in ("dad", "mom"):
 
     @register(

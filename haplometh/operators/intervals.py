@@ -9,15 +9,22 @@ the data density and not the chromosome size.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from haplometh.storage import materialize
+
 # Phase blocks reach from kilobases to megabases; one bin holds few of them.
 BLOCK_BIN = 1 << 17
 NEAREST_BIN = 1 << 14
 MASK_BITS = 64
+# Bits of a position inside a cell, the widest bin that adaptive_bins makes.
+CELL_BITS = 20
+# Block bounds of a cell for each of its bins.
+BOUNDS_A_BIN = 4
 
 
 def _bin(position: Column, size: int) -> Column:
@@ -31,6 +38,68 @@ def _checked_start(width: int) -> Column:
     return F.when(too_wide, F.raise_error(message).cast("bigint")).otherwise(F.col("start"))
 
 
+@dataclass(frozen=True)
+class Bins:
+    """Bins as narrow as blocks are dense: ``chrom``, ``__cell`` and the ``__bits`` of a position inside a bin.
+
+    Cells without a row are one bin each.
+    """
+
+    cells: DataFrame
+
+    def of(self, df: DataFrame, cell: str) -> DataFrame:
+        """``df`` with the ``__bits`` of the cells in a column."""
+        known = self.cells.withColumnRenamed("__cell", cell)
+        return df.join(known, ["chrom", cell], "left").withColumn("__bits", F.coalesce("__bits", F.lit(CELL_BITS)))
+
+
+def adaptive_bins(right: DataFrame, *, by: Sequence[str] = ()) -> Bins:
+    """Bins for blocks of mixed widths, also where one spans a chromosome and thousands lie inside it.
+
+    A cell of 2^20 bases is cut into a power of two of equal bins, at most one
+    for every ``BOUNDS_A_BIN`` block bounds in it, on average over the ``by``
+    groups. A block gets a copy more for every bin border inside it, so where
+    blocks lie ``d`` deep on average there are at most ``1 + d / 2`` copies of
+    a block, and one for each cell that it spans: long blocks are not copied
+    to bins that only short ones elsewhere need. Cells hold no ``by``: their
+    number is bounded by the genome's length. They are written, so Spark knows
+    their size when it joins them (a job on the block table).
+    """
+    bounds = right.filter(F.col("start") < F.col("end")).select(
+        "chrom", F.explode(F.array(F.col("start"), F.col("end") - 1)).alias("bound")
+    )
+    groups = max(right.select(*by).distinct().count(), 1) if by else 1
+    counted = bounds.groupBy("chrom", F.shiftright("bound", CELL_BITS).alias("__cell")).agg(F.count(F.lit(1)).alias("n"))
+    most = F.floor(F.col("n") / (BOUNDS_A_BIN * groups))
+    bits = CELL_BITS - F.least(F.length(F.bin(most)) - 1, F.lit(CELL_BITS))
+    cells = counted.select("chrom", "__cell", bits.cast("int").alias("__bits")).filter(F.col("__bits") < CELL_BITS)
+    return Bins(materialize(cells, "interval-cells"))
+
+
+def _binned_sites(left: DataFrame, start: Column, bins: int | Bins) -> DataFrame:
+    """Rows with the bin of their ``start``: a number for equal bins, else the bin's first base."""
+    if isinstance(bins, int):
+        return left.withColumn("__bin", _bin(start, bins))
+    placed = left.withColumn("__start", start).withColumn("__cell", F.shiftright("__start", CELL_BITS))
+    first = F.expr("shiftleft(shiftright(__start, __bits), __bits)")
+    return bins.of(placed, "__cell").withColumn("__bin", first).select(*left.columns, "__bin")
+
+
+def _binned_blocks(right: DataFrame, low: Column, high: Column, bins: int | Bins) -> DataFrame:
+    """A copy of each row for every bin between the positions ``low`` and ``high``."""
+    if isinstance(bins, int):
+        return right.withColumn("__bin", F.explode(F.sequence(_bin(low, bins), _bin(high, bins))))
+    spanned = F.sequence(F.shiftright("__low", CELL_BITS), F.shiftright("__high", CELL_BITS))
+    cells = right.withColumns({"__low": low, "__high": high}).withColumn("__cell", F.explode(spanned))
+    inside = {
+        "__low": F.greatest("__low", F.shiftleft("__cell", CELL_BITS)),
+        "__high": F.least("__high", F.shiftleft(F.col("__cell") + 1, CELL_BITS) - 1),
+    }
+    copies = F.explode(F.expr("sequence(shiftright(__low, __bits), shiftright(__high, __bits))"))
+    placed = bins.of(cells.withColumns(inside), "__cell").withColumn("__bin", copies)
+    return placed.withColumn("__bin", F.expr("shiftleft(__bin, __bits)")).select(*right.columns, "__bin")
+
+
 def overlap_join(
     left: DataFrame,
     right: DataFrame,
@@ -38,7 +107,7 @@ def overlap_join(
     *,
     suffix: str = "_block",
     by: Sequence[str] = (),
-    bin_size: int = BLOCK_BIN,
+    bin_size: int | Bins = BLOCK_BIN,
     left_width: int = 1,
 ) -> DataFrame:
     """Join narrow left intervals (sites, SNVs) to the right intervals they overlap.
@@ -53,18 +122,14 @@ def overlap_join(
     meaning, and the big left side is never copied. When the right side is
     below Spark's broadcast threshold the left side is not shuffled either;
     otherwise a hot bin is a skewed partition of an inner or left join, which
-    adaptive execution splits on the left side.
+    adaptive execution splits on the left side. Bins are equal, of ``bin_size``
+    bases, or follow the blocks (``adaptive_bins``).
     """
     s, e = f"start{suffix}", f"end{suffix}"
-    first = _bin(F.col(s) - (left_width - 1), bin_size)
-    last = _bin(F.col(e) - 1, bin_size)
-    binned = (
-        right.withColumnsRenamed({"start": s, "end": e})
-        .filter(F.col(s) < F.col(e))
-        .withColumn("__bin", F.explode(F.sequence(first, last)))
-    )
+    blocks = right.withColumnsRenamed({"start": s, "end": e}).filter(F.col(s) < F.col(e))
+    binned = _binned_blocks(blocks, F.col(s) - (left_width - 1), F.col(e) - 1, bin_size)
     on = [*by, "chrom", "__bin"]
-    keyed = left.withColumn("__bin", _bin(_checked_start(left_width), bin_size))
+    keyed = _binned_sites(left, _checked_start(left_width), bin_size)
     l, r = keyed.alias("l"), binned.alias("r")
     condition = (F.col("l.start") < F.col(f"r.{e}")) & (F.col(f"r.{s}") < F.col("l.end"))
     for key in on:
@@ -76,13 +141,6 @@ def overlap_join(
     return joined.select(*out)
 
 
-def mean_width_bin(right: DataFrame, smallest: int = 1 << 7, largest: int = 1 << 20) -> int:
-    """A bin size near the mean right width (one small aggregate; runs a job)."""
-    width = right.agg(F.avg(F.col("end") - F.col("start"))).first()[0] or smallest
-    size = 1 << max(int(width) - 1, 1).bit_length()
-    return min(max(size, smallest), largest)
-
-
 def within_distance(
     df: DataFrame,
     sites: DataFrame,

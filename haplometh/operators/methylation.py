@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from haplometh.functions.methylation import by_orientation, founder_of
 from haplometh.keys import SITE, with_by
-from haplometh.operators.intervals import BLOCK_BIN, overlap_join
+from haplometh.operators.intervals import BLOCK_BIN, Bins, overlap_join
 from haplometh.operators.joins import align_unique_sites, at_sites, full_outer
 from haplometh.storage import materialize
 
@@ -66,7 +66,7 @@ def _hap_map_columns(hap_map: DataFrame) -> DataFrame:
 
 
 def phase_to_founders(
-    meth: DataFrame, hap_map: DataFrame, *, by: Sequence[str] = (), bin_size: int = BLOCK_BIN
+    meth: DataFrame, hap_map: DataFrame, *, by: Sequence[str] = (), bin_size: int | Bins = BLOCK_BIN
 ) -> DataFrame:
     """Turn read haplotypes into paternal and maternal ones, keeping unphased sites.
 
@@ -100,7 +100,7 @@ def founder_phased_methylation(
     hap_map: DataFrame,
     *,
     by: Sequence[str] = (),
-    bin_size: int = BLOCK_BIN,
+    bin_size: int | Bins = BLOCK_BIN,
 ) -> DataFrame:
     """Same table as joining haplotypes, phasing each mode and combining the modes, in one pass.
 
@@ -131,7 +131,7 @@ def founder_phased_methylation(
 
 
 def _phased_in_one_pass(
-    aligned: DataFrame, names: Sequence[str], hap_map: DataFrame, *, by: Sequence[str], bin_size: int
+    aligned: DataFrame, names: Sequence[str], hap_map: DataFrame, *, by: Sequence[str], bin_size: int | Bins
 ) -> DataFrame:
     """Both modes of aligned sites on the hap map."""
     in_count = F.col("has_count_hap1") | F.col("has_count_hap2")
@@ -228,7 +228,7 @@ def phase_to_parents(
     mat_map: DataFrame,
     *,
     by: Sequence[str] = (),
-    bin_size: int = BLOCK_BIN,
+    bin_size: int | Bins = BLOCK_BIN,
 ) -> DataFrame:
     """Place trio sites in the paternal and maternal hap maps; values outside a map become null."""
     placed = trio

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haplometh.keys import SITE, with_by
-from haplometh.operators.intervals import BLOCK_BIN, overlap_join
+from haplometh.operators.intervals import BLOCK_BIN, Bins, overlap_join
 
 
 def attach_read_blocks(snvs: DataFrame, blocks: DataFrame, *, by: Sequence[str] = ()) -> DataFrame:
@@ -35,7 +35,7 @@ def join_phasings(read: DataFrame, inherited: DataFrame, *, by: Sequence[str] =
 
 
 def attach_inheritance_blocks(
-    snvs: DataFrame, blocks: DataFrame, *, by: Sequence[str] = (), bin_size: int = BLOCK_BIN
+    snvs: DataFrame, blocks: DataFrame, *, by: Sequence[str] = (), bin_size: int | Bins = BLOCK_BIN
 ) -> DataFrame:
     """SNVs with every inheritance block they overlap."""
     renamed = blocks.withColumnsRenamed(
@@ -51,7 +51,7 @@ def founder_phasing(
     inherited_blocks: DataFrame,
     *,
     by: Sequence[str] = (),
-    bin_size: int = BLOCK_BIN,
+    bin_size: int | Bins = BLOCK_BIN,
 ) -> DataFrame:
     """All SNVs with both phasings and both kinds of block."""
     both = join_phasings(attach_read_blocks(read, read_blocks, by=by), inherited, by=by)
@@ -60,7 +60,7 @@ def founder_phasing(
 
 
 def attach_blocks_by_position(
-    snvs: DataFrame, blocks: DataFrame, person: str, *, by: Sequence[str] = (), bin_size: int = BLOCK_BIN
+    snvs: DataFrame, blocks: DataFrame, person: str, *, by: Sequence[str] = (), bin_size: int | Bins = BLOCK_BIN
 ) -> DataFrame:
     """SNVs with one person's phase blocks, matched by position; nested blocks give several rows."""
     bounds = blocks.select(*by, "chrom", "start", "end")
@@ -74,7 +74,7 @@ def parent_phasing(
     parent: str,
     *,
     by: Sequence[str] = (),
-    bin_size: int = BLOCK_BIN,
+    bin_size: int | Bins = BLOCK_BIN,
 ) -> DataFrame:
     """Kid and parent alleles at the parent's het SNVs, inside phase blocks of both."""
     placed = attach_blocks_by_position(pairs, kid_blocks, "kid", by=by, bin_size=bin_size)

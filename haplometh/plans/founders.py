@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from haplometh.operators import hapmap, methylation, phasing
-from haplometh.operators.intervals import mean_width_bin
+from haplometh.operators.intervals import adaptive_bins
 from haplometh.operators.ordering import version_sort
 from haplometh.plans.counts import Counts
 from haplometh.sinks import text
@@ -52,7 +52,7 @@ def phase_meth_to_founder_haps(
             blocks.read_read_phase_blocks(spark, tsv_read_phase_blocks),
             vcf.read_inheritance_phasing(spark, vcf_iht_phased, uid, partitions=partitions),
             iht_blocks,
-            bin_size=mean_width_bin(iht_blocks),
+            bin_size=adaptive_bins(iht_blocks),
         ),
         "founder-snvs",
     )
@@ -69,7 +69,7 @@ def phase_meth_to_founder_haps(
         for (mode, hap), path in beds.items()
     }
     phased = methylation.founder_phased_methylation(
-        files, hap_map, bin_size=mean_width_bin(hap_map)
+        files, hap_map, bin_size=adaptive_bins(hap_map)
     )
     table = f"{out}/{uid}.dna-methylation.parquet"
     counts.clustered(phased, "founder-methylation", table)

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from haplometh.operators import hapmap, methylation, phasing
-from haplometh.operators.intervals import mean_width_bin
+from haplometh.operators.intervals import adaptive_bins
 from haplometh.operators.ordering import version_sort
 from haplometh.plans.counts import Counts
 from haplometh.sinks import text
@@ -43,7 +43,7 @@ def phase_meth_to_parent_haps(
     ids = {"kid": kid_id, "dad": dad_id, "mom": mom_id}
     bounds = {m: blocks.read_phase_blocks(spark, block_files[m], uid) for m, uid in ids.items()}
     pairs = dict(zip(("dad", "mom"), vcf.read_trio_pairs(spark, vcf_phased, kid_id, dad_id, mom_id, partitions=partitions)))
-    bin_size = mean_width_bin(bounds["kid"])
+    bin_size = adaptive_bins(bounds["kid"])
 
     maps, mismatches = {}, {}
     for side, parent in (("pat", "dad"), ("mat", "mom")):
@@ -64,7 +64,7 @@ def phase_meth_to_parent_haps(
         methylation.trio_methylation(files),
         maps["pat"],
         maps["mat"],
-        bin_size=mean_width_bin(maps["pat"]),
+        bin_size=adaptive_bins(maps["pat"]),
     )
     table = f"{out}/trio.dna-methylation.parquet"
     counts.clustered(phased, "trio-methylation", table)

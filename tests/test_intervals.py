@@ -44,6 +44,50 @@ def test_overlap_join_equals_naive_join(spark, rows, bin_size, width):
     assert rows(kinds["left_anti"]) == sorted(left - hit)
 
 
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("width", [1, 4])
+def test_adaptive_bins_equal_naive_join(spark, rows, seed, width):
+    """Widths from one base to a chromosome, dense and empty stretches, bounds on cell borders."""
+    rng = random.Random(seed * 7 + width)
+    cell = 1 << intervals.CELL_BITS
+    spots = [*range(300), *range(cell - 40, cell + 40), *range(5 * cell, 5 * cell + 60)]
+    left = {(f"chr{rng.randint(1, 3)}", s, s + rng.randint(1, width)) for s in rng.choices(spots, k=250)}
+    right = {(f"chr{rng.randint(1, 2)}", s, s + rng.randint(1, 40)) for s in rng.choices(spots, k=200)}
+    right |= {("chr1", 0, 6 * cell), ("chr1", 7, cell), ("chr2", cell, 2 * cell), ("chr2", 50, 50)}
+    expected = [(*a, *b[1:]) for a in left for b in right if a[0] == b[0] and b[1] < b[2] and a[1] < b[2] and b[1] < a[2]]
+    hit = {e[:3] for e in expected}
+    ldf, rdf = spark.createDataFrame(list(left), INTERVAL), spark.createDataFrame(list(right), INTERVAL)
+    bins = intervals.adaptive_bins(rdf)
+    kinds = {h: intervals.overlap_join(ldf, rdf, h, bin_size=bins, left_width=width) for h in ("inner", "left", "left_semi", "left_anti")}
+    assert rows(kinds["inner"]) == sorted(expected)
+    assert kinds["left"].count() == len(expected) + len(left - hit)
+    assert rows(kinds["left_semi"]) == sorted(hit) and rows(kinds["left_anti"]) == sorted(left - hit)
+
+
+def test_adaptive_bins_copy_long_blocks_little(spark):
+    """A block as long as a chromosome around 10,000 small ones: at most three copies a block."""
+    small = spark.range(10_000).select(F.lit("chr1").alias("chrom"), (F.col("id") * 20_000 + 500).alias("start"), (F.col("id") * 20_000 + 9_000).alias("end"))
+    right = small.union(spark.createDataFrame([("chr1", 0, 200_000_000)], INTERVAL))
+    bins = intervals.adaptive_bins(right)
+    copies = intervals._binned_blocks(right, F.col("start"), F.col("end") - 1, bins)
+    assert right.count() < copies.count() <= 3 * right.count()
+    held = copies.groupBy("chrom", "__bin").count().agg(F.max("count")).first()[0]
+    assert held <= 16
+    sites = small.select("chrom", (F.col("start") + 3).alias("start"), (F.col("start") + 4).alias("end"))
+    assert intervals.overlap_join(sites, right, "left", bin_size=bins).count() == 20_000
+
+
+def test_adaptive_bins_of_cohorts_and_empty_tables(spark, rows):
+    schema = "sample string, " + INTERVAL
+    blocks = spark.createDataFrame([(s, "chr1", i * 10, i * 10 + 10) for s in "ab" for i in range(40)], schema)
+    cpgs = spark.createDataFrame([("a", "chr1", 5, 6), ("c", "chr1", 5, 6)], schema)
+    joined = intervals.overlap_join(cpgs, blocks, "left", by=("sample",), bin_size=intervals.adaptive_bins(blocks, by=("sample",)))
+    assert rows(joined, "sample", "end_block") == [("a", 10), ("c", None)]
+    none = blocks.limit(0)
+    out = intervals.overlap_join(cpgs, none, "left", by=("sample",), bin_size=intervals.adaptive_bins(none, by=("sample",)))
+    assert rows(out, "sample", "end_block") == [("a", None), ("c", None)]
+
+
 def test_too_wide_interval_fails(spark):
     wide = spark.createDataFrame([("chr1", 5, 9)], INTERVAL)
     with pytest.raises(Exception, match="wider than 1"):
