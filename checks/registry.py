@@ -14,6 +14,7 @@ from haplometh.functions import chroms, genotypes
 from haplometh.functions import methylation as mfn
 from haplometh.operators import expand, hapmap, inspection, intervals, joins, methylation, ordering, phasing, qc
 from haplometh.plans import cohort as cohort_jobs
+from haplometh.plans import expansion
 from haplometh.sinks import clustered as clustered_sink
 from haplometh.sinks import text
 from haplometh.sources import bed, blocks, clustered, genome, reports, samples, vcf
@@ -361,20 +362,31 @@ def s13(spark, folder):
     return blocks.inheritance_blocks_from_lines(lines, blocks.inheritance_samples(header), "kid")
 
 
-@register(
-    "s14_e5_cpg_scan",
-    """SELECT chrom, offset_ + at_ AS start, offset_ + at_ + 1 AS "end" FROM (
+#: Sites of every sequence, whose first base is at ``BASE``.
+_CG_SITES = """SELECT chrom, BASE + at_ AS start, BASE + at_ + 1 AS "end" FROM (
         SELECT chrom, offset_, part_no, parts,
                CAST(sum(length(part) + 2) OVER (PARTITION BY chrom ORDER BY part_no) - 2 AS BIGINT) AS at_
         FROM (SELECT chrom, offset_, len(pieces) AS parts, unnest(pieces) AS part,
                      generate_subscripts(pieces, 1) AS part_no
               FROM (SELECT chrom, offset_, string_split(upper(seq), 'CG') AS pieces FROM fx_sequence) s) p) q
-       WHERE part_no < parts""",
-)
+       WHERE part_no < parts"""
+
+
+@register("s14_e5_cpg_scan", _CG_SITES.replace("BASE", "offset_"))
 def s14(spark, folder):
     return genome.cpg_sites(Inputs(spark, folder).view("fx_sequence"))
 
 
+@register("e5_fasta_job", _CG_SITES.replace("BASE", "0"))
+def e5_job(spark, folder):
+    """The reference job on FASTA files with one line a chromosome, read back from its output."""
+    sequence = F.regexp_replace("seq", "[^A-Za-z]", "N")
+    records = Inputs(spark, folder).view("fx_sequence").select(F.concat(F.lit(">"), "chrom", F.lit(" x\n"), sequence).alias("value"))
+    root = scratch(spark, "reference")
+    records.write.text(f"{root}/fasta")
+    return bed.read_all_cpgs_in_reference(spark, expansion.write_all_cpgs_in_reference(spark, f"{root}/fasta", f"{root}/cpgs.bed"))
+
+
 QC_LABEL = "share of sites (count, one haplotype or both)"
 
 

@@ -1,21 +1,26 @@
 """CpG sites of a reference genome.
 
 The genome is a table of ``(chrom, offset, seq)`` pieces, each one base longer
-than its step so that a CG across two pieces is seen once. FASTA lines become
+than its step so that a CG across two pieces is seen once. FASTA files become
 such pieces without any task holding a chromosome.
 """
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from haplometh.functions.chroms import drop_alt_contigs
+from haplometh.sources.ranges import RANGE_BYTES, read_fasta_ranges
 
 PIECE = 200
 # Fixed value: the dinucleotide; matching either case keeps every offset as it is.
 CG = "[Cc][Gg]"
+# Endings of compressed text files.
+COMPRESSED = (".gz", ".bz2", ".zst")
 
 
 def _cg_offsets(seq: Column) -> Column:
@@ -58,21 +63,31 @@ def cpg_sites(chunks: DataFrame, *, piece: int = PIECE) -> DataFrame:
     return found.select("chrom", start.alias("start"), (start + 1).alias("end"))
 
 
-def fasta_chunks(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Sequence lines of FASTA files as overlapping chunks.
+def fasta_chunks(spark: SparkSession, path: str | list[str], width: int = RANGE_BYTES) -> DataFrame:
+    """Sequences of FASTA files as overlapping chunks.
 
-    Lines are numbered inside their file split, and a split's offset within a
-    contig comes from a running sum over per-split totals, so no task needs
-    more than one split. The first base of the next line is appended, also
-    across splits.
+    Plain files are read in byte ranges of ``width``, so a chromosome in one
+    line is as many tasks as one in many lines; compressed files go through the
+    text scan, a task a file. Pieces are numbered inside their split, and a
+    split's offset within a contig comes from a running sum over per-split
+    totals, so no task needs more than one split. The first base of the next
+    piece is appended, also across splits.
     """
-    rows = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("line"),
-        F.rtrim("value").alias("value"),
-    )
-    return chunks_of_fasta_lines(rows.filter(F.col("value") != ""))
+    files = spark.read.text(path).inputFiles()
+    packed = [unquote(f) for f in files if f.endswith(COMPRESSED)]
+    plain = [unquote(f) for f in files if not f.endswith(COMPRESSED)]
+    rows = []
+    if plain or not packed:
+        rows.append(read_fasta_ranges(spark, plain or path, width))
+    if packed:
+        lines = spark.read.text(packed).select(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("split"),
+            F.monotonically_increasing_id().alias("line"),
+            F.rtrim("value").alias("value"),
+        )
+        rows.append(lines.filter(F.col("value") != ""))
+    return chunks_of_fasta_lines(rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1]))
 
 
 def chunks_of_fasta_lines(rows: DataFrame) -> DataFrame:
@@ -123,6 +138,6 @@ def chunks_of_fasta_lines(rows: DataFrame) -> DataFrame:
     )
 
 
-def scan_fasta(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def scan_fasta(spark: SparkSession, path: str | list[str], width: int = RANGE_BYTES) -> DataFrame:
     """Every CpG site of a FASTA reference."""
-    return cpg_sites(fasta_chunks(spark, path))
+    return cpg_sites(fasta_chunks(spark, path, width))

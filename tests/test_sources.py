@@ -249,6 +249,46 @@ def test_fasta_lines_across_splits(spark, rows, cuts):
     assert rows(genome.cpg_sites(genome.chunks_of_fasta_lines(table))) == brute(sequences)
 
 
+@pytest.mark.parametrize("width", [1, 3, 16, 61, 1 << 20])
+@pytest.mark.parametrize("wrap", [4, 1 << 20])
+def test_fasta_in_byte_ranges(spark, rows, put, width, wrap):
+    """One line a chromosome, or many; ranges that start in names, at line ends, between C and G."""
+    sequences = {"chr1": "ACGCGTTCGACG" * (1 if width == 1 else 5), "chr2": "CG", "chr3": "GCcg"}
+    path = put("ref.fa", fasta({**sequences, "chrUn_x": "CGCG"}, wrap))
+    chunks = genome.fasta_chunks(spark, path, width)
+    assert rows(genome.cpg_sites(chunks)) == brute(sequences)
+
+
+def test_fasta_ranges_are_tasks_of_their_own(spark, rows, put, tmp_path):
+    import gzip
+
+    sequence = "ACGCGTTCGACGNNCg" * 500
+    path = put("ref.fa", [">chr1", sequence, "", ">chr2 x", "CG"])
+    read = genome.read_fasta_ranges(spark, path, 1000)
+    assert read.rdd.getNumPartitions() == 9 and read.filter("value not like '>%'").select("split").distinct().count() == 9
+    (tmp_path / "other.fa.gz").write_bytes(gzip.compress(b">chr3\nAC\nGT\n"))
+    put("empty.fa", [])
+    sites = rows(genome.scan_fasta(spark, [path, str(tmp_path / "other.fa.gz"), str(tmp_path / "empty.fa")], 1000))
+    assert sites == brute({"chr1": sequence, "chr2": "CG", "chr3": "ACGT"})
+
+
+def test_fasta_name_lines_are_bounded(spark, put, monkeypatch):
+    from io import BytesIO
+
+    from haplometh.sources import ranges
+
+    data = b">a " + b"x" * 20 + b"\nACG\r\nT" + b"A" * 50 + b"\n>b\nCG"
+    for width in range(1, 30):
+        monkeypatch.setattr(ranges, "NAME_BYTES", 24)
+        parts = [p for at in range(0, len(data), width) for p in ranges.pieces(BytesIO(data), at, min(at + width, len(data)), len(data))]
+        names = [p for p in parts if p.startswith(b">")]
+        assert names == [b">a " + b"x" * 20, b">b"]
+        assert b"".join(p for p in parts if p not in names) == b"ACGT" + b"A" * 50 + b"CG"
+    monkeypatch.setattr(ranges, "NAME_BYTES", 12)
+    with pytest.raises(ValueError, match="a name line of more than 12"):
+        list(ranges.pieces(BytesIO(data), 0, 9, len(data)))
+
+
 def test_log_percentages(spark, rows, put, tmp_path):
     label = "CpG sites (x, y) at which count-based methylation is phased"
     put("a.log", ["args /d/200081.dna-methylation.founder-phased.all_cpgs.bed'", f"{label}: 10.00%", f"INFO {label}: 93.25%"])
