@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from haplometh.functions.chroms import version_order
+from haplometh.functions.chroms import with_version_order
 from haplometh.functions.methylation import locus
 from haplometh.operators.joins import rows_at
 from haplometh.storage import materialize
@@ -16,7 +16,8 @@ from haplometh.storage import materialize
 
 def version_sort(df: DataFrame, *, start: str = "start") -> DataFrame:
     """Rows in genome order: by chromosome number, then name, then start."""
-    return df.orderBy(*version_order(start=start))
+    ranked, order = with_version_order(df, start=start)
+    return ranked.orderBy(*order).select(*df.columns)
 
 
 def position_sort(df: DataFrame, columns: Sequence[str] = ("chrom", "start", "end")) -> DataFrame:

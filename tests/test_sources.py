@@ -1,6 +1,7 @@
 import gzip
 
 import pytest
+from pyspark.sql import functions as F
 
 from haplometh.sinks import text
 from haplometh.sources import bed, blocks, genome, lines, reports, samples, vcf
@@ -107,6 +108,26 @@ def test_tracks_are_sorted_and_split(spark, tmp_path):
     assert body == ["chr2\t1\t2\t0.75", "chr10\t1\t2\t0.5"]
 
 
+def test_tracks_dealt_in_wide_rows_are_the_same_files(spark, tmp_path):
+    columns = text.founder_track_columns()
+    levels = [F.when(F.col("id") % (n + 2) > 0, F.col("id") / (n + 1)).alias(c) for n, c in enumerate(columns.values())]
+    chrom = F.concat(F.lit("chr"), F.element_at(F.array(*map(F.lit, ("2", "10", "X"))), (F.col("id") % 3 + 1).cast("int")))
+    df = spark.range(999, -1, -1).select(chrom.alias("chrom"), F.col("id").alias("start"), (F.col("id") + 1).alias("end"), *levels)
+    text.write_tracks(text.tracks(df, columns), str(tmp_path / "long"))
+    text.write_tracks_of(df, columns, str(tmp_path / "wide"))
+    for track in columns:
+        parts = [sorted((tmp_path / kind / f"track={track}").glob("part-*")) for kind in ("long", "wide")]
+        long, wide = ["".join(p.read_text() for p in kind) for kind in parts]
+        assert long == wide and long
+
+
+def test_lines_are_split_once_whatever_filter_follows(spark, put):
+    lines = spark.read.text(put("p.bed", ["#chrom\tbegin\tend\tmod_score\ttype\tcov", "chr1\t1\t2\t50\tTotal\t7", "chrEBV\t1\t2\t50\tTotal\t7"]))
+    levels = bed.meth_levels(bed.pileup_from_lines(lines, bed.PILEUP_COLUMNS))
+    assert levels.collect() == [("chr1", 1, 2, 7, 0.5)]
+    assert levels._jdf.queryExecution().optimizedPlan().toString().count("split(value") == 1
+
+
 def test_clean_bed_counts_what_it_drops(spark, rows, put, tmp_path):
     raw = bed.read_all_cpgs_in_reference(spark, put("r.bed", ["chr1\t1\t2", "chrUn_7\t1\t2", "chrEBV\t3\t4"]))
     out = str(tmp_path / "clean.bed")
