@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute
@@ -30,3 +31,33 @@ def steps(batch: pa.RecordBatch, text: str | int = "text", most: int = STEP_CHAR
 
 def to_batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
+
+
+def give_back() -> None:
+    """Return memory that Python and Arrow have freed, but keep for later use, to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone keeps the heap of large arrays
+    if trim is not None:
+        trim(0)
+
+
+def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for ``mapInArrow``, giving back what it has freed after each batch and at its end.
+
+    Spark keeps a task's worker for tasks of later stages, and what the worker
+    still holds counts against the executor while these run in the JVM.
+    """
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def handed() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch
+                del batch
+                give_back()
+
+        try:
+            yield from run(handed())
+        finally:
+            give_back()
+
+    return tidy

@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haplometh.llm.arrow import steps
+from haplometh.llm.arrow import frugal, steps
 from haplometh.storage import materialize
 
 #: Bytes of text in a block, and hashes of a range that are compared in one task.
@@ -67,7 +67,7 @@ def blocks(docs: DataFrame, rows: bool = False) -> DataFrame:
     source = docs.select(*[F.col(f"`{c}`").cast("long").alias(c) if c == "doc_id" else F.col(f"`{c}`") for c in docs.columns]) if rows else docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     if not rows:
         id_at, text_at = 0, 1
-    packed_rows = source.mapInArrow(run, "size long, ids array<long>, texts binary" + ", rows binary" * rows)
+    packed_rows = source.mapInArrow(frugal(run), "size long, ids array<long>, texts binary" + ", rows binary" * rows)
     return materialize(packed_rows.select(F.monotonically_increasing_id().alias("block"), "*"), "text-blocks")
 
 
@@ -87,7 +87,7 @@ def chosen_rows(packed: DataFrame, places: DataFrame, like: DataFrame) -> DataFr
                 back = [None if null else own[i].decode() for i, null in zip(places, table.column(text_at).to_pylist(), strict=True)]
                 yield from table.set_column(text_at, "text", pa.array(back, pa.string())).to_batches(max_chunksize=1024)
 
-    return packed.join(listed, "block").select("ids", "texts", "rows", "places").mapInArrow(run, like.schema)
+    return packed.join(listed, "block").select("ids", "texts", "rows", "places").mapInArrow(frugal(run), like.schema)
 
 
 def unpacked(ids, texts: bytes) -> list[bytes]:

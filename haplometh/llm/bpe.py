@@ -23,6 +23,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from haplometh.llm.arrow import frugal
+
 #: Fixed values of byte-level vocabularies: how a text is split before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: A space before more white space: only there may white space run on across a space.
@@ -234,7 +236,7 @@ def encode(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> D
                 )
 
     source = docs.select(*keep, docs["text"].alias("__text"))
-    return source.mapInArrow(run, f"{names}, n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string")
+    return source.mapInArrow(frugal(run), f"{names}, n_tokens long, ids array<int>, ids_sha256 string, decoded_sha256 string")
 
 
 def _running(counts: list[int]) -> list[int]:
@@ -257,4 +259,4 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", keep: tuple[str, ...
             columns = [batch.column(i) for i in range(batch.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=[*keep, "text"])
 
-    return encoded.select(*keep, encoded[ids].alias("__ids")).mapInArrow(run, f"{names}, text string")
+    return encoded.select(*keep, encoded[ids].alias("__ids")).mapInArrow(frugal(run), f"{names}, text string")

@@ -54,6 +54,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from haplometh.llm import blocks
+from haplometh.llm.arrow import frugal
 from haplometh.llm.components import connected
 from haplometh.llm.words import mixed, shingles, words
 from haplometh.storage import materialize
@@ -278,7 +279,7 @@ def classified(packed: DataFrame, size: int, percent: int) -> tuple[DataFrame, D
                 )
 
     bare = packed.select("block", "ids", "texts")
-    members = materialize(bare.mapInArrow(member_rows, "block long, place int, doc_id long, n_shingles long, class binary, sketch binary"), "jaccard-members")
+    members = materialize(bare.mapInArrow(frugal(member_rows), "block long, place int, doc_id long, n_shingles long, class binary, sketch binary"), "jaccard-members")
 
     def signature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -287,7 +288,7 @@ def classified(packed: DataFrame, size: int, percent: int) -> tuple[DataFrame, D
                 found = [signatures(s, percent) for s in distinct.values()]
                 yield from blocks.rows_to_send(block.as_py(), np.concatenate(found or [np.empty(0, np.uint64)]), ranges)
 
-    repeated = materialize(blocks.answers(bare.mapInArrow(signature_rows, blocks.SENT), "told"), "jaccard-repeated")
+    repeated = materialize(blocks.answers(bare.mapInArrow(frugal(signature_rows), blocks.SENT), "told"), "jaccard-repeated")
 
     def cell_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -304,7 +305,7 @@ def classified(packed: DataFrame, size: int, percent: int) -> tuple[DataFrame, D
                     [pa.array(every[again].view(np.int64)), pa.array([names[i] for i in owner], pa.binary()), pa.array([counts[i] for i in owner], pa.int64())], names=["cell", "class", "n"]
                 )
 
-    cells = packed.join(repeated, "block", "left").select("ids", "texts", "told").mapInArrow(cell_rows, "cell long, class binary, n long")
+    cells = packed.join(repeated, "block", "left").select("ids", "texts", "told").mapInArrow(frugal(cell_rows), "cell long, class binary, n long")
     cells = materialize(cells.distinct(), "jaccard-cells")
     pivots = cells.groupBy("cell").agg(F.min("class").alias("pivot"), F.count("*").alias("held")).filter("held > 1").drop("held")
     meets = materialize(cells.join(pivots, "cell").select("pivot", "class", "n").distinct(), "jaccard-regions")
@@ -330,7 +331,7 @@ def sets_by_class(packed: DataFrame, members: DataFrame, meets: DataFrame, size:
                     some = slice(at, at + 256)
                     yield pa.RecordBatch.from_arrays([pa.array([x["class"] for x in chosen[some]], pa.binary()), pa.array([packed_hashes(s) for s in own[some]], pa.binary())], names=["class", "hashes"])
 
-    return packed.join(listed, "block").select("ids", "texts", "wanted").mapInArrow(set_rows, "class binary, hashes binary")
+    return packed.join(listed, "block").select("ids", "texts", "wanted").mapInArrow(frugal(set_rows), "class binary, hashes binary")
 
 
 def parted(meets: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -363,7 +364,7 @@ def parted(meets: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
             yield done()
 
     near = meets.join(sketches, "class").select("pivot", "class", "n", "sketch")
-    return near.repartition("pivot").sortWithinPartitions("pivot").mapInArrow(run, "pivot binary, part int, class binary, n long")
+    return near.repartition("pivot").sortWithinPartitions("pivot").mapInArrow(frugal(run), "pivot binary, part int, class binary, n long")
 
 
 def link(meets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -394,7 +395,7 @@ def link(meets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     region = ["pivot", "part", "i", "j"]
     dealt = rows.select(*region, "class", "hashes").repartition(*region).sortWithinPartitions(*region)
-    return dealt.mapInArrow(run, "a binary, b binary")
+    return dealt.mapInArrow(frugal(run), "a binary, b binary")
 
 
 def named(members: DataFrame, labels: DataFrame) -> DataFrame:

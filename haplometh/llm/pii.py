@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from haplometh.llm.arrow import frugal
 from haplometh.llm.crf import Group, Model, emissions, train, viterbi, viterbi_pieces
 
 KINDS = ("email", "ip", "card", "phone")
@@ -345,7 +346,7 @@ def find(docs: DataFrame, finder: Finder) -> DataFrame:
                 lists = [pa.array([[dict(zip(("kind", "start", "end"), s, strict=True)) for s in x] for x in y], _ARROW) for y in (base, added)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), *lists], names=["doc_id", "base", "added"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kept}, base {SPANS}, added {SPANS}")
+    return docs.select("doc_id", "text").mapInArrow(frugal(run), f"doc_id {kept}, base {SPANS}, added {SPANS}")
 
 
 def written(spans: Column) -> Column:
@@ -373,7 +374,7 @@ def redact(docs: DataFrame, finder: Finder) -> DataFrame:
                 columns = [pa.array(new, pa.string()) if i == at else batch.column(i) for i in range(batch.num_columns)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(frugal(run), docs.schema)
 
 
 def _masked(text: str, spans: list[Span]) -> str:

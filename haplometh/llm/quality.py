@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from haplometh.llm.arrow import steps
+from haplometh.llm.arrow import frugal, steps
 from haplometh.llm.words import shingles, words
 from haplometh.storage import materialize
 
@@ -84,7 +84,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray:
             summed += np.frombuffer(blob, np.int64).reshape(2, PER_ROW)
         return pd.DataFrame({"part": parts["part"][:1], "raw": [summed[0].tolist()], "target": [summed[1].tolist()]})
 
-    partial = rows.mapInArrow(count, "part int, counts binary")
+    partial = rows.mapInArrow(frugal(count), "part int, counts binary")
     summed = partial.groupBy("part").applyInPandas(total, "part int, raw array<long>, target array<long>")
     raw, target = np.ones(BUCKETS), np.zeros(BUCKETS)
     for part, r, t in summed.collect():  # BUCKETS numbers, whatever the input
@@ -110,7 +110,7 @@ def score(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
                 sums = np.bincount(owner, told.value[places], batch.num_rows)
                 yield pa.RecordBatch.from_arrays([pa.array(sums, pa.float64(), mask=n == 0), *batch.columns], names=names)
 
-    return docs.mapInArrow(run, "log_weight double, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
+    return docs.mapInArrow(frugal(run), "log_weight double, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
 
 
 def kth_largest(rows: DataFrame, column: str, k: int) -> float | None:
