@@ -128,7 +128,7 @@ def expand_to_all_cpgs_trio(
         "trio-unphased",
     )
     text.write_tracks_of(
-        sites, text.combined_track_columns(ids), f"{output_dir.rstrip('/')}/combined.tracks"
+        sites, text.combined_track_columns(ids), f"{output_dir.rstrip('/')}/combined.tracks", compression="gzip"
     )
     phased = _phased_or_none(spark, bed_meth_parent_phased)
     if phased is None:

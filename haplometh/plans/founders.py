@@ -75,6 +75,6 @@ def phase_meth_to_founder_haps(
     counts.clustered(phased, "founder-methylation", table)
     phased = spark.read.schema(phased.schema).parquet(table)
     text.write_bed(version_sort(phased), out, f"{uid}.dna-methylation")
-    text.write_tracks_of(phased, text.founder_track_columns(), f"{out}/{uid}.dna-methylation.tracks")
+    text.write_tracks_of(phased, text.founder_track_columns(), f"{out}/{uid}.dna-methylation.tracks", compression="gzip")
     return FounderPhasing(hap_map, hapmap.het_sites(snvs), mismatches, phased, counts)
 

@@ -70,5 +70,5 @@ def phase_meth_to_parent_haps(
     counts.clustered(phased, "trio-methylation", table)
     phased = spark.read.schema(phased.schema).parquet(table)
     text.write_bed(version_sort(phased), out, "trio.dna-methylation")
-    text.write_tracks_of(phased, text.trio_track_columns(ids), f"{out}/trio.dna-methylation.tracks")
+    text.write_tracks_of(phased, text.trio_track_columns(ids), f"{out}/trio.dna-methylation.tracks", compression="gzip")
     return ParentPhasing(maps, mismatches, phased, counts)

@@ -108,6 +108,15 @@ def test_tracks_are_sorted_and_split(spark, tmp_path):
     assert body == ["chr2\t1\t2\t0.75", "chr10\t1\t2\t0.5"]
 
 
+def test_compressed_tracks_hold_the_same_lines(spark, tmp_path, rows):
+    df = spark.range(500).selectExpr("'chr1' AS chrom", "id AS start", "id + 1 AS end", "id / 500 AS x", "if(id % 3 = 0, id / 7, null) AS y")
+    for kind in ("none", "gzip"):
+        text.write_tracks_of(df, {"x": "x", "y": "y"}, str(tmp_path / kind), compression=kind)
+    for track in "xy":
+        assert all(p.name.endswith(".gz") for p in (tmp_path / "gzip" / f"track={track}").glob("part-*"))
+        assert rows(spark.read.text(str(tmp_path / "gzip" / f"track={track}"))) == rows(spark.read.text(str(tmp_path / "none" / f"track={track}")))
+
+
 def test_tracks_dealt_in_wide_rows_are_the_same_files(spark, tmp_path):
     columns = text.founder_track_columns()
     levels = [F.when(F.col("id") % (n + 2) > 0, F.col("id") / (n + 1)).alias(c) for n, c in enumerate(columns.values())]
