@@ -1,8 +1,10 @@
 import gzip
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from checks.registry import QUERIES
 from haplometh.sinks import text
 from haplometh.sources import bed, blocks, genome, lines, reports, samples, vcf
 
@@ -50,6 +52,8 @@ def test_pileup_header_is_checked(spark, put, content, mode, message):
     with pytest.raises(bed.HeaderError, match=message):
         bed.read_meth_level(spark, put("bad.bed", content), mode)
 
+FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
+
 
 def test_long_headers_are_read_whole(spark, put):
     content = ["##x"] * 700 + PILEUP
@@ -423,3 +427,8 @@ def test_trio_pairs_scan_their_file_once(spark, rows, tmp_path):
     for one, other in zip(staged, apart):
         assert one.columns == other.columns and rows(one) == rows(other) and one.count() > 0
         assert "PartitionFilters: [isnotnull(parent" in one._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_combined_tracks_query_reads_compressed_files(spark):
+    files = QUERIES["k2_k7_combined_tracks"](spark, FOLDER).inputFiles()
+    assert files and all(name.endswith(".csv.gz") for name in files)
