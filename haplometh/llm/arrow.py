@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -45,7 +46,8 @@ def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]])
     """``run`` for ``mapInArrow``, giving back what it has freed after each batch and at its end.
 
     Spark keeps a task's worker for tasks of later stages, and what the worker
-    still holds counts against the executor while these run in the JVM.
+    still holds counts against the executor while these run in the JVM. At the
+    end Python's lists of free objects go too: a few of them hold whole arenas.
     """
 
     def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -58,6 +60,7 @@ def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]])
         try:
             yield from run(handed())
         finally:
+            gc.collect()
             give_back()
 
     return tidy

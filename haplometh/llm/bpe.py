@@ -194,16 +194,9 @@ class Codec:
         return b"".join(map(self.spelled.__getitem__, ids)).decode("utf-8", "replace")
 
 
-_CODECS: dict[str, Codec] = {}
-
-
 def codec(source: str) -> Codec:
-    """One codec a worker and vocabulary, so that its caches outlive a batch."""
-    key = hashlib.sha256(source.encode()).hexdigest()
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(source)
-    return _CODECS[key]
+    """A codec for one task: what it has cached goes when the task ends, and does not stay in an idle worker."""
+    return Codec(source)
 
 
 def encode(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -1,8 +1,11 @@
+import gc
 import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from haplometh.llm import bpe
@@ -60,3 +63,15 @@ def test_query_shape(documents, clashing, rows, both):
     assert rows(encoded, "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == [(None, *full), (1, *full), (1, *full), (2, 0, sha(""), sha("")), (3, 0, sha(""), sha(""))]
     assert rows(bpe.decode(encoded, PATH), "doc_id", "text") == [(None, text), (1, text), (1, text), (2, ""), (3, "")]
     assert bpe.encode(docs.limit(0), PATH).count() == 0
+
+
+def test_no_codec_stays_in_a_worker(spark, documents):
+    def held(batches):
+        found = sum(type(x).__name__ == "Codec" for x in gc.get_objects())
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([found] * batch.num_rows, pa.int64())], names=["held"])
+
+    docs = documents(*[(k, f"one text of many {k}") for k in range(64)]).repartition(8)
+    assert bpe.encode(docs, PATH).agg(F.sum("n_tokens")).collect()[0][0] > 0
+    left = spark.range(0, 64, 1, 16).mapInArrow(held, "held long")
+    assert {r.held for r in left.distinct().collect()} == {0}
