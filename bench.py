@@ -47,8 +47,8 @@ def queries(i: Staged) -> dict:
         m: i.step(f"kid-{m}-phased", lambda df=df: methylation.phase_to_founders(df, i.hap_map(), bin_size=BIN))
         for m, df in (("count", count), ("model", model))
     }
-    near = i.step("near", i.near)
-    near_trio = i.step("near-trio", i.near_trio)
+    near = i.step("near", lambda: i.near().drop(intervals.WORD))
+    near_trio = i.step("near-trio", lambda: i.near_trio().drop(intervals.WORD))
     unphased = {(p, m): i.combined(p, m) for p in MEMBERS for m in methylation.MODES}
     variants = i.step("variants", i.variants)
     trio_variants = i.step("trio-variants", i.trio_variants)
@@ -94,7 +94,7 @@ def queries(i: Staged) -> dict:
 
 
 def founder_all(i: Staged):
-    return i.step("expanded", i.expanded)
+    return i.step("expanded", lambda: i.expanded().drop(intervals.WORD))
 
 
 def main() -> None:

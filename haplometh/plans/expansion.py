@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from haplometh.operators import expand, qc
+from haplometh.operators.intervals import WORD
 from haplometh.operators.methylation import MEMBERS
 from haplometh.operators.ordering import version_sort
 from haplometh.plans.counts import Counts
@@ -85,7 +86,8 @@ def expand_to_all_cpgs(
         bed.read_meth_level(spark, bed_meth_model_unphased, "model", partitions=partitions),
     )
     mismatches = bed_het_site_mismatches and bed.read_bed_and_header(spark, bed_het_site_mismatches)
-    df = counts.step(expand.flag_proximity(expand.attach_phased(sites, phased), mismatches or None), "all-cpgs")
+    df = expand.flag_proximity(expand.attach_phased(sites, phased, words=True), mismatches or None)
+    df = counts.step(df.drop(WORD), "all-cpgs")
     counts.lost(expand.phased_outside(df, phased), "phased-not-in-sites")
     if damaged_variants_out:
         _set_aside(spark, vcf_joint_called, damaged_variants_out, counts)
@@ -133,10 +135,10 @@ def expand_to_all_cpgs_trio(
     phased = _phased_or_none(spark, bed_meth_parent_phased)
     if phased is None:
         return None
-    df = expand.attach_phased(sites, phased)
+    df = expand.attach_phased(sites, phased, words=True)
     for side, path in (("_pat", bed_het_site_mismatches_pat), ("_mat", bed_het_site_mismatches_mat)):
         df = expand.flag_proximity(df, bed.read_bed_and_header(spark, path), side)
-    df = counts.step(df, "trio-all-cpgs")
+    df = counts.step(df.drop(WORD), "trio-all-cpgs")
     counts.lost(expand.phased_outside(df, phased), "phased-not-in-sites")
     if damaged_variants_out:
         _set_aside(spark, vcf_joint_called, damaged_variants_out, counts)

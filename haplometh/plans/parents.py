@@ -60,11 +60,8 @@ def phase_meth_to_parent_haps(
     files = {
         key: bed.read_meth_level(spark, path, key[1], partitions=partitions) for key, path in beds.items()
     }
-    phased = methylation.phase_to_parents(
-        methylation.trio_methylation(files),
-        maps["pat"],
-        maps["mat"],
-        bin_size=adaptive_bins(maps["pat"]),
+    phased = methylation.parent_phased_methylation(
+        files, maps["pat"], maps["mat"], bin_size=adaptive_bins(maps["pat"])
     )
     table = f"{out}/trio.dna-methylation.parquet"
     counts.clustered(phased, "trio-methylation", table)

@@ -173,3 +173,41 @@ def test_region(spark, rows):
     kept = intervals.region_filter(sites(spark, 98, 99, 150, 199, 200), "chr1:100-200")
     assert rows(kept, "start") == [(99,), (150,), (199,)]
     assert intervals.region_filter(sites(spark, 1), "chr1").count() == 1
+
+
+def exchanges_of(df, column):
+    """Exchanges in the plan that move a column."""
+
+    def walk(node):
+        names = [node.output().apply(i).name() for i in range(node.output().size())]
+        own = node.nodeName() == "Exchange" and column in names
+        return own + sum(walk(node.children().apply(i)) for i in range(node.children().size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_rows_dealt_by_bin_are_joined_where_they_lie(spark, rows, tmp_path):
+    """Two joins, blocks of mixed widths: the sites move once, and the result is that of plain joins."""
+    sites = spark.range(3000).selectExpr("concat('chr', 1 + id % 2) AS chrom", "id * 977 AS start", "id * 977 + 1 AS end", "id AS level")
+    small = spark.range(900).selectExpr("concat('chr', 1 + id % 2) AS chrom", "id * 3000 AS start", "id * 3000 + 5000 AS end", "id AS block")
+    long = spark.range(1).selectExpr("'chr1' AS chrom", "10L AS start", "2900000L AS end", "-1L AS block")
+    for df, name in ((sites, "sites"), (small.union(long), "blocks")):
+        df.write.parquet(str(tmp_path / name))
+    sites, blocks = (spark.read.parquet(str(tmp_path / name)) for name in ("sites", "blocks"))
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "100000"}
+    for bins in (1 << 14, intervals.adaptive_bins(blocks)):
+        dealt = plain = sites
+        before = {k: spark.conf.get(k, None) for k in settings}
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        try:
+            dealt = intervals.dealt_by_bin(dealt, bins)
+            for n in range(2):
+                other = blocks.withColumnRenamed("block", f"b{n}").hint("merge")
+                dealt = intervals.overlap_join(dealt, other, "left", suffix=f"_{n}", bin_size=bins, dealt=True)
+                plain = intervals.overlap_join(plain, other, "left", suffix=f"_{n}", bin_size=bins)
+            assert exchanges_of(dealt, "level") == 1 < exchanges_of(plain, "level")
+        finally:
+            for k, v in before.items():
+                spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+        assert rows(dealt.drop("__bin")) == rows(plain) and dealt.count() > 3000

@@ -52,3 +52,14 @@ def test_contract_holds_the_registry():
 def test_entry(spark):
     df = contract.entry(spark)
     assert df.count() > 0 and "methylation_level_pat_count" in df.columns
+
+
+def test_pileups_of_all_members_come_from_one_scan(spark):
+    from checks.registry import MEMBERS, Inputs
+    from checks.views import PILEUPS
+
+    staged, plain = Inputs(spark, FOLDER, staged=True, members=MEMBERS), Inputs(spark, FOLDER)
+    for name in PILEUPS:
+        ours, theirs = staged.pileup(*name), plain.pileup(*name)
+        assert comparable(ours.collect()) == comparable(theirs.select(*ours.columns).collect())
+    assert len([step for step in staged.steps if "pileups" in step]) == 1
